@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewell.functions.columns import INF, NAN, f32, is_valid_adc
+from framewell.functions.value_counts import clip_rounds, weighted_median
 from framewell.geometry import Geometry
 from framewell.plans.settle import settle
 
@@ -37,27 +38,38 @@ def on_grid(per_pixel: DataFrame, geometry: Geometry) -> DataFrame:
     return geometry.grid(per_pixel.sparkSession).join(per_pixel, PIXEL, "left")
 
 
-def power_sum(power: int, cond: Column | None = None) -> Column:
+def power_sum(power: int) -> Column:
     """Sum of ``adc**power`` over the counted values, exact in BIGINT."""
     adc = F.col("adc").cast("bigint")
     term = F.col("n")
     for _ in range(power):
         term = term * adc
-    return F.sum(term if cond is None else F.when(cond, term))
+    return F.sum(term)
 
 
-def spread_of(n: Column, s1: Column, s2: Column, ddof: int) -> Column:
-    """Standard deviation from exact power sums (0 for a constant pixel)."""
+def sample_spread(n: Column, s1: Column, s2: Column) -> Column:
+    """Sample standard deviation from exact power sums; NULL below two values."""
     squares = F.greatest(s2 - s1 * (s1 / n), F.lit(0.0))
-    return F.sqrt(squares / F.greatest(n - ddof, F.lit(1)))
+    return F.when(n >= 2, F.sqrt(squares / F.greatest(n - 1, F.lit(1))))
+
+
+def pixel_values(histogram: DataFrame) -> DataFrame:
+    """``(y, x, values)``: the counted values of each pixel as one list, ascending.
+
+    At most ``2**n_bits`` entries per pixel and ``height * width`` rows in all.
+    """
+    counted = F.struct("adc", "n")
+    return histogram.groupBy(*PIXEL).agg(F.sort_array(F.collect_list(counted)).alias("values"))
+
+
+def _as_offset(value: Column | str, name: str) -> Column:
+    return F.coalesce(f32(value), f32(F.lit(NAN))).alias(name)
 
 
 def median_offset(histogram: DataFrame, geometry: Geometry) -> DataFrame:
     """Exact median of the valid values; NaN for a pixel that never had one."""
-    medians = histogram.groupBy(*PIXEL).agg(F.percentile("adc", F.lit(0.5), F.col("n")).alias("offset_median"))
-    return on_grid(medians, geometry).select(
-        *PIXEL, F.coalesce(f32("offset_median"), f32(F.lit(NAN))).alias("offset_median")
-    )
+    medians = pixel_values(histogram).select(*PIXEL, weighted_median("values.adc", "values.n").alias("median"))
+    return on_grid(medians, geometry).select(*PIXEL, _as_offset("median", "offset_median"))
 
 
 def histogram_noise(histogram: DataFrame, geometry: Geometry) -> DataFrame:
@@ -69,7 +81,7 @@ def histogram_noise(histogram: DataFrame, geometry: Geometry) -> DataFrame:
     sums = histogram.groupBy(*PIXEL).agg(
         F.sum("n").alias("n"), power_sum(1).alias("s1"), power_sum(2).alias("s2")
     )
-    noise = F.when(F.col("n") >= 2, spread_of(F.col("n"), F.col("s1"), F.col("s2"), 1))
+    noise = sample_spread(F.col("n"), F.col("s1"), F.col("s2"))
     return on_grid(sums, geometry).select(*PIXEL, F.coalesce(f32(noise), f32(F.lit(NAN))).alias("noise"))
 
 
@@ -87,46 +99,27 @@ class ClipResult:
 
 
 def clip_states(histogram: DataFrame, n_sigma: float, max_iter: int) -> DataFrame:
-    """Run ``max_iter`` clipping rounds for each pixel; one array entry per round.
+    """Median and the state after each of ``max_iter`` clipping rounds, per pixel.
 
     Survivors can only shrink from above, so one number per pixel and round, the
-    lowest limit so far, says who survives.  All rounds are window sums over the
-    same ``(y, x)`` partitioning: one shuffle of the histogram, no rescan.
+    lowest limit so far, says who survives.  All rounds work on the pixel's list
+    of counted values: one shuffle of the histogram, no rescan.
     """
-    pixel = Window.partitionBy(*PIXEL)
-    h = histogram.select(
+    listed = pixel_values(histogram)
+    value, n = F.col("values.adc"), F.col("values.n")
+    return listed.select(
         *PIXEL,
-        "adc",
-        "n",
-        F.sum("n").over(pixel).alias("n_valid"),
-        power_sum(1).over(pixel).alias("s1"),
-        power_sum(2).over(pixel).alias("s2"),
-    )
-    n, s1, s2 = F.col("n_valid"), F.col("s1"), F.col("s2")
-    h = h.withColumn("mu_0", s1 / n).withColumn(
-        "keep_0", F.lit(INF)
-    ).withColumn("sd", F.sqrt(F.greatest(s2 - s1 * (s1 / n), F.lit(0.0)) / n))
-    for k in range(1, max_iter + 1):
-        h = h.withColumn(f"keep_{k}", F.least(f"keep_{k - 1}", F.col(f"mu_{k - 1}") + n_sigma * F.col("sd")))
-        kept = F.col("adc") <= F.col(f"keep_{k}")
-        zero = F.lit(0).cast("bigint")
-        h = (
-            h.withColumn(f"n_{k}", F.coalesce(F.sum(F.when(kept, F.col("n"))).over(pixel), zero))
-            .withColumn("s1", F.coalesce(power_sum(1, kept).over(pixel), zero))
-            .withColumn("s2", F.coalesce(power_sum(2, kept).over(pixel), zero))
-        )
-        divisor = F.greatest(F.col(f"n_{k}"), F.lit(1))
-        h = h.withColumn(f"mu_{k}", s1 / divisor).withColumn("sd", spread_of(divisor, s1, s2, 1))
-    rounds = range(1, max_iter + 1)
-    moved = lambda k: (F.col(f"mu_{k}") - F.col(f"mu_{k - 1}")) * (F.col(f"mu_{k}") - F.col(f"mu_{k - 1}"))
-    # every row of a pixel carries the same state
-    return h.groupBy(*PIXEL).agg(
-        F.first("n_valid").alias("n_valid"),
-        F.percentile("adc", F.lit(0.5), F.col("n")).alias("median"),
-        F.array(*[F.first(f"keep_{k}") for k in rounds]).alias("keep"),
-        F.array(*[F.first(f"mu_{k}") for k in rounds]).alias("mu"),
-        F.array(*[F.first(f"n_{k}") for k in rounds]).alias("kept"),
-        F.array(*[F.first(moved(k) > MEAN_TOLERANCE) for k in rounds]).alias("changed"),
+        weighted_median(value, n).alias("median"),
+        F.aggregate(n, F.lit(0).cast("bigint"), lambda total, k: total + k).alias("n_valid"),
+        clip_rounds(n_sigma, max_iter)(value, n).alias("rounds"),
+    ).select(
+        *PIXEL,
+        "median",
+        "n_valid",
+        "rounds.mu",
+        "rounds.keep",
+        "rounds.kept",
+        F.transform("rounds.shift", lambda d: d * d > MEAN_TOLERANCE).alias("changed"),
     )
 
 
@@ -187,9 +180,7 @@ def both_offsets(
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     states = settle(clip_states(histogram, n_sigma, max_iter), "clip_states")
-    medians = on_grid(states.select(*PIXEL, "median"), geometry).select(
-        *PIXEL, F.coalesce(f32("median"), f32(F.lit(NAN))).alias("offset_median")
-    )
+    medians = on_grid(states.select(*PIXEL, "median"), geometry).select(*PIXEL, _as_offset("median", "offset_median"))
     return medians, _finish_clip(states, geometry, max_iter)
 
 

@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewell.functions.columns import f32
+from framewell.functions.columns import NAN, f32
+from framewell.functions.value_counts import weighted_median
 from framewell.geometry import Geometry
 from framewell.operators import badpix, common_mode, noise, offsets
 from framewell.operators.offsets import PIXEL
@@ -189,7 +190,7 @@ def quick_calibrate(
     """Median offset, raw noise and simple mask: ``y, x, offset, noise, is_bad``.
 
     Takes complete frames in long form.  One scan: offset and noise both come
-    from the settled pixel histogram.  Fewer than two frames is an error; pass
+    from one grouping of the pixel histogram.  Fewer than two frames is an error; pass
     ``n_frames`` where it is known already.
     """
     if n_frames is None:
@@ -197,16 +198,19 @@ def quick_calibrate(
     if n_frames < 2:
         raise ValueError("at least two frames are needed for a noise estimate")
     histogram = offsets.pixel_histogram(pixels, geometry)
-    sums = histogram.groupBy(*PIXEL).agg(
-        F.percentile("adc", F.lit(0.5), F.col("n")).alias("offset"),
+    counted = F.struct("adc", "n")
+    per_pixel = histogram.groupBy(*PIXEL).agg(
+        F.sort_array(F.collect_list(counted)).alias("values"),
         F.sum("n").alias("n"),
         offsets.power_sum(1).alias("s1"),
         offsets.power_sum(2).alias("s2"),
     )
-    spread = F.when(F.col("n") >= 2, offsets.spread_of(F.col("n"), F.col("s1"), F.col("s2"), 1))
-    nan = f32(F.lit(float("nan")))
-    maps = offsets.on_grid(sums, geometry).select(
-        *PIXEL, F.coalesce(f32("offset"), nan).alias("offset"), F.coalesce(f32(spread), nan).alias("noise")
+    median = weighted_median("values.adc", "values.n")
+    spread = offsets.sample_spread(F.col("n"), F.col("s1"), F.col("s2"))
+    found = per_pixel.select(*PIXEL, median.alias("median"), spread.alias("spread"))
+    nan = f32(F.lit(NAN))
+    maps = offsets.on_grid(found, geometry).select(
+        *PIXEL, F.coalesce(f32("median"), nan).alias("offset"), F.coalesce(f32("spread"), nan).alias("noise")
     )
     maps = settle(maps, "quick")
     return badpix.simple_mask(maps, hot_multiple=hot_multiple, cold_fraction=cold_fraction)
