@@ -231,6 +231,8 @@ ORACLES: dict[str, str] = {
         FROM emb_rows WHERE frame_id BETWEEN 5 AND 34 GROUP BY emb_rows.frame_id""",
     "a6_concat_frames": f"""WITH {EMB_ROWS} SELECT CAST(f AS INT) AS file_id, frame_id, count(*) AS n_lines,
         CAST(sum(pixels[64]) AS BIGINT) AS sum_last FROM emb_rows CROSS JOIN range(2) t(f) GROUP BY f, frame_id""",
+    "a1_a5_raw_round_trip": f"""WITH {EMB_ROWS} SELECT frame_id AS frame_seq, y,
+        CAST(CASE WHEN y = 0 THEN 65535 ELSE 65534 END AS INT) AS marker, pixels[1] AS first_adc, pixels[64] AS last_adc FROM emb_rows""",
     "a8_point_read": f"""WITH {EMB_ROWS}, want(pos, frame_id) AS (VALUES (0, 7), (1, 3), (2, 41), (3, 3))
         SELECT CAST(w.pos AS INT) AS pos, e.frame_id, e.y, e.pixels[1] AS first_adc, e.pixels[64] AS last_adc
         FROM want w JOIN emb_rows e ON e.frame_id = w.frame_id""",

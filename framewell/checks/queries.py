@@ -35,6 +35,7 @@ from framewell.plans.calibrate import CalibrationOptions, calibrate, quick_calib
 from framewell.plans.settle import settle, shared_folder
 from framewell.sources import frames as fr
 from framewell.sources import store
+from framewell.sources.raw import read_raw, write_raw
 from framewell.streaming.apply import stream_calibrated, stream_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +134,18 @@ def a13_map_shape(spark, sf):
     return store.map_shape(event_occupancy(spark, sf), EVENTS)
 
 
+@register
+def a1_a5_raw_round_trip(spark, sf):
+    """All lines written as raw files and read back through a glob, in frame order."""
+    folder = scratch(spark, "raw")
+    write_raw(embedding_rows(spark, sf), folder, EMBEDDINGS, n_files=4)
+    rows = read_raw(spark, f"{folder}/part-*.raw", EMBEDDINGS, frames_per_partition=4, lines_per_partition=5)
+    numbered = fr.select_frames(rows, EMBEDDINGS)
+    return numbered.select(
+        "frame_seq", "y", "marker", F.get("pixels", F.lit(0)).alias("first_adc"), F.element_at("pixels", -1).alias("last_adc")
+    )
+
+
 # -- B: predicates and projections -----------------------------------------------------------------
 @register
 def b1_valid_values(spark, sf):

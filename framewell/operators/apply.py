@@ -11,9 +11,7 @@ from framewell.geometry import Geometry
 from framewell.operators.common_mode import with_line_arrays
 from framewell.operators.offsets import PIXEL
 from framewell.sources.frames import FRAME_KEY
-
-# Markers of the first and of every other line of a frame.
-FRAME_MARKER, LINE_MARKER = 0xFFFF, 0xFFFE
+from framewell.sources.raw import FRAME_MARKER, LINE_MARKER
 
 
 def slice_width(geometry: Geometry, mode: str, asic_width: int | None = None) -> int:

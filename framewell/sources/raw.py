@@ -1,4 +1,4 @@
-"""Batch reader for raw detector files, ``format("detector_raw")``.
+"""Batch reader and writer for raw detector files, ``format("detector_raw")``.
 
 A file is an 8-byte header followed by fixed-size line records; ``height`` records
 make a frame.  Positions follow from the sizes alone, so a partition is a byte
@@ -14,19 +14,29 @@ from __future__ import annotations
 import glob
 import json
 import os
+import uuid
 import warnings
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 from framewell.geometry import Geometry
 
-# Fixed values of the file format: header, then marker, counter, pixels per record.
+# Fixed values of the file format: header, then marker, counter, pixels per record;
+# markers of the first and of every other line of a frame.
 RAW_HEADER = b"16BU0000"
+FRAME_MARKER, LINE_MARKER = 0xFFFF, 0xFFFE
 MARKER_TYPE, COUNTER_TYPE, PIXEL_TYPE = "<u2", "<u4", "<u2"
 
 BATCH_BYTES = 8 * 1024 * 1024
@@ -198,6 +208,64 @@ class DetectorRawReader(DataSourceReader):
         return pa.RecordBatch.from_pydict(columns | {"pixels": pixels})
 
 
+@dataclass
+class WrittenFile(WriterCommitMessage):
+    """One file of a task, still under its temporary name."""
+
+    temporary: str | None = None
+    final: str | None = None
+
+
+class DetectorRawWriter(DataSourceArrowWriter):
+    """One raw file per task.  Tasks write under temporary names of their own; the
+    commit renames those of the successful attempts, so retries leave no copies."""
+
+    def __init__(self, options: dict[str, str], overwrite: bool):
+        self.folder = options["path"]
+        self.height, self.width = int(options.get("height", 512)), int(options.get("width", 512))
+        self.overwrite = overwrite
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
+        os.makedirs(self.folder, exist_ok=True)
+        dtype, n_lines = record_dtype(self.width), 0
+        name = f"part-{TaskContext.get().partitionId():06d}"
+        temporary = os.path.join(self.folder, f".{name}-{uuid.uuid4().hex}")
+        with open(temporary, "wb") as out:
+            out.write(RAW_HEADER)
+            for batch in iterator:
+                table = {c: batch[c] for c in batch.schema.names}
+                y = table["y"].to_numpy()
+                if not np.array_equal(y, np.arange(n_lines, n_lines + len(y)) % self.height):
+                    raise ValueError("lines must arrive as whole frames, in order")
+                records = np.zeros(len(y), dtype)
+                records["pixels"] = table["pixels"].flatten().to_numpy().reshape(len(y), self.width)
+                records["marker"] = table["marker"].to_numpy() if "marker" in table else np.where(y == 0, FRAME_MARKER, LINE_MARKER)
+                records["counter"] = (
+                    table["adc_counter"].to_numpy() if "adc_counter" in table else np.arange(n_lines, n_lines + len(y))
+                )
+                out.write(records.tobytes())
+                n_lines += len(y)
+        if n_lines % self.height:
+            raise ValueError("lines must arrive as whole frames, in order")
+        if n_lines == 0:
+            os.remove(temporary)
+            return WrittenFile()
+        return WrittenFile(temporary, os.path.join(self.folder, f"{name}.raw"))
+
+    def commit(self, messages: list[WrittenFile | None]) -> None:
+        if self.overwrite:
+            for old in glob.glob(os.path.join(self.folder, "part-*.raw")):
+                os.remove(old)
+        for m in messages:
+            if m is not None and m.final is not None:
+                os.replace(m.temporary, m.final)
+
+    def abort(self, messages: list[WrittenFile | None]) -> None:
+        for m in messages:
+            if m is not None and m.temporary is not None and os.path.exists(m.temporary):
+                os.remove(m.temporary)
+
+
 class DetectorRawSource(DataSource):
     """Options: ``path`` or ``paths`` (JSON list), ``height``, ``width``,
     ``framesPerPartition``, ``linesPerPartition``, ``skipFrames``, ``maxFrames``,
@@ -214,6 +282,9 @@ class DetectorRawSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return DetectorRawReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return DetectorRawWriter(self.options, overwrite)
+
 
 def read_raw(
     spark: SparkSession,
@@ -250,6 +321,29 @@ def read_raw(
     return reader.load()
 
 
+def write_raw(rows: DataFrame, folder: str, geometry: Geometry, *, n_files: int, overwrite: bool = False) -> None:
+    """Write complete frames as ``n_files`` raw files; their name order is frame order.
+
+    Frames are brought together by a range shuffle, so a file holds whole frames.
+    An existing folder is refused unless ``overwrite``.
+    """
+    if os.path.exists(folder) and not overwrite:
+        raise FileExistsError(f"{folder} exists")
+    spark = rows.sparkSession
+    spark.dataSource.register(DetectorRawSource)
+    kept = [c for c in ("marker", "adc_counter") if c in rows.columns]
+    (
+        rows.select("file_id", "frame_id", "y", *kept, "pixels")
+        .repartitionByRange(n_files, "file_id", "frame_id")
+        .sortWithinPartitions("file_id", "frame_id", "y")
+        .write.format("detector_raw")
+        .mode("overwrite" if overwrite else "append")
+        .option("height", geometry.height)
+        .option("width", geometry.width)
+        .save(folder)
+    )
+
+
 def raw_inventory(spark: SparkSession, paths: str | Sequence[str], geometry: Geometry = Geometry()) -> DataFrame:
     """``file_id, path, n_frames, orphan_lines`` of raw files, from headers and sizes only."""
     files = [inspect_file(p, geometry.height, geometry.width) for p in resolve_paths(paths)]
