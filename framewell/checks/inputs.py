@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framewell.functions.columns import int_div
 from framewell.geometry import Geometry
-from framewell.sources.frames import complete_frames, to_rows
+from framewell.sources.frames import complete_frames
 
 EVENTS = Geometry(height=8, width=16, n_asics=2)
 EMBEDDINGS = Geometry(height=10, width=64, n_asics=8)
@@ -40,11 +40,6 @@ def event_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_frames(all_event_pixels(spark, sf_dir), EVENTS, long_form=True)
 
 
-def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readout lines of the complete event frames."""
-    return to_rows(event_pixels(spark, sf_dir), EVENTS)
-
-
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One readout line per vector, values scaled to whole numbers."""
     h = EMBEDDINGS.height
@@ -65,11 +60,10 @@ def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_occupancy(pixels: DataFrame) -> DataFrame:
     """Hits per pixel and mean of the valid values."""
     valid = ~F.col("adc").isin(EVENTS.underflow, EVENTS.overflow)
     return (
-        event_pixels(spark, sf_dir)
-        .groupBy("y", "x")
+        pixels.groupBy("y", "x")
         .agg(F.count_if(F.col("adc") > 1000).alias("hit_count"), F.avg(F.when(valid, F.col("adc"))).alias("mean_adu"))
     )

@@ -22,7 +22,6 @@ from framewell.checks.inputs import (
     embedding_rows,
     event_occupancy,
     event_pixels,
-    event_rows,
     lineitem_samples,
 )
 from framewell.functions import columns as fc
@@ -32,6 +31,7 @@ from framewell.operators import badpix, chunks, diagnostics, noise, offsets
 from framewell.operators import common_mode as cmode
 from framewell.operators.offsets import PIXEL
 from framewell.plans.calibrate import CalibrationOptions, calibrate, quick_calibrate
+from framewell.plans.joins import join_bounded
 from framewell.plans.settle import settle, shared_folder
 from framewell.sources import frames as fr
 from framewell.sources import store
@@ -53,6 +53,11 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
     return F.round(fc.as_col(c).cast("double"), digits)
 
 
+def _with_map(pixels: DataFrame, per_pixel: DataFrame) -> DataFrame:
+    """Event pixels with the columns of a per-pixel table."""
+    return join_bounded(pixels, per_pixel, PIXEL, rows=EVENTS.n_pixels, row_bytes=64)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -102,7 +107,8 @@ def a8_point_read(spark, sf):
 @register
 def a9_marker_status(spark, sf):
     """Markers derived from the data: a line whose first pixel is a sentinel has a wrong one."""
-    rows = event_rows(spark, sf)
+    px = event_pixels(spark, sf)
+    rows = fr.to_rows(px, EVENTS)
     right = F.when(F.col("y") == 0, ap.FRAME_MARKER).otherwise(ap.LINE_MARKER)
     broken = ~fc.is_valid_adc(F.get("pixels", F.lit(0)), EVENTS)
     rows = rows.withColumn("marker", F.when(broken, F.lit(0)).otherwise(right))
@@ -119,7 +125,8 @@ def a10_extract_frames(spark, sf):
 
 @register
 def a11_a12_stored_calibration(spark, sf):
-    quick = quick_calibrate(event_pixels(spark, sf), EVENTS, hot_multiple=1.2, cold_fraction=0.8)
+    px = event_pixels(spark, sf)
+    quick = quick_calibrate(px, EVENTS, hot_multiple=1.2, cold_fraction=0.8)
     path = scratch(spark, "calibration")
     store.save_calibration(path, quick.withColumnRenamed("offset", "offset_median"))
     loaded = store.load_calibration(spark, path)
@@ -131,7 +138,8 @@ def a11_a12_stored_calibration(spark, sf):
 
 @register
 def a13_map_shape(spark, sf):
-    return store.map_shape(event_occupancy(spark, sf), EVENTS)
+    px = event_pixels(spark, sf)
+    return store.map_shape(event_occupancy(px), EVENTS)
 
 
 @register
@@ -159,8 +167,9 @@ def b1_valid_values(spark, sf):
 @register
 def b2_b3_excluded_pixels(spark, sf):
     """Pixels left out for a static flag, an overflow or an underflow, per frame."""
-    bad = quick_calibrate(event_pixels(spark, sf), EVENTS, hot_multiple=1.2, cold_fraction=0.8)
-    pixels = event_pixels(spark, sf).join(F.broadcast(bad.select(*PIXEL, "is_bad")), PIXEL, "left")  # 128 rows
+    px = event_pixels(spark, sf)
+    bad = quick_calibrate(px, EVENTS, hot_multiple=1.2, cold_fraction=0.8)
+    pixels = _with_map(px, bad.select(*PIXEL, "is_bad"))
     over, under = fc.is_overflow("adc", EVENTS), fc.is_underflow("adc", EVENTS)
     return pixels.groupBy("frame_id").agg(
         F.count_if(over).alias("n_overflow"),
@@ -196,14 +205,15 @@ def b5_active_pixels(spark, sf):
     )
 
 
-def _events_quick(spark, sf):
-    return quick_calibrate(event_pixels(spark, sf), EVENTS, hot_multiple=1.2, cold_fraction=0.8)
+def _events_quick(px):
+    return quick_calibrate(px, EVENTS, hot_multiple=1.2, cold_fraction=0.8)
 
 
 @register
 def b6_apply_validity(spark, sf):
-    calibration = _events_quick(spark, sf)
-    pixels = event_pixels(spark, sf).join(F.broadcast(calibration), PIXEL)  # 128 rows
+    px = event_pixels(spark, sf)
+    calibration = _events_quick(px)
+    pixels = _with_map(px, calibration)
     valid = ~F.col("is_bad") & fc.is_valid_adc("adc", EVENTS) & fc.is_finite("offset")
     return pixels.groupBy(*PIXEL).agg(F.count_if(valid).alias("n_valid"))
 
@@ -211,9 +221,10 @@ def b6_apply_validity(spark, sf):
 @register
 def b7_c1_offset_subtraction(spark, sf):
     """Every residual, from lines joined with the offset map folded by line."""
-    histogram = offsets.pixel_histogram(event_pixels(spark, sf), EVENTS)
+    px = event_pixels(spark, sf)
+    histogram = offsets.pixel_histogram(px, EVENTS)
     maps = offsets.median_offset(histogram, EVENTS)
-    lines = cmode.with_line_arrays(event_rows(spark, sf), maps, EVENTS, ["offset_median"])
+    lines = cmode.with_line_arrays(fr.to_rows(px, EVENTS), maps, EVENTS, ["offset_median"])
     cells = lines.select("frame_id", "y", F.posexplode(F.arrays_zip("pixels", "offset_median")).alias("x", "c"))
     residual = fc.f32("c.pixels") - F.col("c.offset_median")
     return cells.select("frame_id", "y", "x", residual.cast("double").alias("residual"))
@@ -222,7 +233,8 @@ def b7_c1_offset_subtraction(spark, sf):
 @register
 def b8_b9_masked_values(spark, sf):
     """Sentinels as NaN on output, and left out again by the finite filter."""
-    shown = event_pixels(spark, sf).select(*PIXEL, fc.keep_where(fc.is_valid_adc("adc", EVENTS), "adc").alias("v"))
+    px = event_pixels(spark, sf)
+    shown = px.select(*PIXEL, fc.keep_where(fc.is_valid_adc("adc", EVENTS), "adc").alias("v"))
     return shown.groupBy(*PIXEL).agg(
         F.count_if(F.isnan("v")).alias("n_nan"), rounded(F.avg(fc.finite_or_null("v"))).alias("mean_finite")
     )
@@ -231,7 +243,8 @@ def b8_b9_masked_values(spark, sf):
 # -- D: offsets and noise -----------------------------------------------------------------------------
 @register
 def d1_median_offset(spark, sf):
-    maps = offsets.median_offset(offsets.pixel_histogram(event_pixels(spark, sf), EVENTS), EVENTS)
+    px = event_pixels(spark, sf)
+    maps = offsets.median_offset(offsets.pixel_histogram(px, EVENTS), EVENTS)
     return maps.select(*PIXEL, F.col("offset_median").cast("double").alias("offset_median"))
 
 
@@ -253,14 +266,16 @@ def _clip_columns(result):
 
 @register
 def d2_d3_sigma_clip(spark, sf):
-    histogram = offsets.pixel_histogram(event_pixels(spark, sf), EVENTS)
+    px = event_pixels(spark, sf)
+    histogram = offsets.pixel_histogram(px, EVENTS)
     return _clip_columns(offsets.sigma_clip(histogram, EVENTS))
 
 
 @register
 def d2_d3_sigma_clip_early_stop(spark, sf):
     """A wide limit: the rounds end before the maximum."""
-    histogram = offsets.pixel_histogram(event_pixels(spark, sf), EVENTS)
+    px = event_pixels(spark, sf)
+    histogram = offsets.pixel_histogram(px, EVENTS)
     return _clip_columns(offsets.sigma_clip(histogram, EVENTS, n_sigma=4.5))
 
 
@@ -272,7 +287,8 @@ def d2_d3_sigma_clip_lineitem(spark, sf):
 
 @register
 def d4_clip_trace(spark, sf):
-    histogram = offsets.pixel_histogram(event_pixels(spark, sf), EVENTS)
+    px = event_pixels(spark, sf)
+    histogram = offsets.pixel_histogram(px, EVENTS)
     return offsets.sigma_clip(histogram, EVENTS, n_sigma=4.5).trace.select(
         "iteration", F.col("n_clipped").cast("bigint").alias("n_clipped"), "n_changed"
     )
@@ -280,9 +296,9 @@ def d4_clip_trace(spark, sf):
 
 @register
 def d4_clip_summary(spark, sf):
-    pixels = event_pixels(spark, sf)
-    clip = offsets.sigma_clip(offsets.pixel_histogram(pixels, EVENTS), EVENTS)
-    n_frames = pixels.agg(F.count_if((F.col("y") == 0) & (F.col("x") == 0))).scalar()
+    px = event_pixels(spark, sf)
+    clip = offsets.sigma_clip(offsets.pixel_histogram(px, EVENTS), EVENTS)
+    n_frames = px.agg(F.count_if((F.col("y") == 0) & (F.col("x") == 0))).scalar()
     found = offsets.clip_summary(clip.per_pixel, n_frames)
     return found.select(
         rounded("avg_clipped").alias("avg_clipped"),
@@ -298,11 +314,10 @@ def _embedding_lines(spark, sf, **settings):
     return cmode.common_mode(rows, maps, EMBEDDINGS, offset="offset_median", **settings)
 
 
-def _event_lines(spark, sf, **settings):
+def _event_lines(px, **settings):
     """Event lines (with sentinels) with the common mode about the median offset."""
-    pixels = event_pixels(spark, sf)
-    maps = settle(offsets.median_offset(offsets.pixel_histogram(pixels, EVENTS), EVENTS))
-    return cmode.common_mode(event_rows(spark, sf), maps, EVENTS, offset="offset_median", **settings)
+    maps = settle(offsets.median_offset(offsets.pixel_histogram(px, EVENTS), EVENTS))
+    return cmode.common_mode(fr.to_rows(px, EVENTS), maps, EVENTS, offset="offset_median", **settings)
 
 
 @register
@@ -315,28 +330,28 @@ def d5_noise_all_frames(spark, sf):
 @register
 def d6_noise_kept(spark, sf):
     """Noise of the values that survive the clip, sentinels excluded."""
-    pixels = event_pixels(spark, sf)
-    clip = offsets.sigma_clip(offsets.pixel_histogram(pixels, EVENTS), EVENTS)
+    px = event_pixels(spark, sf)
+    clip = offsets.sigma_clip(offsets.pixel_histogram(px, EVENTS), EVENTS)
     maps = settle(clip.per_pixel)
-    lines = cmode.common_mode(event_rows(spark, sf), maps, EVENTS, offset="offset_sigclip", carry=["keep_max"])
+    lines = cmode.common_mode(fr.to_rows(px, EVENTS), maps, EVENTS, offset="offset_sigclip", carry=["keep_max"])
     found = noise.noise_kept(cmode.corrected_pixels(lines, EVENTS, carry=["keep_max"]), EVENTS)
     return found.select(*PIXEL, rounded("noise").alias("noise"), "n_kept")
 
 
 @register
 def d6_kept_summary(spark, sf):
-    pixels = event_pixels(spark, sf)
-    clip = offsets.sigma_clip(offsets.pixel_histogram(pixels, EVENTS), EVENTS)
-    n_frames = pixels.agg(F.count_if((F.col("y") == 0) & (F.col("x") == 0))).scalar()
+    px = event_pixels(spark, sf)
+    clip = offsets.sigma_clip(offsets.pixel_histogram(px, EVENTS), EVENTS)
+    n_frames = px.agg(F.count_if((F.col("y") == 0) & (F.col("x") == 0))).scalar()
     found = noise.kept_summary(clip.per_pixel, n_frames)
     return found.select(rounded("avg_kept").alias("avg_kept"), rounded("avg_kept_percent").alias("avg_kept_percent"))
 
 
 @register
 def d7_residual_noise(spark, sf):
-    pixels = event_pixels(spark, sf)
-    maps = offsets.median_offset(offsets.pixel_histogram(pixels, EVENTS), EVENTS)
-    found = noise.residual_noise(pixels, maps, EVENTS)
+    px = event_pixels(spark, sf)
+    maps = offsets.median_offset(offsets.pixel_histogram(px, EVENTS), EVENTS)
+    found = noise.residual_noise(px, maps, EVENTS)
     return found.select(*PIXEL, rounded("noise").alias("noise"))
 
 
@@ -373,18 +388,21 @@ def e1_e3_cm_asic(spark, sf):
 
 @register
 def e1_e3_cm_without_sentinels(spark, sf):
-    return _cm(cmode.cm_map(_event_lines(spark, sf), EVENTS))
+    px = event_pixels(spark, sf)
+    return _cm(cmode.cm_map(_event_lines(px), EVENTS))
 
 
 @register
 def e1_e3_cm_with_sentinels(spark, sf):
-    return _cm(cmode.cm_map(_event_lines(spark, sf, exclude_sentinels=False), EVENTS))
+    px = event_pixels(spark, sf)
+    return _cm(cmode.cm_map(_event_lines(px, exclude_sentinels=False), EVENTS))
 
 
 @register
 def e1_c5_cm_without_bad_pixels(spark, sf):
-    bad = settle(_events_quick(spark, sf))
-    return _cm(cmode.cm_map(_event_lines(spark, sf, bad_pixels=bad), EVENTS))
+    px = event_pixels(spark, sf)
+    bad = settle(_events_quick(px))
+    return _cm(cmode.cm_map(_event_lines(px, bad_pixels=bad), EVENTS))
 
 
 @register
@@ -399,7 +417,8 @@ def e5_cm_row(spark, sf):
 
 @register
 def e5_cm_row_even_odd(spark, sf):
-    lines = _event_lines(spark, sf, per_asic=False, split_even_odd=True)
+    px = event_pixels(spark, sf)
+    lines = _event_lines(px, per_asic=False, split_even_odd=True)
     return _cm(cmode.cm_map(lines, EVENTS, per_asic=False, split_even_odd=True))
 
 
@@ -413,65 +432,69 @@ def e6_c6_corrected_frames(spark, sf):
 @register
 def e6_c6_corrected_sentinels(spark, sf):
     """Excluded pixels lose the common mode as well."""
-    corrected = cmode.corrected_pixels(_event_lines(spark, sf), EVENTS)
+    px = event_pixels(spark, sf)
+    corrected = cmode.corrected_pixels(_event_lines(px), EVENTS)
     return corrected.select("frame_id", "y", "x", F.col("value").cast("double").alias("value"))
 
 
 @register
 def h1_c6_window_median(spark, sf):
-    pixels = event_pixels(spark, sf)
-    maps = offsets.median_offset(offsets.pixel_histogram(pixels, EVENTS), EVENTS)
-    residual = pixels.join(F.broadcast(maps), PIXEL).withColumn("residual", fc.f32("adc") - F.col("offset_median"))
+    px = event_pixels(spark, sf)
+    maps = offsets.median_offset(offsets.pixel_histogram(px, EVENTS), EVENTS)
+    residual = _with_map(px, maps).withColumn("residual", fc.f32("adc") - F.col("offset_median"))
     found = cmode.common_mode_by_window(residual, EVENTS, split_even_odd=True)
     return found.select(
         "frame_id", *PIXEL, F.col("cm").cast("double").alias("cm"), F.col("value").cast("double").alias("value")
     )
 
 
-def _applied(spark, sf, mode, **settings):
-    calibration = settle(_events_quick(spark, sf))
-    return ap.apply_calibration(event_rows(spark, sf), calibration, EVENTS, mode=mode, **settings), calibration
+def _applied(px, mode, **settings):
+    calibration = settle(_events_quick(px))
+    return ap.apply_calibration(fr.to_rows(px, EVENTS), calibration, EVENTS, mode=mode, **settings), calibration
 
 
 @register
 def e7_apply_asic(spark, sf):
-    lines, _ = _applied(spark, sf, "asic")
+    px = event_pixels(spark, sf)
+    lines, _ = _applied(px, "asic")
     found = ap.applied_pixels(lines, EVENTS, mode="asic")
     return found.select("frame_id", *PIXEL, fc.finite_or_null("value").cast("double").alias("value"))
 
 
 @register
 def e7_apply_row(spark, sf):
-    lines, _ = _applied(spark, sf, "row", with_corrected=True)
+    px = event_pixels(spark, sf)
+    lines, _ = _applied(px, "row", with_corrected=True)
     cells = lines.select("frame_id", "y", F.posexplode("corrected").alias("x", "value"))
     return cells.select("frame_id", *PIXEL, fc.finite_or_null("value").cast("double").alias("value"))
 
 
 @register
 def e7_applied_cm(spark, sf):
-    lines, _ = _applied(spark, sf, "asic")
+    px = event_pixels(spark, sf)
+    lines, _ = _applied(px, "asic")
     found = ap.applied_cm(lines, EVENTS, mode="asic")
     return found.select("frame_id", "y", F.col("slice").alias("asic_pos"), F.col("cm").cast("double").alias("cm"))
 
 
-# -- F: bad pixels ------------------------------------------------------------------------------------------
-def _event_maps(spark, sf):
+# -- F: bad px ------------------------------------------------------------------------------------------
+def _event_maps(px):
     """Median offset noise and clip counts of the event pixels, settled."""
-    histogram = settle(offsets.pixel_histogram(event_pixels(spark, sf), EVENTS))
+    histogram = settle(offsets.pixel_histogram(px, EVENTS))
     spread = offsets.histogram_noise(histogram, EVENTS)
     clip = offsets.sigma_clip(histogram, EVENTS).per_pixel
     return settle(spread.join(clip.select(*PIXEL, "n_clipped"), PIXEL))
 
 
-def _n_event_frames(spark, sf) -> int:
-    return event_pixels(spark, sf).where("y = 0 and x = 0").count()
+def _n_event_frames(px) -> int:
+    return px.where("y = 0 and x = 0").count()
 
 
-def _classified(spark, sf):
+def _classified(px):
     return badpix.classify_pixels(
-        _event_maps(spark, sf),
+        _event_maps(px),
         MASKED_EVENTS,
-        n_dark_frames=_n_event_frames(spark, sf),
+        n_dark_frames=_n_event_frames(px),
         hot_rms_multiple=1.2,
         cold_rms_fraction=0.8,
         max_clip_fraction=0.05,
@@ -480,56 +503,63 @@ def _classified(spark, sf):
 
 @register
 def f1_classified_pixels(spark, sf):
-    flags = _classified(spark, sf)
+    px = event_pixels(spark, sf)
+    flags = _classified(px)
     return flags.select(*PIXEL, "is_active", "non_finite", "non_positive", "hot", "cold", "unstable", "is_bad")
 
 
 @register
 def f2_class_counts(spark, sf):
-    found = badpix.class_counts(_classified(spark, sf))
+    px = event_pixels(spark, sf)
+    found = badpix.class_counts(_classified(px))
     return found.withColumns({c: rounded(c) for c in ("median_noise", "bad_percent")})
 
 
 @register
 def f3_simple_mask(spark, sf):
-    maps = _event_maps(spark, sf)
+    px = event_pixels(spark, sf)
+    maps = _event_maps(px)
     return badpix.simple_mask(maps, hot_multiple=1.2, cold_fraction=0.8).select(*PIXEL, "is_bad")
 
 
-def _event_corrected(spark, sf):
-    return cmode.corrected_pixels(_event_lines(spark, sf), EVENTS)
+def _event_corrected(px):
+    return cmode.corrected_pixels(_event_lines(px), EVENTS)
 
 
 @register
 def f4_bright_pixels(spark, sf):
+    px = event_pixels(spark, sf)
     found = badpix.bright_pixels(
-        _event_corrected(spark, sf), _event_maps(spark, sf), EVENTS, threshold_sigma=1.0, min_fraction=0.16
+        _event_corrected(px), _event_maps(px), EVENTS, threshold_sigma=1.0, min_fraction=0.16
     )
     return found.select(*PIXEL, "n_above", "bright")
 
 
 @register
 def f5_empty_pixels(spark, sf):
+    px = event_pixels(spark, sf)
     found = badpix.empty_pixels(
-        _event_corrected(spark, sf), _event_maps(spark, sf), EVENTS, threshold_sigma=0.5, min_fraction=0.16
+        _event_corrected(px), _event_maps(px), EVENTS, threshold_sigma=0.5, min_fraction=0.16
     )
     return found.select(*PIXEL, "n_below", "empty")
 
 
 @register
 def f6_hot_by_occupancy(spark, sf):
-    found = badpix.hot_by_occupancy(event_occupancy(spark, sf), hit_multiple=1.3, adu_multiple=1.2)
+    px = event_pixels(spark, sf)
+    found = badpix.hot_by_occupancy(event_occupancy(px), hit_multiple=1.3, adu_multiple=1.2)
     return found.select(*PIXEL, "hit_count", rounded("mean_adu").alias("mean_adu"), "hot_occupancy")
 
 
 @register
 def f7_comprehensive_mask(spark, sf):
+    px = event_pixels(spark, sf)
     found = badpix.comprehensive_mask(
-        _event_maps(spark, sf),
+        _event_maps(px),
         MASKED_EVENTS,
-        n_dark_frames=_n_event_frames(spark, sf),
-        corrected=_event_corrected(spark, sf),
-        occupancy=event_occupancy(spark, sf),
+        n_dark_frames=_n_event_frames(px),
+        corrected=_event_corrected(px),
+        occupancy=event_occupancy(px),
         hot_rms_multiple=1.2,
         cold_rms_fraction=0.8,
         max_clip_fraction=0.05,
@@ -545,41 +575,46 @@ def f7_comprehensive_mask(spark, sf):
     )
 
 
-def _event_mask(spark, sf):
-    return settle(_classified(spark, sf).select(*PIXEL, "noise", "is_bad"))
+def _event_mask(px):
+    return settle(_classified(px).select(*PIXEL, "noise", "is_bad"))
 
 
 @register
 def f8_categories(spark, sf):
-    found = badpix.categories(_event_mask(spark, sf), MASKED_EVENTS, hot_rms_multiple=1.2, cold_rms_fraction=0.8)
+    px = event_pixels(spark, sf)
+    found = badpix.categories(_event_mask(px), MASKED_EVENTS, hot_rms_multiple=1.2, cold_rms_fraction=0.8)
     return found.select(*PIXEL, "category")
 
 
 @register
 def f8_category_counts(spark, sf):
-    labelled = badpix.categories(_event_mask(spark, sf), MASKED_EVENTS, hot_rms_multiple=1.2, cold_rms_fraction=0.8)
+    px = event_pixels(spark, sf)
+    labelled = badpix.categories(_event_mask(px), MASKED_EVENTS, hot_rms_multiple=1.2, cold_rms_fraction=0.8)
     return badpix.category_counts(labelled)
 
 
 @register
 def f9_bad_per_asic(spark, sf):
-    return badpix.bad_per_asic(_event_mask(spark, sf), EVENTS)
+    px = event_pixels(spark, sf)
+    return badpix.bad_per_asic(_event_mask(px), EVENTS)
 
 
 @register
 def f10_mask_total(spark, sf):
-    found = badpix.mask_total(_event_mask(spark, sf), MASKED_EVENTS)
+    px = event_pixels(spark, sf)
+    found = badpix.mask_total(_event_mask(px), MASKED_EVENTS)
     return found.withColumn("bad_percent", rounded("bad_percent"))
 
 
 @register
 def h6_bad_coordinates(spark, sf):
-    return badpix.bad_coordinates(_event_mask(spark, sf))
+    px = event_pixels(spark, sf)
+    return badpix.bad_coordinates(_event_mask(px))
 
 
 # -- G: diagnostics ---------------------------------------------------------------------------------------------
-def _event_offsets(spark, sf):
-    histogram = offsets.pixel_histogram(event_pixels(spark, sf), EVENTS)
+def _event_offsets(px):
+    histogram = offsets.pixel_histogram(px, EVENTS)
     medians, clip = offsets.both_offsets(histogram, EVENTS)
     return settle(medians.join(clip.per_pixel, PIXEL))
 
@@ -590,36 +625,42 @@ def _binned(found):
 
 @register
 def g1_offset_summary(spark, sf):
-    found = diagnostics.summary(_event_offsets(spark, sf), "offset_sigclip")
+    px = event_pixels(spark, sf)
+    found = diagnostics.summary(_event_offsets(px), "offset_sigclip")
     return found.select("n", *[rounded(c).alias(c) for c in ("mean", "std", "median")])
 
 
 @register
 def g2_offset_histogram(spark, sf):
-    maps = _event_offsets(spark, sf)
+    px = event_pixels(spark, sf)
+    maps = _event_offsets(px)
     return _binned(diagnostics.percentile_histogram(maps, "offset_median", where=MASKED_EVENTS.is_active("x")))
 
 
 @register
 def g3_noise_histogram(spark, sf):
-    return _binned(diagnostics.noise_histogram(_event_maps(spark, sf), MASKED_EVENTS, usable_only=True))
+    px = event_pixels(spark, sf)
+    return _binned(diagnostics.noise_histogram(_event_maps(px), MASKED_EVENTS, usable_only=True))
 
 
 @register
 def g4_full_histogram(spark, sf):
-    return _binned(diagnostics.full_histogram(_event_corrected(spark, sf), "value"))
+    px = event_pixels(spark, sf)
+    return _binned(diagnostics.full_histogram(_event_corrected(px), "value"))
 
 
 @register
 def g5_adjusted_edges(spark, sf):
-    occupancy = event_occupancy(spark, sf).select("hit_count", F.col("mean_adu").alias("adu_seed"))
+    px = event_pixels(spark, sf)
+    occupancy = event_occupancy(px).select("hit_count", F.col("mean_adu").alias("adu_seed"))
     found = diagnostics.adjusted_edges(settle(occupancy), [float(i) for i in range(51)])
     return found.select("i", rounded("edge").alias("edge"))
 
 
 @register
 def g6_offset_limits(spark, sf):
-    maps = _event_offsets(spark, sf)
+    px = event_pixels(spark, sf)
+    maps = _event_offsets(px)
     both = diagnostics.pool((maps, "offset_median"), (maps, "offset_sigclip"))
     found = diagnostics.map_limits(both, (0.01, 0.99))
     return found.select(rounded("p1").alias("p1"), rounded("p99").alias("p99"))
@@ -634,14 +675,16 @@ def g6_cm_limits(spark, sf):
 
 @register
 def g7_frame_limits(spark, sf):
-    lines, _ = _applied(spark, sf, "asic", with_corrected=True)
+    px = event_pixels(spark, sf)
+    lines, _ = _applied(px, "asic", with_corrected=True)
     found = ap.frame_limits(lines, EVENTS)
     return found.select("frame_id", rounded("lo").alias("lo"), rounded("hi").alias("hi"))
 
 
 @register
 def g8_c8_offset_difference(spark, sf):
-    found = diagnostics.offset_difference(_event_offsets(spark, sf), MASKED_EVENTS)
+    px = event_pixels(spark, sf)
+    found = diagnostics.offset_difference(_event_offsets(px), MASKED_EVENTS)
     return found.select(*PIXEL, rounded(fc.finite_or_null("diff")).alias("diff"))
 
 
@@ -653,19 +696,22 @@ def g9_cm_frame_average(spark, sf):
 
 @register
 def g10_cm_noise_profile(spark, sf):
-    noise_per_line = cmode.cm_noise(cmode.cm_map(_event_lines(spark, sf), EVENTS))
+    px = event_pixels(spark, sf)
+    noise_per_line = cmode.cm_noise(cmode.cm_map(_event_lines(px), EVENTS))
     return diagnostics.cm_noise_profile(noise_per_line).select("asic", "y", rounded("cm_noise").alias("cm_noise"))
 
 
 @register
 def g11_clip_map_summary(spark, sf):
-    found = diagnostics.clip_map_summary(_event_offsets(spark, sf))
+    px = event_pixels(spark, sf)
+    found = diagnostics.clip_map_summary(_event_offsets(px))
     return found.withColumn("avg_clipped", rounded("avg_clipped"))
 
 
 @register
 def g12_l3_frame_report(spark, sf):
-    lines, calibration = _applied(spark, sf, "asic")
+    px = event_pixels(spark, sf)
+    lines, calibration = _applied(px, "asic")
     right = F.when(F.col("y") == 0, ap.FRAME_MARKER).otherwise(ap.LINE_MARKER)
     broken = ~fc.is_valid_adc(F.get("pixels", F.lit(0)), EVENTS)
     report = ap.frame_report(lines.withColumn("marker", F.when(broken, F.lit(0)).otherwise(right)), calibration, EVENTS)
@@ -681,20 +727,23 @@ def g12_l3_frame_report(spark, sf):
 
 @register
 def g13_noise_without_bad(spark, sf):
-    found = diagnostics.noise_without_bad(_event_mask(spark, sf))
+    px = event_pixels(spark, sf)
+    found = diagnostics.noise_without_bad(_event_mask(px))
     return found.select(*PIXEL, rounded(fc.finite_or_null("noise")).alias("noise"))
 
 
 @register
 def g13_mask_size(spark, sf):
-    return diagnostics.mask_size(_event_mask(spark, sf))
+    px = event_pixels(spark, sf)
+    return diagnostics.mask_size(_event_mask(px))
 
 
 @register
 def g14_stored_diagnostics(spark, sf):
     """Histogram of the stored noise, rebuilt from the files of a calibration set."""
+    px = event_pixels(spark, sf)
     path = scratch(spark, "calibration")
-    store.save_calibration(path, _event_offsets(spark, sf).join(_event_maps(spark, sf).select(*PIXEL, "noise"), PIXEL))
+    store.save_calibration(path, _event_offsets(px).join(_event_maps(px).select(*PIXEL, "noise"), PIXEL))
     stored = store.load_calibration(spark, path)
     return _binned(diagnostics.stored_diagnostics(stored, EVENTS)["noise_histogram"])
 
@@ -721,8 +770,9 @@ def k1_map_chunks(spark, sf):
 @register
 def l1_calibration(spark, sf):
     """Both offsets, even/odd common mode, noise of kept values, mask with a blocked ASIC."""
+    px = event_pixels(spark, sf)
     options = CalibrationOptions(hot_rms_multiple=1.3, cold_rms_fraction=0.7, max_clip_fraction=0.05)
-    found = calibrate(event_rows(spark, sf), MASKED_EVENTS, options).pixels
+    found = calibrate(fr.to_rows(px, EVENTS), MASKED_EVENTS, options).pixels
     return found.select(
         *PIXEL,
         rounded("offset_median").alias("offset_median"),
@@ -735,7 +785,8 @@ def l1_calibration(spark, sf):
 
 @register
 def l1_cm_noise(spark, sf):
-    found = calibrate(event_rows(spark, sf), EVENTS).cm_noise
+    px = event_pixels(spark, sf)
+    found = calibrate(fr.to_rows(px, EVENTS), EVENTS).cm_noise
     return found.select("asic", "y", rounded("cm_noise").alias("cm_noise"))
 
 
@@ -749,17 +800,19 @@ def l1_median_calibration(spark, sf):
 
 @register
 def l2_quick_calibration(spark, sf):
-    found = quick_calibrate(event_pixels(spark, sf), EVENTS, hot_multiple=1.2, cold_fraction=0.8)
+    px = event_pixels(spark, sf)
+    found = quick_calibrate(px, EVENTS, hot_multiple=1.2, cold_fraction=0.8)
     return found.select(*PIXEL, rounded("offset").alias("offset"), rounded("noise").alias("noise"), "is_bad")
 
 
 @register
 def j_stream_applied_cm(spark, sf):
     """Lines arriving as files, calibrated by a stream and written as files."""
-    rows = event_rows(spark, sf)
+    px = event_pixels(spark, sf)
+    rows = fr.to_rows(px, EVENTS)
     source, sink = scratch(spark, "arriving"), scratch(spark, "calibrated")
     rows.write.parquet(source)
-    calibrated = stream_calibrated(stream_rows(spark, source), settle(_events_quick(spark, sf)), EVENTS)
+    calibrated = stream_calibrated(stream_rows(spark, source), settle(_events_quick(px)), EVENTS)
     query = (
         calibrated.writeStream.format("parquet")
         .option("path", sink)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewell.plans.settle import settle
+from framewell.plans.settle import settle_counted
 
 # Largest table sent to every executor, in estimated bytes and in rows.
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -30,15 +30,13 @@ def drop_keys(big: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     The keys are written and counted first: none leaves ``big`` untouched, a
     bounded number is broadcast, more are anti-joined with a shuffle.
     """
-    keys = settle(keys, "keys")
-    n = keys.count()
+    keys, n = settle_counted(keys, "keys")
     if n == 0:
         return big
     return big.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, on, "left_anti")
 
 
 def join_counted(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join a settled side whose row count is checked before broadcasting it."""
-    small = settle(small, "side")
-    fits = small.count() <= BROADCAST_KEYS
-    return big.join(F.broadcast(small) if fits else small, on, how)
+    """Join a side that is settled and counted before it may be broadcast."""
+    small, n = settle_counted(small, "side")
+    return big.join(F.broadcast(small) if n <= BROADCAST_KEYS else small, on, how)

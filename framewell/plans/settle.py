@@ -12,7 +12,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _MARK = "_framewell_settled"
 
@@ -29,6 +30,15 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def settle_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """Settle ``df`` and tell how many rows it has, counted while they are written."""
+    if getattr(df, _MARK, False):
+        return df, df.count()
+    rows = Observation()
+    written = settle(df.observe(rows, F.count(F.lit(1)).alias("n")), name)
+    return written, rows.get["n"]
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once and return a reader of the written table."""
     if getattr(df, _MARK, False):

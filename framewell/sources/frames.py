@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from framewell.functions.columns import int_div
 from framewell.geometry import Geometry
-from framewell.plans.joins import drop_keys, join_counted
+from framewell.plans.joins import drop_keys, join_bounded
 from framewell.plans.settle import settle
 
 FRAME_KEY = ["file_id", "frame_id"]
@@ -130,13 +130,17 @@ def selection(
     if max_frames is not None and max_frames <= 0:
         raise ValueError("max_frames must be positive")
     files = settle(frame_inventory(rows, geometry, long_form=long_form), "files")
-    first = files.orderBy("file_id").first()
-    if first is None or first["n_frames"] == 0:
+    known = files.agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.coalesce(F.sum("n_frames"), F.lit(0)).alias("n_frames"),
+        F.coalesce(F.min_by("n_frames", "file_id"), F.lit(0)).alias("in_first"),
+        F.count_if(F.col("last_frame") + 1 != F.col("n_frames")).alias("n_gaps"),
+    ).first()
+    if known["in_first"] == 0:
         raise ValueError("no complete frames")
-    if skip >= first["n_frames"] and skip > 0:
-        raise ValueError(f"skip={skip} leaves nothing of the first file ({first['n_frames']} frames)")
-
-    if files.where(F.col("last_frame") + 1 != F.col("n_frames")).limit(1).count():
+    if 0 < skip >= known["in_first"]:
+        raise ValueError(f"skip={skip} leaves nothing of the first file ({known['in_first']} frames)")
+    if known["n_gaps"]:
         raise ValueError("frames of a file must be numbered 0, 1, 2 ... with only the last one incomplete")
 
     before = Window.orderBy("file_id").rowsBetween(Window.unboundedPreceding, -1)
@@ -147,13 +151,13 @@ def selection(
     if end is not None:
         rows = rows.where(F.col("frame_id") < end)  # necessary in every file, so it reaches the scan
     numbered = (
-        join_counted(rows, starts, ["file_id"])
+        join_bounded(rows, starts, ["file_id"], rows=known["n_files"], row_bytes=32)
         .where(F.col("frame_id") < F.col("n_frames"))
         .withColumn("frame_seq", F.col("first_seq") + F.col("frame_id"))
         .drop("n_frames", "first_seq")
         .where(F.col("frame_seq") >= skip)
     )
-    available = files.agg(F.sum("n_frames")).first()[0] - skip
+    available = known["n_frames"] - skip
     if end is None:
         return numbered, available
     return numbered.where(F.col("frame_seq") < end), min(available, max_frames)
