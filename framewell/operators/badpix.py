@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewell.functions.columns import any_flag, exceeds, falls_below, f32, finite_or_null, is_finite
+from framewell.functions.columns import any_flag, exceeds, falls_below, f32, is_finite
 from framewell.geometry import Geometry
 from framewell.operators.offsets import PIXEL
 from framewell.plans.joins import join_bounded

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from framewell.functions.columns import int_div
 from framewell.sources.frames import FRAME_KEY

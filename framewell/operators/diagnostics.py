@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewell.functions.columns import NAN, as_col, finite_or_null, keep_where, nan_if_null
+from framewell.functions.columns import NAN, as_col, finite_or_null, keep_where
 from framewell.functions.quantiles import exact_quantile
 from framewell.geometry import Geometry
 from framewell.operators.offsets import PIXEL

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewell.functions.columns import NAN, f32, is_valid_adc, nan_if_null
+from framewell.functions.columns import f32, is_valid_adc, nan_if_null
 from framewell.geometry import Geometry
 from framewell.operators.offsets import PIXEL, on_grid
 from framewell.plans.joins import join_bounded

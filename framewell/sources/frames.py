@@ -183,18 +183,30 @@ def read_frames_at(rows: DataFrame, frame_ids: Sequence[int], *, n_frames: int |
 
 # -- sinks --------------------------------------------------------------------------------
 def write_rows(
-    rows: DataFrame, path: str, geometry: Geometry, *, lines_per_band: int | None = None, mode: str = "errorifexists"
+    rows: DataFrame,
+    path: str,
+    geometry: Geometry,
+    *,
+    lines_per_band: int | None = None,
+    files_per_band: int | None = None,
+    mode: str = "errorifexists",
 ) -> None:
     """Write lines as Parquet, optionally in folders of ``lines_per_band`` lines.
 
     Bands keep the many frames of few lines together, which makes the map-side
-    part of every per-pixel aggregate far more effective.  Read the frames with
-    the same ``lines_per_partition`` and each task writes exactly one band.
+    part of every per-pixel aggregate far more effective.  Read raw frames with
+    the same ``lines_per_partition`` and each task writes exactly one band, with
+    no shuffle.  Frames stored in frame order need one: give ``files_per_band``,
+    over which the frames of a band are spread evenly.
     """
     if lines_per_band is None:
         rows.write.mode(mode).parquet(path)
         return
-    rows.withColumn("band", int_div("y", lines_per_band)).write.mode(mode).partitionBy("band").parquet(path)
+    banded = rows.withColumn("band", int_div("y", lines_per_band))
+    if files_per_band is not None:
+        n_bands = -(-geometry.height // lines_per_band)
+        banded = banded.repartition(n_bands * files_per_band, "band", F.col("frame_id") % files_per_band)
+    banded.write.mode(mode).partitionBy("band").parquet(path)
 
 
 def extract_frames(

@@ -2,7 +2,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from framewell.functions.quantiles import exact_quantile
 from framewell.geometry import Geometry

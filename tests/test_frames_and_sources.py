@@ -1,7 +1,6 @@
 import os
 import warnings
 
-import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +104,10 @@ def test_extract(spark, frames, tmp_path):
     assert fr.extract_frames(rows, path, SMALL, start=7, n_frames=100, overwrite=True, lines_per_band=2) == 2
     banded = spark.read.parquet(path)
     assert {r["band"] for r in banded.select("band").distinct().collect()} == {0, 1, 2}
+    gathered = str(tmp_path / "gathered")
+    fr.write_rows(rows, gathered, SMALL, lines_per_band=4, files_per_band=2)
+    assert stack(spark.read.parquet(gathered)) == expected(frames)
+    assert sorted(d for d in os.listdir(gathered) if d.startswith("band=")) == ["band=0", "band=1"]
     for wrong in (dict(start=-1), dict(n_frames=0), dict(start=9)):
         with pytest.raises(ValueError):
             fr.extract_frames(rows, str(tmp_path / "no"), SMALL, **wrong)
