@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewell.llm import exact_dedup, packing, sharding
+from framewell.llm import decontaminate, exact_dedup, language_id, packing, sharding
 from framewell.llm.common import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -22,6 +22,30 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_classes(read_table(spark, sf_dir, "documents")).drop("same")
 
 
+def language_model(docs: DataFrame) -> language_id.Model:
+    """Learned from labelled documents that are not held out."""
+    return language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_model(docs)).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file())
     return pieces.select(
@@ -36,6 +60,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
+    "op7_decontaminate": op7_decontaminate,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
@@ -49,4 +75,20 @@ ORACLES = {
                sha256(norm) AS text_sha256
         FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
     """,
+    "op7_decontaminate": r"""
+        WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM documents),
+        item AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[k + 1 : k + least(10, len(w))], ' ') AS phrase
+                FROM item, LATERAL (SELECT unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS k) WHERE len(w) > 0),
+        sizes AS (SELECT DISTINCT n FROM win),
+        runs AS (SELECT doc_id, n, p, array_to_string(w[p + 1 : p + n], ' ') AS phrase
+                 FROM cut, sizes, LATERAL (SELECT unnest(range(0, greatest(len(w) - n + 1, 0))) AS p)),
+        hit AS (SELECT doc_id, p, win.n, item_id FROM runs JOIN win USING (n, phrase)),
+        covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS pos FROM hit) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id)
+        SELECT cut.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM cut LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
 }
