@@ -33,16 +33,18 @@ BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case; the fast built-in serves where all characters are ASCII."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+def split_words(text: Column) -> Column:
+    """The words of a text in order, A-Z in lower case.
+
+    A text that begins or ends with a separator has an empty string at that end; positions count it, in the
+    index as in the comparison, and :func:`number_of_words` does not.
+    """
+    return F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN_WORDS)
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text in order; null gives none."""
-    parts = F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN_WORDS)
-    return F.filter(parts, lambda w: w != "")
+def number_of_words(parts: Column) -> Column:
+    empty_ends = (F.element_at(parts, 1) == "").cast("int") + (F.element_at(parts, -1) == "").cast("int")
+    return F.greatest(F.size(parts) - empty_ends, F.lit(0))
 
 
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
@@ -50,13 +52,13 @@ def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
     The terms are broadcast if they are few, so only their postings leave the scan.
     """
-    tokens = docs.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term"))
+    tokens = docs.select("doc_id", F.posexplode(split_words(F.col("text"))).alias("pos", "term"))
     return tokens if terms is None else join_counted(tokens, terms, ["term"])
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
     """``item, words, at, span``: every window of an item; ``item`` numbers the rows of the table."""
-    held = items.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
+    held = items.select("item_id", F.array_remove(split_words(F.col("text")), "").alias("words")).where(F.size("words") > 0)
     numbered = settle(held.withColumn("item", F.monotonically_increasing_id()), "items")
     last = F.greatest(F.size("words") - size, F.lit(0))
     return numbered.select(
@@ -115,7 +117,7 @@ def decontaminate(
 ) -> DataFrame:
     """Per document: ``id_col, n_words, hits, item_ids, near_items``.
 
-    ``hits`` lists the positions of words inside an exact occurrence of a window, ``item_ids`` the items with such
+    ``hits`` lists the positions (see :func:`split_words`) of words inside an exact occurrence of a window, ``item_ids`` the items with such
     a window (strings, sorted), ``near_items`` how many items have all picked terms of a window within ``slop``.
     """
     docs = pick(docs, doc_id=id_col, text=text_col)
@@ -135,7 +137,7 @@ def decontaminate(
         near["doc_id"].alias("_doc"), "near_items", "places"
     )
     weight = F.lit(32) + F.coalesce(F.aggregate("places", F.lit(0), lambda s, p: s + 40 + 16 * F.size(p["words"])), F.lit(0))
-    words = docs.select("doc_id", words_of(F.col("text")).alias("doc"))
+    words = docs.select("doc_id", split_words(F.col("text")).alias("doc"))
     joined = join_sized(words, found, F.col("doc_id").eqNullSafe(F.col("_doc")), weight, "found")
 
     def starts(place: Column) -> Column:
@@ -147,7 +149,7 @@ def decontaminate(
         return F.transform(fits, lambda s: F.struct((shift + s).alias("from"), (shift + s + span - 1).alias("to"), place["item_id"].alias("item_id")))
 
     matches = F.flatten(F.transform(F.coalesce("places", F.array().cast(found.schema["places"].dataType)), starts))
-    checked = joined.select("doc_id", F.size("doc").alias("n_words"), "near_items", matches.alias("m"))
+    checked = joined.select("doc_id", number_of_words(F.col("doc")).alias("n_words"), "near_items", matches.alias("m"))
     covered = F.array_distinct(F.flatten(F.transform("m", lambda m: F.sequence(m["from"], m["to"]))))
     return checked.select(
         F.col("doc_id").alias(id_col),
