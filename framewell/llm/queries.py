@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewell.llm import decontaminate, exact_dedup, language_id, packing, sharding
+from framewell.llm import decontaminate, exact_dedup, jaccard_join, language_id, packing, sharding
 from framewell.llm.common import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -34,6 +34,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -61,6 +65,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
