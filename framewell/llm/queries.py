@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewell.llm import decontaminate, exact_dedup, jaccard_join, language_id, packing, sharding
+from framewell.llm import decontaminate, exact_dedup, jaccard_join, language_id, packing, pii, sentence_spans, sharding, suffix_dedup, warc
 from framewell.llm.common import read_table
+from framewell.plans.settle import shared_folder
 
+# A key for the shared test tables only; a real one is a secret of the caller.
+TEST_KEY = b"test tables only, not a secret"
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
 
@@ -34,6 +39,18 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read_table(spark, sf_dir, "documents"), TEST_KEY)
+
+
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeated(read_table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(read_table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
 
@@ -50,6 +67,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    folder = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
+    warc.write_archives(pages, folder)
+    index = warc.build_index(warc.read_archives(spark, folder))
+    found = warc.fetch(warc.lookup(index, pages.select(warc.url_key(warc.encoded(F.col("url"))).alias("key"))))
+    return found.select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to"
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file())
     return pieces.select(
@@ -65,8 +93,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
+    "op3_pii": op3_pii,
+    "op4_sentence_spans": op4_sentence_spans,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
+    "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
@@ -96,4 +128,11 @@ ORACLES = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM cut LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op8_warc": """
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN top = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN top <> page_id THEN top END AS refers_to
+        FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+                     CASE WHEN strlen(coalesce(html, '')) >= 1000 THEN max(page_id) OVER (PARTITION BY coalesce(html, '')) ELSE page_id END AS top
+              FROM pages)
+    """,
 }
