@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from framewell.llm.common import pick
 from framewell.plans.settle import settle
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 CACHED_BYTES = 64
 BATCH_BYTES = 4_000_000
 
@@ -80,6 +81,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, data.lower().split()))
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str, width: int) -> WordIds:
+    """One cache for each Python worker, kept from task to task."""
+    return WordIds(path, width)
+
+
 def id_width(path: str) -> int:
     """Bytes that hold every id of the vocabulary."""
     from tokenizers import Tokenizer
@@ -93,7 +100,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     fields = {f.name: f.dataType for f in docs.schema}
 
     def tokenise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer, width)
+        words = word_ids(tokenizer, width)
         end = words.packed([end_id])
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
