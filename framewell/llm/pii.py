@@ -116,11 +116,18 @@ def _ip(text: str, key: bytes, back: bool) -> str | None:
     parts = text.split(".")
     if any(int(p) > 255 or str(int(p)) != p for p in parts) or not 1 <= int(parts[0]) <= 223:
         return None
-    number = int.from_bytes(bytes(map(int, parts)), "big")
-    while True:
-        number = permuted(number, 1 << 32, key, "ip", back)
-        if 1 <= number >> 24 <= 223:
-            return ".".join(map(str, number.to_bytes(4, "big")))
+    # the values a part of this many digits can take: (smallest, how many)
+    ranges = [{1: (0, 10), 2: (10, 90), 3: (100, 156)}[len(p)] for p in parts]
+    ranges[0] = {1: (1, 9), 2: (10, 90), 3: (100, 124)}[len(parts[0])]
+    number, size = 0, 1
+    for p, (low, n) in zip(parts, ranges, strict=True):
+        number, size = number * n + int(p) - low, size * n
+    number = permuted(number, size, key, "ip " + " ".join(str(len(p)) for p in parts), back)
+    out = []
+    for low, n in reversed(ranges):
+        number, k = divmod(number, n)
+        out.append(str(low + k))
+    return ".".join(reversed(out))
 
 
 def _phone(text: str, key: bytes, back: bool) -> str | None:

@@ -6,7 +6,7 @@ of a passage keep the same suffixes.  The suffixes are sorted by a 128-bit finge
 of their first ``seed`` words, then by document and place (one range-partitioned sort,
 which also spreads a passage that very many documents share), and each is compared with
 its predecessor: the same seed means a repeat, which is extended word by word to the
-right and to the left.  The words around a position travel with it, just so many as an
+right and to the left, as far as one of the latest different surroundings of that seed agrees.  The words around a position travel with it, just so many as an
 extension to the next kept suffix can need, and only for seeds that occur twice.  The
 first and last suffix of each partition are compared in a second step.
 
@@ -39,6 +39,8 @@ from framewell.plans.settle import settle
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BATCH_BYTES = 4_000_000
+# Different surroundings of a seed that a match is extended against, the latest first.
+SURROUNDINGS = 32
 
 
 def kept_suffixes(words: list[bytes], hashes: WordHashes, gram: int, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,10 +72,11 @@ def extension(mine: list[str], theirs: list[str]) -> int:
     return n
 
 
-def match(row: dict, before: dict, seed: int) -> tuple[int, int]:
-    """Words ``from .. to`` of ``row`` that repeat its predecessor."""
-    left = extension(row["before"].split()[::-1], before["before"].split()[::-1])
-    right = extension(row["after"].split(), before["after"].split())
+def match(row: dict, around: list[tuple[str, str]], seed: int) -> tuple[int, int]:
+    """Words ``from .. to`` of ``row`` that repeat one of the earlier surroundings of its seed."""
+    before, after = row["before"].split()[::-1], row["after"].split()
+    left = max(extension(before, b.split()[::-1]) for b, _ in around)
+    right = max(extension(after, a.split()) for _, a in around)
     return row["pos"] - left, row["pos"] + seed + right
 
 
@@ -145,16 +148,20 @@ def remove_repeated(
     columns = ["seed", "doc_id", "_text", "pos", "before", "after"]
 
     def neighbours(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, part = None, 0
+        last, part, around = None, 0, []
         for batch in batches:
             out = []
             for values in zip(*[batch[c] for c in columns], strict=True):
                 row = dict(zip(columns, values, strict=True))
+                if last is not None and last["seed"] != row["seed"]:
+                    around = []
                 if last is None:
                     part = batch["part"].iloc[0]
                     out.append((part, "first", *values, 0, 0))
                 elif repeats(row, last):
-                    out.append((part, "match", None, row["doc_id"], row["_text"], None, None, None, *match(row, last, seed)))
+                    out.append((part, "match", None, row["doc_id"], row["_text"], None, None, None, *match(row, around, seed)))
+                if (row["before"], row["after"]) not in around:
+                    around = [(row["before"], row["after"]), *around[: SURROUNDINGS - 1]]
                 last = row
             yield pd.DataFrame(out, columns=["part", "what", *columns, "from", "to"])
         if last is not None:
@@ -166,7 +173,7 @@ def remove_repeated(
     )
     # two rows for each partition of the sort: the ends that had no neighbour in their task
     edges = sorted((r.asDict() for r in compared.where("what <> 'match'").collect()), key=lambda r: (r["part"], r["what"] == "last"))
-    joints = [(row["doc_id"], row["_text"], *match(row, before, seed)) for before, row in zip(edges[1::2], edges[2::2], strict=False) if repeats(row, before)]
+    joints = [(row["doc_id"], row["_text"], *match(row, [(before["before"], before["after"])], seed)) for before, row in zip(edges[1::2], edges[2::2], strict=False) if repeats(row, before)]
     matches = compared.where("what = 'match'").select("doc_id", "_text", "from", "to")
     if joints:
         matches = matches.union(docs.sparkSession.createDataFrame(joints, matches.schema))
