@@ -72,19 +72,27 @@ def extension(mine: list[str], theirs: list[str]) -> int:
     return n
 
 
-def match(row: dict, around: list[tuple[str, str]], seed: int) -> tuple[int, int]:
-    """Words ``from .. to`` of ``row`` that repeat one of the earlier surroundings of its seed."""
-    before, after = row["before"].split()[::-1], row["after"].split()
-    left = max(extension(before, b.split()[::-1]) for b, _ in around)
-    right = max(extension(after, a.split()) for _, a in around)
-    return row["pos"] - left, row["pos"] + seed + right
+def match(pos: int, before: list[str], after: list[str], around: list[tuple[list[str], list[str]]], seed: int) -> tuple[int, int]:
+    """Words ``from .. to`` at ``pos`` that repeat one of the earlier surroundings of the seed; words before a
+    seed are listed backwards."""
+    left = right = 0
+    for theirs_before, theirs_after in around:
+        if left < len(before):
+            left = max(left, len(before) if before == theirs_before else extension(before, theirs_before))
+        if right < len(after):
+            right = max(right, len(after) if after == theirs_after else extension(after, theirs_after))
+        if left == len(before) and right == len(after):
+            break
+    return pos - left, pos + seed + right
+
+
+def surroundings(before: str, after: str) -> tuple[list[str], list[str]]:
+    return before.split()[::-1], after.split()
 
 
-def repeats(row: dict, before: dict) -> bool:
-    if row["seed"] != before["seed"]:
-        return False
-    key = ("doc_id", "_text", "pos")
-    return any(not (row[c] == before[c] or (pd.isna(row[c]) and pd.isna(before[c]))) for c in key)
+def repeats(row: tuple, before: tuple) -> bool:
+    """Whether two neighbours ``seed, doc_id, _text, pos, ...`` are different places with the same seed."""
+    return row[0] == before[0] and (row[2:4] != before[2:4] or not (row[1] == before[1] or (pd.isna(row[1]) and pd.isna(before[1]))))
 
 
 def remove_repeated(
@@ -151,29 +159,34 @@ def remove_repeated(
         last, part, around = None, 0, []
         for batch in batches:
             out = []
-            for values in zip(*[batch[c] for c in columns], strict=True):
-                row = dict(zip(columns, values, strict=True))
-                if last is not None and last["seed"] != row["seed"]:
-                    around = []
+            for row in zip(*[batch[c].tolist() for c in columns], strict=True):
+                own = surroundings(row[4], row[5])
                 if last is None:
-                    part = batch["part"].iloc[0]
-                    out.append((part, "first", *values, 0, 0))
+                    part = int(batch["part"].iloc[0])
+                    out.append((part, "first", *row, 0, 0))
+                elif last[0] != row[0]:
+                    around = []
                 elif repeats(row, last):
-                    out.append((part, "match", None, row["doc_id"], row["_text"], None, None, None, *match(row, around, seed)))
-                if (row["before"], row["after"]) not in around:
-                    around = [(row["before"], row["after"]), *around[: SURROUNDINGS - 1]]
+                    out.append((part, "match", None, row[1], row[2], None, None, None, *match(row[3], *own, around, seed)))
+                if own not in around:
+                    around = [own, *around[: SURROUNDINGS - 1]]
                 last = row
             yield pd.DataFrame(out, columns=["part", "what", *columns, "from", "to"])
         if last is not None:
-            yield pd.DataFrame([(part, "last", *[last[c] for c in columns], 0, 0)], columns=["part", "what", *columns, "from", "to"])
+            yield pd.DataFrame([(part, "last", *last, 0, 0)], columns=["part", "what", *columns, "from", "to"])
 
     compared = settle(
         array.mapInPandas(neighbours, f"part int, what string, seed binary, doc_id {kind}, _text bigint, pos bigint, before string, after string, `from` bigint, `to` bigint"),
         "matches",
     )
     # two rows for each partition of the sort: the ends that had no neighbour in their task
-    edges = sorted((r.asDict() for r in compared.where("what <> 'match'").collect()), key=lambda r: (r["part"], r["what"] == "last"))
-    joints = [(row["doc_id"], row["_text"], *match(row, [(before["before"], before["after"])], seed)) for before, row in zip(edges[1::2], edges[2::2], strict=False) if repeats(row, before)]
+    edges = sorted(compared.where("what <> 'match'").collect(), key=lambda r: (r["part"], r["what"] == "last"))
+    edges = [tuple(bytes(r[c]) if c == "seed" else r[c] for c in columns) for r in edges]
+    joints = [
+        (row[1], row[2], *match(row[3], *surroundings(row[4], row[5]), [surroundings(before[4], before[5])], seed))
+        for before, row in zip(edges[1::2], edges[2::2], strict=False)
+        if repeats(row, before)
+    ]
     matches = compared.where("what = 'match'").select("doc_id", "_text", "from", "to")
     if joints:
         matches = matches.union(docs.sparkSession.createDataFrame(joints, matches.schema))
