@@ -24,6 +24,7 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
@@ -43,23 +44,20 @@ BATCH_BYTES = 4_000_000
 SURROUNDINGS = 32
 
 
-def kept_suffixes(words: list[bytes], hashes: WordHashes, gram: int, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the kept suffixes that have a whole seed, and the seeds as rows of two numbers."""
+def kept_suffixes(words: list[bytes], hashes: WordHashes, gram: int, window: int, seed: int) -> tuple[np.ndarray, list[bytes]]:
+    """Positions of the kept suffixes that have a whole seed, and the fingerprints of the seeds."""
     n = len(words)
     if n < max(window + gram - 1, seed):
-        return np.empty(0, np.int64), np.empty((0, 2), np.uint64)
+        return np.empty(0, np.int64), []
     at = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
     grams = np.zeros(n - gram + 1, np.uint64)
     for i in range(gram):
-        grams = mixed(grams * np.uint64(31) + at[i : i + len(grams)], i + 1)
-    views = np.lib.stride_tricks.sliding_window_view(grams, window)
+        grams = grams * np.uint64(0x9E3779B97F4A7C15) + at[i : i + len(grams)]
+    views = np.lib.stride_tricks.sliding_window_view(mixed(grams, 1), window)
     found = np.unique(views.argmin(axis=1) + np.arange(len(views)))
     found = found[found + seed <= n]
-    one, two = np.full(len(found), 1, np.uint64), np.full(len(found), 2, np.uint64)
-    for i in range(seed):
-        one = mixed(one * np.uint64(31) + at[found + i], 11)
-        two = mixed(two * np.uint64(37) + at[found + i], 23)
-    return found, np.stack([one, two], axis=1)
+    starts = at[found[:, None] + np.arange(seed)]
+    return found, [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in starts]
 
 
 def extension(mine: list[str], theirs: list[str]) -> int:
@@ -120,8 +118,7 @@ def remove_repeated(
                 found, rows = kept_suffixes((text.as_py() or b"").lower().split(), hashes, gram, window, seed)
                 at += [i] * len(found)
                 places.append(found)
-                raw = rows.tobytes()
-                seeds += [raw[k : k + 16] for k in range(0, len(raw), 16)]
+                seeds += rows
                 if at and (len(at) * 64 > BATCH_BYTES or i + 1 == batch.num_rows):
                     chosen = pa.array(at, pa.int64())
                     arrays = [pa.array(seeds, pa.binary()), batch.column("doc_id").take(chosen), batch.column("_text").take(chosen), pa.array(np.concatenate(places), pa.int64())]
