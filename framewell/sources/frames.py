@@ -11,6 +11,7 @@ a 512-pixel array is far cheaper to move than 512 rows.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -33,15 +34,16 @@ def to_pixels(rows: DataFrame, *, transpose: bool = False) -> DataFrame:
 
 
 def to_rows(pixels: DataFrame, geometry: Geometry) -> DataFrame:
-    """Pixels to lines; lines that miss a pixel are left out.
+    """Pixels to lines; lines that miss a pixel, repeat one or have one outside the width are left out.
 
     Groups hold at most ``width`` pixels, so the collected arrays are bounded.
     """
     line = F.sort_array(F.collect_list(F.struct("x", "adc")))
+    every_x = F.sequence(F.lit(0), F.lit(geometry.width - 1))
     return (
         pixels.groupBy(*FRAME_KEY, "y")
         .agg(line.alias("line"))
-        .where(F.size("line") == geometry.width)
+        .where(F.transform("line", lambda p: p["x"].cast("int")) == every_x)
         .select(*FRAME_KEY, "y", F.col("line.adc").alias("pixels"))
     )
 
@@ -61,28 +63,41 @@ def concat_frames(*stacks: DataFrame) -> DataFrame:
 
 
 # -- completeness ----------------------------------------------------------------------
-def frame_sizes(records: DataFrame) -> DataFrame:
-    """Records per frame; only the key columns are read and partial sums shuffled."""
-    return records.groupBy(*FRAME_KEY).agg(F.count(F.lit(1)).alias("n_records"))
+def frame_sizes(records: DataFrame, geometry: Geometry, *, long_form: bool = False) -> DataFrame:
+    """Per frame: ``n_records``, and ``n_places``, the different lines (or pixels) inside the geometry.
+
+    Only key columns are read; places are counted in bitmaps, which merge before the shuffle.
+    """
+    place, inside = F.col("y").cast("long"), F.col("y").between(0, geometry.height - 1)
+    if long_form:
+        place, inside = place * geometry.width + F.col("x"), inside & F.col("x").between(0, geometry.width - 1)
+    placed = records.select(*FRAME_KEY, F.when(inside, place).alias("place"))
+    parts = placed.groupBy(*FRAME_KEY, F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("place"))).alias("places")
+    )
+    return parts.groupBy(*FRAME_KEY).agg(F.sum("n").alias("n_records"), F.sum("places").alias("n_places"))
+
+
+def _whole(geometry: Geometry, long_form: bool):
+    expected = geometry.n_pixels if long_form else geometry.height
+    return (F.col("n_records") == expected) & (F.col("n_places") == expected)
 
 
 def complete_frames(records: DataFrame, geometry: Geometry, *, long_form: bool = False) -> DataFrame:
-    """Drop every frame that lacks lines (or pixels, in long form).
+    """Drop every frame that lacks lines (or pixels, in long form) or has some twice.
 
     Incomplete frames are the exception, so their keys are what gets joined:
     the frames themselves are not shuffled.
     """
-    expected = geometry.n_pixels if long_form else geometry.height
-    broken = frame_sizes(records).where(F.col("n_records") != expected).select(*FRAME_KEY)
-    return drop_keys(records, broken, FRAME_KEY)
+    sizes = frame_sizes(records, geometry, long_form=long_form)
+    return drop_keys(records, sizes.where(~_whole(geometry, long_form)).select(*FRAME_KEY), FRAME_KEY)
 
 
 def frame_inventory(records: DataFrame, geometry: Geometry, *, long_form: bool = False) -> DataFrame:
     """Per file: complete frames, records left over in incomplete ones, last complete frame."""
-    expected = geometry.n_pixels if long_form else geometry.height
-    whole = F.col("n_records") == expected
+    whole = _whole(geometry, long_form)
     return (
-        frame_sizes(records)
+        frame_sizes(records, geometry, long_form=long_form)
         .groupBy("file_id")
         .agg(
             F.count_if(whole).alias("n_frames"),
@@ -231,7 +246,9 @@ def extract_frames(
     available = frame_inventory(rows, geometry).agg(F.coalesce(F.sum("n_frames"), F.lit(0)).alias("n")).first()["n"]
     if start >= available:
         raise ValueError(f"start={start} is outside the file ({available} complete frames)")
-    n_frames = min(n_frames, available - start)
+    if n_frames > available - start:
+        warnings.warn(f"only {available - start} of {n_frames} frames follow frame {start}", stacklevel=2)
+        n_frames = available - start
     chosen = rows.where(F.col("frame_id").between(start, start + n_frames - 1))
     write_rows(chosen, path, geometry, lines_per_band=lines_per_band, mode="overwrite" if overwrite else "errorifexists")
     written = rows.sparkSession.read.parquet(path).count()

@@ -213,12 +213,14 @@ class WrittenFile(WriterCommitMessage):
     """One file of a task, still under its temporary name."""
 
     temporary: str | None = None
-    final: str | None = None
+    part: int | None = None
 
 
 class DetectorRawWriter(DataSourceArrowWriter):
     """One raw file per task.  Tasks write under temporary names of their own; the
-    commit renames those of the successful attempts, so retries leave no copies."""
+    commit renames those of the successful attempts, so retries leave no copies.  New files are numbered
+    after those in the folder, so appending keeps them, and overwriting removes them once the new ones are
+    in place.  Values outside the pixel type stop the job."""
 
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.folder = options["path"]
@@ -228,8 +230,8 @@ class DetectorRawWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
         os.makedirs(self.folder, exist_ok=True)
         dtype, n_lines = record_dtype(self.width), 0
-        name = f"part-{TaskContext.get().partitionId():06d}"
-        temporary = os.path.join(self.folder, f".{name}-{uuid.uuid4().hex}")
+        part = TaskContext.get().partitionId()
+        temporary = os.path.join(self.folder, f".part-{part:06d}-{uuid.uuid4().hex}")
         with open(temporary, "wb") as out:
             out.write(RAW_HEADER)
             for batch in iterator:
@@ -238,7 +240,10 @@ class DetectorRawWriter(DataSourceArrowWriter):
                 if not np.array_equal(y, np.arange(n_lines, n_lines + len(y)) % self.height):
                     raise ValueError("lines must arrive as whole frames, in order")
                 records = np.zeros(len(y), dtype)
-                records["pixels"] = table["pixels"].flatten().to_numpy().reshape(len(y), self.width)
+                pixels = table["pixels"].flatten().to_numpy().reshape(len(y), self.width)
+                if pixels.size and not 0 <= pixels.min() <= pixels.max() <= np.iinfo(dtype["pixels"].base).max:
+                    raise ValueError(f"pixel values {pixels.min()}..{pixels.max()} do not fit the file's pixel type")
+                records["pixels"] = pixels
                 records["marker"] = table["marker"].to_numpy() if "marker" in table else np.where(y == 0, FRAME_MARKER, LINE_MARKER)
                 records["counter"] = (
                     table["adc_counter"].to_numpy() if "adc_counter" in table else np.arange(n_lines, n_lines + len(y))
@@ -250,15 +255,21 @@ class DetectorRawWriter(DataSourceArrowWriter):
         if n_lines == 0:
             os.remove(temporary)
             return WrittenFile()
-        return WrittenFile(temporary, os.path.join(self.folder, f"{name}.raw"))
+        return WrittenFile(temporary, part)
 
     def commit(self, messages: list[WrittenFile | None]) -> None:
+        old = glob.glob(os.path.join(self.folder, "part-*.raw"))
+        numbers = [int(n) for n in (os.path.basename(f)[5:-4] for f in old) if n.isdigit()]
+        after = max(numbers, default=-1) + 1
+        named = lambda n: os.path.join(self.folder, f"part-{n:06d}.raw")
+        parts = sorted((m.part, m.temporary) for m in messages if m is not None and m.part is not None)
+        for part, temporary in parts:
+            os.replace(temporary, named(after + part))
         if self.overwrite:
-            for old in glob.glob(os.path.join(self.folder, "part-*.raw")):
-                os.remove(old)
-        for m in messages:
-            if m is not None and m.final is not None:
-                os.replace(m.temporary, m.final)
+            for f in old:
+                os.remove(f)
+            for part, _ in parts:
+                os.replace(named(after + part), named(part))
 
     def abort(self, messages: list[WrittenFile | None]) -> None:
         for m in messages:
