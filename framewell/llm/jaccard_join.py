@@ -17,8 +17,10 @@ to fill ``h + 1`` partitions sends them all and one more that stands for such se
 *Links.*  Equal sets are one node.  Candidates are compared exactly, by their sets.
 Instead of all pairs of a group, every node is first compared with the hub of its
 groups (the node that shares most) and linked nodes are merged; later rounds regard
-groups only as far as they still join different components, and a last round compares
-every remaining pair of nodes that share a signature but no component.  No link
+groups only as far as they still join different components.  In the end, members of a
+group that are still apart are told by what they differ in from its hub: if two of them
+link and are not tied by the hub, they have more than half of one's differences in
+common, so they share one of its rarest (see ``differing``).  Such pairs are compared.  No link
 between components is lost, and a group of copies costs one comparison a node.
 
 Defined cases: null and empty texts have no n-grams and are linked with nothing; a
@@ -47,6 +49,8 @@ BAND_RATIO = 1.6
 CACHED_WORDS = 500_000
 BATCH_BYTES = 4_000_000
 HUB_ROUNDS = 6
+# Groups of so many nodes are compared without a hub.
+SMALL_GROUP = 8
 
 
 class WordHashes(dict):
@@ -174,8 +178,8 @@ def prefixes(nodes: DataFrame) -> DataFrame:
     return settle(chosen.select("node", "t.token", "t.freq"), "prefix")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``u, v`` (``v`` may be a hub of many) whose sets link; every pair is compared once.
+def side_by_side(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` (``v`` may be a hub of many) with their sets ``a`` and ``b``.
 
     The set of a hub with many pairs is copied for as many groups of them as it has thousandths of all pairs.
     """
@@ -186,9 +190,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     dealt = pairs.join(many, "v", "left").withColumn("salt", F.pmod(F.xxhash64("u"), F.coalesce("copies", F.lit(1))).cast("int"))
     theirs = hubs.select("v", copies.alias("copies")).join(sets.select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
     theirs = theirs.select("v", "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
-    both = dealt.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u").join(theirs, ["v", "salt"])
+    return dealt.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u").join(theirs, ["v", "salt"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``u, v`` whose sets link; every pair is compared once."""
     common = F.size(F.array_intersect("a", "b"))
-    return both.where(common * 100 >= (F.size("a") + F.size("b") - common) * percent).select("u", "v")
+    linked = common * 100 >= (F.size("a") + F.size("b") - common) * percent
+    return side_by_side(pairs, sets).where(linked).select("u", "v")
 
 
 def live(prefix: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,23 +211,71 @@ def live(prefix: DataFrame, labels: DataFrame) -> DataFrame:
     return join_classes(named, open_, "token", "_n").drop("_n")
 
 
-def to_hubs(prefix: DataFrame) -> DataFrame:
-    """For every node one pair ``u, v`` with the most shared hub of its groups that is in another component."""
+def with_hubs(prefix: DataFrame) -> DataFrame:
+    """``prefix`` with the ``hub`` of each group: the node that shares most, its component and weight, and the group's size."""
     shares = prefix.groupBy("node").agg(F.sum("freq").alias("weight"))
     weighed = settle(prefix.join(shares, "node"), "weighed")
     hubs = weighed.groupBy("token").agg(
-        F.max_by("node", "weight").alias("hub"), F.max_by("component", "weight").alias("hub_component"),
-        F.max("weight").alias("hub_weight"), F.count(F.lit(1)).alias("_n"),
+        F.max_by("node", F.struct("weight", "node")).alias("hub"), F.max_by("component", F.struct("weight", "node")).alias("hub_component"),
+        F.max("weight").alias("hub_weight"), F.count(F.lit(1)).alias("members"),
     )
-    met = join_classes(weighed, settle(hubs, "tokens"), "token", "_n").where(F.col("component") != F.col("hub_component"))
+    return join_classes(weighed, settle(hubs, "tokens"), "token", "members")
+
+
+def to_hubs(prefix: DataFrame) -> DataFrame:
+    """For every node one pair ``u, v`` with the most shared hub of its groups that is in another component."""
+    met = with_hubs(prefix).where(F.col("component") != F.col("hub_component"))
     return met.groupBy("node").agg(F.max_by("hub", "hub_weight").alias("v")).select(F.col("node").alias("u"), "v")
 
 
-def remaining_pairs(prefix: DataFrame) -> DataFrame:
-    """Every pair of nodes that share a signature and are in different components."""
-    other = prefix.select("token", F.col("node").alias("v"), F.col("component").alias("c"))
-    met = prefix.join(other, "token").where((F.col("node") < F.col("v")) & (F.col("component") != F.col("c")))
-    return met.select(F.col("node").alias("u"), "v").distinct()
+def differing(prefix: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``u, v`` of nodes to the hubs of their groups, and the differences from the hubs that can lead to others.
+
+    Let x and y be the numbers of elements in which a and b differ from a hub c (a, b, c also
+    stand for sizes), and q = (100 - percent) / (100 + percent).  Linked sets differ in
+    at most (a + b) q elements, so a and b have at least (x + y - (a + b) q) / 2 of
+    those differences in common.  If b is not linked with c, y > (b + c) q, and that is more than
+    (x + (c - a) q) / 2, about half of a's own.  Hence a and b share one of a's x - that many
+    rarest differences (``near``).  If a is linked with c and b is not, x >= y - (a + b) q tells how many
+    of b's rarest ones are enough on its side.  Two sets linked with c need no pair.
+    """
+    tied = settle(prefix.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"), "component").distinct(), "tied")
+    apart = F.concat(F.array_except("a", "b"), F.array_except("b", "a"))
+    met = side_by_side(tied, sets).select("u", "v", "component", F.size("a").alias("a"), F.size("b").alias("c"), apart.alias("apart"))
+    met = met.withColumn("x", F.size("apart")).withColumn("linked", F.expr(f"x * {100 + percent} <= (a + c) * {100 - percent}"))
+    met = settle(met, "apart")
+
+    elements = met.select("u", "v", "component", "a", "c", "x", "linked", F.explode("apart").alias("e"))
+    elements = elements.withColumn("key", F.xxhash64("v", "e")).drop("e")
+    shared = settle(elements.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1"), "differences")
+    held = join_classes(elements, shared, "key", "freq").groupBy("u", "v", "component", "a", "c", "x", "linked")
+    ranked = held.agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("t"))
+    least = F.expr(f"floor((x * {100 + percent} + (c - a) * {100 - percent}) / {2 * (100 + percent)}) + 1")
+    far = F.expr(f"greatest(x - floor((a + a * 100 / {percent}) * {100 - percent} / {100 + percent}), 1)")
+    own = F.col("x") - F.size("t")  # differences that no other node has come first
+    ranked = ranked.withColumn("near", F.greatest(F.col("x") - least + 1 - own, F.lit(0)).cast("int"))
+    ranked = ranked.withColumn("all", F.when(F.col("linked"), F.col("near")).otherwise(F.greatest("near", F.col("x") - far + 1 - own)).cast("int"))
+    sent = ranked.select("u", "component", "linked", "near", F.posexplode(F.slice("t", 1, F.col("all"))).alias("pos", "t"))
+    sent = settle(sent.select("u", "component", "linked", (F.col("pos") < F.col("near")).alias("near"), "t.key"), "sent")
+    return met.where("linked").select("u", "v"), sent
+
+
+def remaining_pairs(prefix: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``u, v`` to hubs, and the pairs of nodes in different components that may link besides.
+
+    In groups of up to ``SMALL_GROUP`` nodes these are all pairs, in others those that share a rare difference from the hub.
+    """
+    held = settle(with_hubs(prefix), "held")
+    few = held.where(F.col("members") <= SMALL_GROUP)
+    other = few.select("token", F.col("node").alias("v"), F.col("component").alias("c"))
+    pairs = few.join(other, "token").where((F.col("node") < F.col("v")) & (F.col("component") != F.col("c")))
+    links, sent = differing(held.where(F.col("members") > SMALL_GROUP), sets, percent)
+    unlinked = sent.where("not linked").select("key", F.col("u").alias("v"), F.col("component").alias("c"), F.col("near").alias("v_near"))
+    met = sent.where("near").join(unlinked, "key").where(
+        (F.col("component") != F.col("c")) & (F.col("linked") | (F.col("v_near") & (F.col("u") < F.col("v"))))
+    )
+    found = pairs.select(F.col("node").alias("u"), "v").union(met.select("u", "v"))
+    return links, found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def link_components(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -226,21 +283,21 @@ def link_components(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFra
     spark = prefix.sparkSession
     labels = spark.createDataFrame([], "node bigint, component bigint")
     edges = spark.createDataFrame([], "u bigint, v bigint")
-    for last in [False] * HUB_ROUNDS + [True]:
+    for _ in range(HUB_ROUNDS):
         rest, n = settle_counted(live(prefix, labels), "live")
         if n == 0:
-            break
-        pairs = settle(remaining_pairs(rest) if last else to_hubs(rest), "pairs")
-        found, n_found = settle_counted(verified(pairs, sets, percent), "links")
-        if n_found:
-            edges = settle(edges.union(found), "edges")
-            labels = components(edges)
-        elif not last:
-            pairs = settle(remaining_pairs(rest), "pairs")  # hubs lead no further: compare what is left
-            found, n_found = settle_counted(verified(pairs, sets, percent), "links")
-            if n_found:
-                labels = components(edges.union(found))
-            break
+            return labels
+        found, n_found = settle_counted(verified(settle(to_hubs(rest), "pairs"), sets, percent), "links")
+        if n_found == 0:
+            break  # hubs lead no further
+        edges = settle(edges.union(found), "edges")
+        labels = components(edges)
+    else:
+        rest = settle(live(prefix, labels), "live")
+    links, pairs = remaining_pairs(rest, sets, percent)
+    found, n_found = settle_counted(links.union(verified(settle(pairs, "pairs"), sets, percent)), "links")
+    if n_found:
+        labels = components(edges.union(found))
     return labels
 
 
