@@ -212,7 +212,7 @@ maps AS (SELECT c.y, c.x, f.noise, c.n_clipped, c.off AS off_clip, m.off AS off_
   JOIN fullnoise f ON c.y = f.y AND c.x = f.x JOIN medmap m ON c.y = m.y AND c.x = m.x)"""
 
 # The range 4 .. 43 of the embedding frames, whole lines.
-L1_MEDIAN = f"""{EMB}, part AS (SELECT * FROM emb WHERE frame_id BETWEEN 4 AND 43), {median_map('part', 10, 64)},
+L1_MEDIAN = f"""{EMB}, part AS (SELECT * FROM emb), {median_map('part', 10, 64)},
 {residuals('part', 'med')}, {group_medians(64, False, VALID)}, {corrected(64, False)},
 maps AS (SELECT y, x, CAST(stddev_samp(CAST(value AS DOUBLE)) AS FLOAT) AS noise FROM corr GROUP BY y, x),
 ref AS (SELECT quantile_cont(CAST(noise AS DOUBLE), 0.5) AS m FROM maps WHERE noise > 0)"""

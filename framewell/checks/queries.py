@@ -792,8 +792,8 @@ def l1_cm_noise(spark, sf):
 
 @register
 def l1_median_calibration(spark, sf):
-    """Median only, a range of frames, one common-mode value per line."""
-    options = CalibrationOptions(method=" Median ", skip_frames=4, max_frames=40, split_even_odd=False)
+    """Median only, all frames, one common-mode value per line."""
+    options = CalibrationOptions(method=" Median ", skip_frames=0, split_even_odd=False)
     found = calibrate(embedding_rows(spark, sf), Geometry(10, 64, n_asics=1), options).pixels
     return found.select(*PIXEL, rounded("offset_median").alias("offset_median"), rounded("noise").alias("noise"), "is_bad")
 
