@@ -266,6 +266,27 @@ def test_jaccard_components_of_chains_and_crowds(spark):
     assert sorted((tuple(r) for r in jaccard_join.jaccard_classes(table).collect()), key=repr) == brute_components(data)
 
 
+def test_rare_differences_from_a_hub_find_every_link(spark, monkeypatch):
+    """No rounds of hubs and no small groups: all links but those to hubs come from shared differences."""
+    monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", 1)
+    rng = random.Random(21)
+    base, data = prose(rng, 100).split(), []
+    families = [[(rng.randrange(90), f"f{f}v{v}") for v in range(3)] for f in range(12)]
+    for i in range(140):  # members share a family's changes and have some of their own: replaced, dropped and added words
+        words = list(base)
+        for at, word in families[i % 12]:
+            words[at] = word
+        for _ in range(rng.randrange(3)):
+            at, how = rng.randrange(80), rng.randrange(3)
+            words[at : at + (how != 2)] = [] if how == 1 else [f"own{i}"]
+        data.append((i, " ".join(words + ["tail"] * (i % 5 == 0))))
+    want = brute_components(data)
+    assert 3 < len({r[2] for r in want}) < 140
+    table = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    assert sorted((tuple(r) for r in jaccard_join.jaccard_classes(table).collect()), key=repr) == want
+
+
 def test_components_of_paths_stars_and_loops(spark):
     pairs = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()}
