@@ -3,12 +3,19 @@
 Of each text only the suffixes at content-selected positions are kept: minimisers, the
 smallest hash of ``gram`` words in every window of ``window`` such grams.  So two copies
 of a passage keep the same suffixes.  The suffixes are sorted by a 128-bit fingerprint
-of their first ``seed`` words, then by document and place (one range-partitioned sort,
-which also spreads a passage that very many documents share), and each is compared with
-its predecessor: the same seed means a repeat, which is extended word by word to the
-right and to the left, as far as one of the latest different surroundings of that seed agrees.  The words around a position travel with it, just so many as an
-extension to the next kept suffix can need, and only for seeds that occur twice.  The
-first and last suffix of each partition are compared in a second step.
+of their first ``seed`` words, then by the words around them, document and place (one
+range-partitioned sort, which also spreads a passage that very many documents share),
+and each is compared with its predecessor: the same seed and surroundings mean a whole
+repeat.  The words around a position travel with it, just so many as an extension to
+the next kept suffix can need, and only for seeds that occur twice.  The first and last
+suffix of each partition are compared in a second step.
+
+What is left is one suffix, the earliest, of each seed and surroundings.  These are
+extended word by word to the right and to the left, as far as any earlier one of the
+seed agrees: in document order a suffix is put into the sorted list of those before it,
+where the longest agreement is with a neighbour (``Seen``).  Seeds with more than
+``in_task`` different surroundings are not gathered in one task: there the earliest place of every
+beginning is aggregated and joined back (``extended_by_prefix``), with the same result.
 
 Overlapping matches of a document are merged; those of at least ``least_words`` words
 are removed.  The first occurrence (smallest id, then first place) stays.  Any repeated
@@ -26,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,14 +42,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewell.llm.common import join_classes, join_sized, pick
+from framewell.llm.common import BROADCAST_BYTES, join_classes, join_sized, pick, settle_sized
 from framewell.llm.jaccard_join import WordHashes, mixed
 from framewell.plans.settle import settle
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BATCH_BYTES = 4_000_000
-# Different surroundings of a seed that a match is extended against, the latest first.
-SURROUNDINGS = 32
+# Different surroundings of one seed that a task compares in memory; seeds with more are aggregated.
+IN_TASK = 10_000
+SIDES = ("before", "after")
 
 
 def kept_suffixes(words: list[bytes], hashes: WordHashes, gram: int, window: int, seed: int) -> tuple[np.ndarray, list[bytes]]:
@@ -60,37 +69,86 @@ def kept_suffixes(words: list[bytes], hashes: WordHashes, gram: int, window: int
     return found, [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in starts]
 
 
-def extension(mine: list[str], theirs: list[str]) -> int:
-    """How many words two lists have in common from the start."""
-    n = 0
-    for a, b in zip(mine, theirs, strict=False):
-        if a != b:
-            break
-        n += 1
-    return n
+class Seen:
+    """Sorted different texts seen so far; every word in them ends with one blank."""
+
+    def __init__(self) -> None:
+        self.texts: list[str] = []
+
+    def longest(self, text: str) -> int:
+        """Words that ``text`` has in common, from the start, with any text seen before; then adds it."""
+        at = bisect_left(self.texts, text)
+        beside = self.texts[max(at - 1, 0) : at + 1]
+        if text in beside:
+            return text.count(" ")
+        self.texts.insert(at, text)
+        return max((common_words(text, other) for other in beside), default=0)
+
+
+def common_words(a: str, b: str) -> int:
+    """How many whole words two texts have in common from the start."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:  # the longest common beginning, by halving
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return a.count(" ", 0, low)
+
+
+def same_value(a, b) -> bool:
+    return a == b or bool(pd.isna(a) and pd.isna(b))
+
+
+def same_place(a: tuple, b: tuple) -> bool:
+    """Whether two rows ``seed, before, after, doc_id, _text, pos`` are one place, given twice."""
+    return same_value(a[3], b[3]) and a[4:6] == b[4:6]
+
+
+def whole_match(row: tuple, seed: int) -> tuple:
+    """``doc_id, _text, from, to`` of a suffix that repeats with all that is known around it."""
+    return row[3], row[4], row[5] - row[1].count(" "), row[5] + seed + row[2].count(" ")
 
 
-def match(pos: int, before: list[str], after: list[str], around: list[tuple[list[str], list[str]]], seed: int) -> tuple[int, int]:
-    """Words ``from .. to`` at ``pos`` that repeat one of the earlier surroundings of the seed; words before a
-    seed are listed backwards."""
-    left = right = 0
-    for theirs_before, theirs_after in around:
-        if left < len(before):
-            left = max(left, len(before) if before == theirs_before else extension(before, theirs_before))
-        if right < len(after):
-            right = max(right, len(after) if after == theirs_after else extension(after, theirs_after))
-        if left == len(before) and right == len(after):
-            break
-    return pos - left, pos + seed + right
+def resolve_edges(edges: list[tuple[bool, bool, tuple]], seed: int) -> tuple[list[tuple], list[tuple]]:
+    """Firsts of their surroundings, and matches, among the first rows of the partitions.
 
+    ``edges`` has two entries a partition, its first and its last row: whether the row
+    leads its surroundings within the partition, whether these began with the
+    partition, and the row.
+    """
+    leads, matches, before, before_leads = [], [], None, True
+    for (_, _, first), (leads_here, from_start, last) in zip(edges[::2], edges[1::2], strict=True):
+        first_leads = True
+        if before is None or before[:3] != first[:3]:
+            leads.append(first)
+        elif not (same_place(before, first) and before_leads):
+            first_leads = False
+            matches.append(whole_match(first, seed))
+        before, before_leads = last, leads_here and (first_leads or not from_start)
+    return leads, matches
 
-def surroundings(before: str, after: str) -> tuple[list[str], list[str]]:
-    return before.split()[::-1], after.split()
 
+def extended_by_prefix(leads: DataFrame, seed: int) -> DataFrame:
+    """``doc_id, _text, from, to`` of suffixes of seeds with very many surroundings.
 
-def repeats(row: tuple, before: tuple) -> bool:
-    """Whether two neighbours ``seed, doc_id, _text, pos, ...`` are different places with the same seed."""
-    return row[0] == before[0] and (row[2:4] != before[2:4] or not (row[1] == before[1] or (pd.isna(row[1]) and pd.isna(before[1]))))
+    A suffix reaches as far as its longest beginning that occurs at an earlier place.
+    """
+    place = F.struct("late", "doc_id", "_text", "pos")
+    beginnings = []
+    for side in SIDES:
+        n_words = F.length(side) - F.length(F.replace(side, F.lit(" ")))
+        lengths = leads.select("seed", place.alias("place"), side, F.explode(F.sequence(F.lit(0), n_words)).alias("n"))
+        text = F.concat_ws(" ", F.hex("seed"), F.lit(side), F.expr(f"substring_index({side}, ' ', n)"), F.col("n").cast("string"))
+        beginnings.append(lengths.select(F.unhex(F.md5(text.cast("binary"))).alias("beginning"), "place", F.lit(side).alias("side"), "n"))
+    rows = settle(beginnings[0].unionAll(beginnings[1]), "beginnings")
+    earliest = settle(rows.groupBy("beginning").agg(F.min("place").alias("earliest"), F.count(F.lit(1)).alias("n_rows")), "earliest")
+    found = join_classes(rows, earliest, "beginning", "n_rows").where(F.col("earliest") < F.col("place"))
+    reach = [F.max(F.when(F.col("side") == side, F.col("n"))).alias(side) for side in SIDES]
+    reached = found.groupBy("place").agg(*reach)
+    start, stop = F.col("place.pos") - F.col("before"), F.col("place.pos") + seed + F.col("after")
+    return reached.select("place.doc_id", "place._text", start.alias("from"), stop.alias("to"))
 
 
 def remove_repeated(
@@ -100,6 +158,7 @@ def remove_repeated(
     gram: int = 8,
     window: int = 25,
     seed: int = 26,
+    in_task: int = IN_TASK,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -136,57 +195,85 @@ def remove_repeated(
         for batch in batches:
             out, weight = [], 0
             for doc, same_text, text, spots in zip(batch["doc_id"], batch["_text"], batch["text"], batch["places"], strict=True):
-                words = [w.decode("utf-8") for w in text.encode("utf-8").lower().split()]
+                words = [w.decode("utf-8") + " " for w in text.encode("utf-8").lower().split()]
                 for s in spots:
                     pos, end = s["pos"], s["pos"] + seed
-                    around = " ".join(words[max(0, pos - reach) : pos]), " ".join(words[end : end + reach])
-                    out.append((bytes(s["seed"]), pd.isna(doc), doc, same_text, pos, *around))
-                    weight += 400
-                if weight > BATCH_BYTES:
-                    yield pd.DataFrame(out, columns=["seed", "late", "doc_id", "_text", "pos", "before", "after"])
-                    out, weight = [], 0
-            yield pd.DataFrame(out, columns=["seed", "late", "doc_id", "_text", "pos", "before", "after"])
-
-    around = met.mapInPandas(surround, f"seed binary, late boolean, doc_id {kind}, _text bigint, pos bigint, before string, after string")
-    order = ["seed", "late", "doc_id", "_text", "pos"]
+                    # the words before a seed are listed backwards
+                    around = "".join(words[max(0, pos - reach) : pos][::-1]), "".join(words[end : end + reach])
+                    out.append((bytes(s["seed"]), *around, pd.isna(doc), doc, same_text, pos))
+                    weight += 100 + len(around[0]) + len(around[1])
+                    if weight > BATCH_BYTES:
+                        yield pd.DataFrame(out, columns=["seed", *SIDES, "late", "doc_id", "_text", "pos"])
+                        out, weight = [], 0
+            yield pd.DataFrame(out, columns=["seed", *SIDES, "late", "doc_id", "_text", "pos"])
+
+    around = met.mapInPandas(surround, f"seed binary, before string, after string, late boolean, doc_id {kind}, _text bigint, pos bigint")
+    place = ["late", "doc_id", "_text", "pos"]
+    order = ["seed", *SIDES, *place]
     array = around.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    columns = ["seed", "doc_id", "_text", "pos", "before", "after"]
+    columns = ["seed", *SIDES, "doc_id", "_text", "pos"]
+    shape = f"part int, what string, leads boolean, from_start boolean, seed binary, before string, after string, doc_id {kind}, _text bigint, pos bigint"
+    names = ["part", "what", "leads", "from_start", *columns]
 
     def neighbours(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, part, around = None, 0, []
+        """Whole repeats, and the first row of each seed and surroundings in this partition."""
+        last, lead, first, part = None, None, None, 0
         for batch in batches:
             out = []
             for row in zip(*[batch[c].tolist() for c in columns], strict=True):
-                own = surroundings(row[4], row[5])
-                if last is None:
-                    part = int(batch["part"].iloc[0])
-                    out.append((part, "first", *row, 0, 0))
-                elif last[0] != row[0]:
-                    around = []
-                elif repeats(row, last):
-                    out.append((part, "match", None, row[1], row[2], None, None, None, *match(row[3], *own, around, seed)))
-                if own not in around:
-                    around = [own, *around[: SURROUNDINGS - 1]]
+                if first is None:
+                    part, first, lead = int(batch["part"].iloc[0]), row, row
+                    out.append((part, "first", True, True, *row))
+                elif lead[:3] != row[:3]:
+                    lead = row
+                    out.append((part, "lead", True, False, *row))
+                elif not same_place(lead, row):
+                    out.append((part, "match", False, False, *row))
                 last = row
-            yield pd.DataFrame(out, columns=["part", "what", *columns, "from", "to"])
+            yield pd.DataFrame(out, columns=names)
         if last is not None:
-            yield pd.DataFrame([(part, "last", *last, 0, 0)], columns=["part", "what", *columns, "from", "to"])
+            yield pd.DataFrame([(part, "last", same_place(lead, last), lead is first, *last)], columns=names)
 
-    compared = settle(
-        array.mapInPandas(neighbours, f"part int, what string, seed binary, doc_id {kind}, _text bigint, pos bigint, before string, after string, `from` bigint, `to` bigint"),
-        "matches",
-    )
+    compared = settle(array.mapInPandas(neighbours, shape), "matches")
     # two rows for each partition of the sort: the ends that had no neighbour in their task
-    edges = sorted(compared.where("what <> 'match'").collect(), key=lambda r: (r["part"], r["what"] == "last"))
-    edges = [tuple(bytes(r[c]) if c == "seed" else r[c] for c in columns) for r in edges]
-    joints = [
-        (row[1], row[2], *match(row[3], *surroundings(row[4], row[5]), [surroundings(before[4], before[5])], seed))
-        for before, row in zip(edges[1::2], edges[2::2], strict=False)
-        if repeats(row, before)
-    ]
-    matches = compared.where("what = 'match'").select("doc_id", "_text", "from", "to")
-    if joints:
-        matches = matches.union(docs.sparkSession.createDataFrame(joints, matches.schema))
+    ends = sorted(compared.where("what IN ('first', 'last')").collect(), key=lambda r: (r["part"], r["what"] == "last"))
+    edges = [(r["leads"], r["from_start"], tuple(bytes(r[c]) if c == "seed" else r[c] for c in columns)) for r in ends]
+    first_leads, joints = resolve_edges(edges, seed)
+    leads = compared.where("what = 'lead'").select(*columns)
+    leads = settle(
+        leads.unionAll(docs.sparkSession.createDataFrame(first_leads, leads.schema)).select("seed", *SIDES, F.col("doc_id").isNull().alias("late"), *columns[3:]),
+        "leads",
+    )
+    n_before, n_after = (F.length(side) - F.length(F.replace(side, F.lit(" "))) for side in SIDES)
+    matches = compared.where("what = 'match'").select(
+        "doc_id", "_text", (F.col("pos") - n_before).alias("from"), (F.col("pos") + seed + n_after).alias("to")
+    )
+    matches = matches.unionAll(docs.sparkSession.createDataFrame(joints, f"doc_id {kind}, _text bigint, `from` bigint, `to` bigint"))
+
+    def extend(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, seen = None, {}
+        for batch in batches:
+            out = []
+            for row in zip(*[batch[c].tolist() for c in columns], strict=True):
+                if again := last is not None and last[0] == row[0]:
+                    before, after = (seen[side].longest(text) for side, text in zip(SIDES, row[1:3], strict=True))
+                else:
+                    seen = {side: Seen() for side in SIDES}
+                    for side, text in zip(SIDES, row[1:3], strict=True):
+                        seen[side].longest(text)
+                if again:
+                    out.append((row[3], row[4], row[5] - before, row[5] + seed + after))
+                last = row
+            yield pd.DataFrame(out, columns=["doc_id", "_text", "from", "to"])
+
+    crowded = leads.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > in_task).select("seed")
+    crowded, n_bytes = settle_sized(crowded, F.lit(16), "crowded")
+    if n_bytes:
+        side = F.broadcast(crowded) if n_bytes <= BROADCAST_BYTES else crowded
+        matches = matches.unionAll(extended_by_prefix(leads.join(side, "seed", "left_semi"), seed))
+        leads = leads.join(side, "seed", "left_anti")
+    extended = leads.repartition("seed").sortWithinPartitions("seed", *place)
+    matches = matches.unionAll(extended.mapInPandas(extend, f"doc_id {kind}, _text bigint, `from` bigint, `to` bigint"))
     ranges = matches.groupBy("doc_id", "_text").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
     ranges = ranges.select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same"), "ranges")
     joined = join_sized(docs, ranges, same, F.lit(32) + 24 * F.size("ranges"), "ranges").select("doc_id", "text", "ranges")

@@ -220,6 +220,30 @@ def test_suffix_matches_survive_any_partitioning(docs, spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_suffix_matches_reach_as_far_as_any_earlier_place(spark, docs):
+    rng = random.Random(13)
+    core, out = prose(rng, 40).split(), []
+    left, right = prose(rng, 24).split(), prose(rng, 24).split()
+    for i in range(90):  # one passage in very many surroundings, which agree with others over different lengths
+        a, b = rng.randint(0, 24), rng.randint(0, 24)
+        mine = [*(f"l{i}x{k}" for k in range(30)), *left[24 - a :], *core, *right[:b], *(f"r{i}\u00a0{k}" for k in range(30))]
+        out.append((None if i == 40 else i, " ".join(mine)))
+    table = spark.createDataFrame([*out, out[3]], "doc_id bigint, text string").repartition(5)
+    seen, want = {}, {}
+    for doc, text in sorted(out, key=lambda r: (r[0] is None, r[0] or 0)):
+        words = text.encode().split()
+        runs = [tuple(words[i : i + 26]) for i in range(len(words) - 25)]
+        covered = {i + k for i, run in enumerate(runs) if run in seen for k in range(26)}
+        want[doc] = len(covered) if len(covered) >= 50 else 0
+        seen.update((run, doc) for run in runs)
+    for in_task in (suffix_dedup.IN_TASK, 1):
+        got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeated(table, in_task=in_task).collect()}
+        assert got == want, in_task
+    key = lambda r: repr(r)
+    plain = sorted(suffix_dedup.remove_repeated(docs).collect(), key=key)
+    assert sorted(suffix_dedup.remove_repeated(docs, in_task=1).collect(), key=key) == plain
+
+
 # -- Jaccard join --------------------------------------------------------------------------------
 def brute_components(table):
     sets = []
