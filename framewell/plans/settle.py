@@ -4,7 +4,9 @@ Several operators read one small result twice (a threshold and the table it is
 applied to), or feed a scan with a result of an earlier scan.  ``settle`` cuts
 the lineage there: the table is written as Parquet under the session's
 checkpoint folder, so a lost executor costs a re-read and never a second scan
-of the raw frames, and Catalyst knows its true size when it picks joins.
+of the raw frames, and Catalyst knows its true size when it picks joins.  The
+shuffle files behind a written table are removed with the write that made them,
+and do not wait for the driver to collect its garbage.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _MARK = "_framewell_settled"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,7 +48,12 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
         return df
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    keep = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, keep)
     written = spark.read.schema(df.schema).parquet(path)
     setattr(written, _MARK, True)
     return written
