@@ -1,14 +1,16 @@
 """Exact quantiles of columns too long to sort in one task.
 
-Up to ``IN_TASK`` values per group Spark's ``percentile`` does it in one go.
-Beyond that the wanted ranks are bracketed: each pass counts the values of the
-current bracket in ``BINS`` equal slices, keeps the slice that holds the rank and
+The wanted ranks are bracketed: each pass counts the values of the current
+brackets in ``BINS`` equal slices, keeps the slice that holds the rank and
 continues with that slice's own minimum and maximum until they meet.  A pass
-sends ``BINS`` rows per group and task, whatever the number of values or copies.
+sends ``BINS`` rows per bracket and task, whatever the number of values or
+copies.  The values are written once, so a pass never repeats what made them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,20 +18,26 @@ from framewell.functions.columns import NAN
 from framewell.plans.joins import join_counted
 from framewell.plans.settle import settle
 
-IN_TASK = 2_000_000
 BINS = 4096
 
 
-def exact_quantile(
-    df: DataFrame, value: str, q: float, keys: list[str], *, in_task: int = IN_TASK, nan_result: bool = True
-) -> DataFrame:
+def exact_quantile(df: DataFrame, value: str, q: float, keys: list[str], *, nan_result: bool = True) -> DataFrame:
     """``keys, quantile``: linear-interpolated quantile of ``value`` per group.
 
     NULL is skipped.  A NaN in a group makes its quantile NaN, or is skipped with
     ``nan_result=False``.
     """
-    values = df.select(*keys, F.col(value).cast("double").alias("v"))
+    return exact_quantiles(df, value, [q], keys, nan_result=nan_result).drop("i")
+
+
+def exact_quantiles(
+    df: DataFrame, value: str, qs: Sequence[float], keys: list[str], *, nan_result: bool = True
+) -> DataFrame:
+    """``keys, i, quantile``: as :func:`exact_quantile` for the i-th of several probabilities."""
+    values = settle(df.select(*keys, F.col(value).cast("double").alias("v")).where("v IS NOT NULL"), "values")
     number = F.when(~F.isnan("v"), F.col("v"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)]))
+    groups = df.select(*keys).distinct().select(*keys, wanted.alias("wanted")).select(*keys, "wanted.*")
     sizes = settle(
         values.groupBy(*keys).agg(
             F.count(number).alias("n"),
@@ -39,23 +47,18 @@ def exact_quantile(
         ),
         "sizes",
     )
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    values = values.where(~F.isnan("v"))
-    if largest <= in_task:
-        found = values.groupBy(*keys).agg(F.percentile("v", F.lit(q)).alias("quantile"))
-    else:
-        found = _narrow(values, sizes, q, keys)
-    out = sizes.select(*keys, "n_nan").join(found, keys, "left")
+    found = _narrow(values.where(~F.isnan("v")), sizes.select("*", wanted.alias("wanted")).select(*keys, "wanted.*", "n", "lo", "hi"), keys)
+    out = groups.join(sizes.select(*keys, "n_nan"), keys, "left").join(found, [*keys, "i"], "left")
     poisoned = F.col("quantile").isNull() | (F.col("n_nan") > 0 if nan_result else F.lit(False))
-    return out.select(*keys, F.when(poisoned, F.lit(NAN)).otherwise(F.col("quantile")).alias("quantile"))
+    return out.select(*keys, "i", F.when(poisoned, F.lit(NAN)).otherwise(F.col("quantile")).alias("quantile"))
 
 
-def _narrow(values: DataFrame, sizes: DataFrame, q: float, keys: list[str]) -> DataFrame:
-    """Bracket the two ranks around ``q`` until each bracket is a single value."""
-    at = (F.col("n") - 1) * F.lit(q)
+def _narrow(values: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Bracket the two ranks around each wanted place until each bracket is a single value."""
+    at = (F.col("n") - 1) * F.col("q")
     ranks = F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))).alias("rank")
     state = settle(
-        sizes.where("n > 0").select(*keys, at.alias("at"), ranks, "lo", "hi", F.lit(0).cast("bigint").alias("below")),
+        wanted.where("n > 0").select(*keys, "i", at.alias("at"), ranks, "lo", "hi", F.lit(0).cast("bigint").alias("below")),
         "brackets",
     )
     slice_no = F.when(
@@ -79,6 +82,7 @@ def _narrow(values: DataFrame, sizes: DataFrame, q: float, keys: list[str]) -> D
             .where(holds)
             .select(
                 *keys,
+                "i",
                 "at",
                 "rank",
                 F.col("slice_lo").alias("lo"),
@@ -88,4 +92,5 @@ def _narrow(values: DataFrame, sizes: DataFrame, q: float, keys: list[str]) -> D
         )
         state = settle(state.where("lo >= hi").unionByName(narrowed), "brackets")
     lower, upper = F.min("lo"), F.max("lo")
-    return state.groupBy(*keys).agg((lower + (upper - lower) * (F.first("at") - F.floor(F.first("at")))).alias("quantile"))
+    between = (lower + (upper - lower) * (F.first("at") - F.floor(F.first("at")))).alias("quantile")
+    return state.groupBy(*keys, "i").agg(between)

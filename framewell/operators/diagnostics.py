@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewell.functions.columns import NAN, as_col, finite_or_null, keep_where
-from framewell.functions.quantiles import exact_quantile
+from framewell.functions.quantiles import exact_quantile, exact_quantiles
 from framewell.geometry import Geometry
 from framewell.operators.offsets import PIXEL
+from framewell.plans.settle import settle
 
 # Bins, percentile ranges and fields of the standard diagnostics.
 MAP_BINS, FRAME_BINS = 200, 100
@@ -75,11 +76,16 @@ def histogram(df: DataFrame, value: Column | str, low: Column, high: Column, bin
     )
 
 
+def _span(df: DataFrame, low: Column, high: Column) -> tuple[Column, Column]:
+    """Both ends of a range as scalars of one written row, found in one pass."""
+    ends = settle(df.agg(low.alias("low"), high.alias("high")), "span")
+    return ends.select("low").scalar(), ends.select("high").scalar()
+
+
 def percentile_histogram(df: DataFrame, value: str, *, where: Column | None = None, bins: int = MAP_BINS) -> DataFrame:
     """Histogram of a per-pixel map over its central 99 percent."""
     v = _not_nan(value) if where is None else F.when(where, _not_nan(value))
-    span = df.agg(F.percentile(v, F.array(*map(F.lit, RANGE_PERCENTILES)))).scalar()
-    return histogram(df, v, F.get(span, F.lit(0)), F.get(span, F.lit(1)), bins)
+    return histogram(df, v, *_span(df, *[F.percentile(v, F.lit(q)) for q in RANGE_PERCENTILES]), bins)
 
 
 def noise_histogram(
@@ -92,14 +98,13 @@ def noise_histogram(
     v = F.when(geometry.is_active("x"), _number("noise") if usable_only else _not_nan("noise"))
     if usable_only:
         v = F.when(v > 0, v)
-    top = noise_map.agg(F.percentile(v, F.lit(RANGE_PERCENTILES[1]))).scalar()
-    return histogram(noise_map, v, F.lit(0.0), top, bins)
+    return histogram(noise_map, v, *_span(noise_map, F.lit(0.0), F.percentile(v, F.lit(RANGE_PERCENTILES[1]))), bins)
 
 
 def full_histogram(df: DataFrame, value: str, *, bins: int = FRAME_BINS) -> DataFrame:
     """Histogram of the finite values from their minimum to their maximum."""
     v = _number(value)
-    return histogram(df, v, df.agg(F.min(v)).scalar(), df.agg(F.max(v)).scalar(), bins)
+    return histogram(df, v, *_span(df, F.min(v), F.max(v)), bins)
 
 
 def adjusted_edges(df: DataFrame, edges: Sequence[float], value: str | None = None) -> DataFrame:
@@ -115,11 +120,12 @@ def adjusted_edges(df: DataFrame, edges: Sequence[float], value: str | None = No
         value = next((c for c in PREFERRED_FIELDS if c in df.columns), numeric[0] if numeric else None)
     if value is None:
         return given.select("i", F.col("given").alias("edge"))
-    percents = F.array(*map(F.lit, RANGE_PERCENTILES))
-    span = df.agg(F.percentile(_number(value), percents).alias("p")).scalar()
-    lo, hi = F.get(span, F.lit(0)), F.get(span, F.lit(1))
+    numbers = df.select(F.lit("all").alias("of"), _number(value).alias("v"))
+    found = settle(exact_quantiles(numbers, "v", RANGE_PERCENTILES, ["of"]), "edges")
+    lo, hi = (found.where(F.col("i") == i).select("quantile").scalar() for i in (0, 1))
     last = max(len(edges) - 1, 1)
-    return given.select("i", F.coalesce(lo + (hi - lo) * F.col("i") / last, F.col("given")).alias("edge"))
+    spread = lo + (hi - lo) * F.col("i") / last
+    return given.select("i", F.coalesce(F.nanvl(spread, "given"), "given").alias("edge"))
 
 
 # -- display limits -----------------------------------------------------------------------------
@@ -203,8 +209,10 @@ def stored_diagnostics(stored, geometry: Geometry) -> dict[str, DataFrame]:
         out["difference_limits"] = map_limits(absolute, (0.99,), nan_result=False)
     out["noise_histogram"] = full_histogram(pixels, "noise")
     out["noise_summary"] = summary(pixels, "noise")
+    out["noise_limits"] = map_limits(pool((pixels, "noise")), (0.01, 0.99), nan_result=False)
     if "n_clipped" in pixels.columns:
         out["clip_summary"] = clip_map_summary(pixels)
+        out["clip_limits"] = map_limits(pool((pixels, "n_clipped")), (0.95,), nan_result=False)
     if "is_bad" in pixels.columns:
         out["noise_without_bad"] = noise_without_bad(pixels)
         out["mask_size"] = mask_size(pixels)

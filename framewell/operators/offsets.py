@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewell.functions.columns import INF, NAN, f32, is_valid_adc
-from framewell.functions.value_counts import clip_rounds, weighted_median
+from framewell.functions.value_counts import clip_rounds, weighted_median, weighted_spread
 from framewell.geometry import Geometry
 from framewell.plans.settle import settle
 
@@ -38,21 +38,6 @@ def on_grid(per_pixel: DataFrame, geometry: Geometry) -> DataFrame:
     return geometry.grid(per_pixel.sparkSession).join(per_pixel, PIXEL, "left")
 
 
-def power_sum(power: int) -> Column:
-    """Sum of ``adc**power`` over the counted values, exact in BIGINT."""
-    adc = F.col("adc").cast("bigint")
-    term = F.col("n")
-    for _ in range(power):
-        term = term * adc
-    return F.sum(term)
-
-
-def sample_spread(n: Column, s1: Column, s2: Column) -> Column:
-    """Sample standard deviation from exact power sums; NULL below two values."""
-    squares = F.greatest(s2 - s1 * (s1 / n), F.lit(0.0))
-    return F.when(n >= 2, F.sqrt(squares / F.greatest(n - 1, F.lit(1))))
-
-
 def pixel_values(histogram: DataFrame) -> DataFrame:
     """``(y, x, values)``: the counted values of each pixel as one list, ascending.
 
@@ -78,11 +63,8 @@ def histogram_noise(histogram: DataFrame, geometry: Geometry) -> DataFrame:
     Shifting by a constant does not change it, so the histogram suffices.
     NaN with fewer than two valid values.
     """
-    sums = histogram.groupBy(*PIXEL).agg(
-        F.sum("n").alias("n"), power_sum(1).alias("s1"), power_sum(2).alias("s2")
-    )
-    noise = sample_spread(F.col("n"), F.col("s1"), F.col("s2"))
-    return on_grid(sums, geometry).select(*PIXEL, F.coalesce(f32(noise), f32(F.lit(NAN))).alias("noise"))
+    spread = pixel_values(histogram).select(*PIXEL, weighted_spread("values.adc", "values.n").alias("noise"))
+    return on_grid(spread, geometry).select(*PIXEL, _as_offset("noise", "noise"))
 
 
 # -- iterative upper-tail clipping ---------------------------------------------------------

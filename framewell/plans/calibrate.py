@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewell.functions.columns import NAN, f32
-from framewell.functions.value_counts import weighted_median
+from framewell.functions.value_counts import weighted_median, weighted_spread
 from framewell.geometry import Geometry
 from framewell.operators import badpix, common_mode, noise, offsets
 from framewell.operators.offsets import PIXEL
 from framewell.plans.settle import settle
 from framewell.sources.frames import frame_count, selection, to_pixels
-from framewell.sources.raw import frame_range, inspect_file, read_raw, resolve_paths
+from framewell.sources.raw import frame_range, inspect_files, read_raw, resolve_paths
 from framewell.sources.store import save_calibration
 
 METHODS = {"both": ("median", "sigclip"), "median": ("median",), "sigclip": ("sigclip",)}
@@ -161,10 +161,12 @@ def calibrate_raw(
 ) -> Calibration:
     """:func:`calibrate` straight from raw files.
 
-    Selection and counting are arithmetic on file sizes, so the files are only
-    read for the calibration itself.
+    Selection and counting are arithmetic on file sizes: each needed file is looked
+    at once, and read only for the calibration itself.
     """
-    counts = [inspect_file(p, geometry.height, geometry.width).n_frames for p in resolve_paths(paths)]
+    needed = None if options.max_frames is None else options.skip_frames + options.max_frames
+    files = inspect_files(resolve_paths(paths), geometry.height, geometry.width, needed)
+    counts = [f.n_frames for f in files]
     ranges = frame_range(counts, options.skip_frames, options.max_frames)
     rows = read_raw(
         spark,
@@ -175,6 +177,7 @@ def calibrate_raw(
         frames_per_partition=frames_per_partition,
         lines_per_partition=lines_per_partition,
         with_header=False,
+        frame_counts=counts,
     )
     return calibrate(rows, geometry, options, n_frames=sum(stop - start for start, stop in ranges))
 
@@ -198,16 +201,10 @@ def quick_calibrate(
     if n_frames < 2:
         raise ValueError("at least two frames are needed for a noise estimate")
     histogram = offsets.pixel_histogram(pixels, geometry)
-    counted = F.struct("adc", "n")
-    per_pixel = histogram.groupBy(*PIXEL).agg(
-        F.sort_array(F.collect_list(counted)).alias("values"),
-        F.sum("n").alias("n"),
-        offsets.power_sum(1).alias("s1"),
-        offsets.power_sum(2).alias("s2"),
+    counted = ("values.adc", "values.n")
+    found = offsets.pixel_values(histogram).select(
+        *PIXEL, weighted_median(*counted).alias("median"), weighted_spread(*counted).alias("spread")
     )
-    median = weighted_median("values.adc", "values.n")
-    spread = offsets.sample_spread(F.col("n"), F.col("s1"), F.col("s2"))
-    found = per_pixel.select(*PIXEL, median.alias("median"), spread.alias("spread"))
     nan = f32(F.lit(NAN))
     maps = offsets.on_grid(found, geometry).select(
         *PIXEL, F.coalesce(f32("median"), nan).alias("offset"), F.coalesce(f32("spread"), nan).alias("noise")

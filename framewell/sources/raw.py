@@ -17,6 +17,7 @@ import os
 import uuid
 import warnings
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +42,7 @@ MARKER_TYPE, COUNTER_TYPE, PIXEL_TYPE = "<u2", "<u4", "<u2"
 
 BATCH_BYTES = 8 * 1024 * 1024
 DEFAULT_FRAMES_PER_PARTITION = 64
+OPENED_AT_ONCE = 32
 # Beyond this many partitions the default frame count per partition grows instead.
 MAX_DEFAULT_PARTITIONS = 50_000
 
@@ -89,6 +91,19 @@ def inspect_file(path: str, height: int, width: int) -> RawFile:
     return RawFile(path, n_frames, orphans)
 
 
+def inspect_files(paths: Sequence[str], height: int, width: int, needed: int | None = None) -> list[RawFile]:
+    """Look at each file once, several at a time; with ``needed`` only at the first files that hold so many frames."""
+    if needed is None:
+        with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+            return list(pool.map(lambda path: inspect_file(path, height, width), paths))
+    found: list[RawFile] = []
+    for path in paths:
+        if found and sum(f.n_frames for f in found) >= needed:
+            break
+        found.append(inspect_file(path, height, width))
+    return found
+
+
 def frame_range(n_frames: Sequence[int], skip: int, max_frames: int | None) -> list[tuple[int, int]]:
     """Per file the half-open frame range left by skip (first file) and a running maximum."""
     if skip < 0:
@@ -130,12 +145,17 @@ class DetectorRawReader(DataSourceReader):
         self.skip = get("skipFrames", 0)
         self.max_frames = int(options["maxFrames"]) if "maxFrames" in options else None
         self.frames = json.loads(options["frames"]) if "frames" in options else None
+        self.frame_counts = json.loads(options["frameCounts"]) if "frameCounts" in options else None
         self.frames_per_partition = get("framesPerPartition", 0)
         self.lines_per_partition = get("linesPerPartition", self.height)
         self.with_header = options.get("withHeader", "true").lower() == "true"
 
     def partitions(self) -> list[InputPartition]:
-        files = [inspect_file(p, self.height, self.width) for p in self.paths]
+        if self.frame_counts is not None:  # known to the caller, for the first files at least
+            files = [RawFile(p, n, 0) for p, n in zip(self.paths, self.frame_counts, strict=False)]
+        else:
+            needed = None if self.max_frames is None or self.frames is not None else self.skip + self.max_frames
+            files = inspect_files(self.paths, self.height, self.width, needed)
         if self.frames is not None:
             runs = self._runs_of_requested(files)
         else:
@@ -308,8 +328,12 @@ def read_raw(
     frames_per_partition: int | None = None,
     lines_per_partition: int | None = None,
     with_header: bool = True,
+    frame_counts: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Read raw files as lines.  ``with_header=False`` drops marker and counter at the scan."""
+    """Read raw files as lines.  ``with_header=False`` drops marker and counter at the scan.
+
+    ``frame_counts``, the frames of the first files where known, spares looking at them again.
+    """
     spark.dataSource.register(DetectorRawSource)
     entries = [paths] if isinstance(paths, (str, os.PathLike)) else list(paths)
     reader = (
@@ -324,6 +348,7 @@ def read_raw(
         "maxFrames": max_frames,
         "frames": None if frames is None else json.dumps([int(f) for f in frames]),
         "framesPerPartition": frames_per_partition,
+        "frameCounts": None if frame_counts is None else json.dumps(list(frame_counts)),
         "linesPerPartition": lines_per_partition,
     }
     for name, value in optional.items():

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from framewell.functions.quantiles import exact_quantile
+from framewell.functions.quantiles import exact_quantile, exact_quantiles
 from framewell.geometry import Geometry
 from framewell.operators import diagnostics as dg
 from tests.fixtures import map_frame
@@ -128,10 +128,13 @@ def test_quantiles_by_counting_equal_sorting(spark, q):
     }
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("spread", math.nan), ("copies", None)]
     table = spark.createDataFrame(rows, "g string, v double")
-    for in_task in (1, 10**6):
-        found = {r["g"]: r["quantile"] for r in exact_quantile(table, "v", q, ["g"], in_task=in_task, nan_result=False).collect()}
-        for g, vs in groups.items():
-            assert found[g] == pytest.approx(np.quantile(vs, q), rel=1e-12), (g, in_task)
+    found = {r["g"]: r["quantile"] for r in exact_quantile(table, "v", q, ["g"], nan_result=False).collect()}
+    for g, vs in groups.items():
+        assert found[g] == pytest.approx(np.quantile(vs, q), rel=1e-12), g
+    several = exact_quantiles(table, "v", [q, 0.5], ["g"], nan_result=False).collect()
+    assert {(r["g"], r["i"]) for r in several} == {(g, i) for g in groups for i in (0, 1)}
+    for r in several:
+        assert r["quantile"] == pytest.approx(np.quantile(groups[r["g"]], (q, 0.5)[r["i"]]), rel=1e-12), r
     strict = {r["g"]: r["quantile"] for r in exact_quantile(table, "v", q, ["g"]).collect()}
     assert math.isnan(strict["spread"]) and not math.isnan(strict["copies"])
 

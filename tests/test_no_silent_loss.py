@@ -1,8 +1,14 @@
 """Nothing is lost, wrapped or passed off as whole without a word."""
 
+import json
+import math
+
+import numpy as np
 import pytest
 
 from framewell import Geometry
+from framewell.operators.offsets import histogram_noise, sigma_clip
+from framewell.sources import raw
 from framewell.sources.frames import complete_frames, extract_frames, frame_inventory, to_rows
 from framewell.sources.raw import DetectorRawSource, read_raw
 
@@ -55,3 +61,29 @@ def test_a_line_twice_is_not_a_whole_frame(spark):
 def test_a_short_extract_warns(spark, tmp_path):
     with pytest.warns(UserWarning, match="only 3 of 10"):
         assert extract_frames(frames(spark, 4), str(tmp_path / "out"), G, start=1, n_frames=10) == 3
+
+
+def test_wide_values_keep_exact_sums(spark):
+    geometry = Geometry(height=1, width=2, n_asics=1, n_bits=26)
+    counted = [(0, 0, 60_000_000, 3000), (0, 0, 60_000_002, 3000), (0, 1, 3, 1 << 33), (0, 1, 5, 1 << 33)]
+    histogram = spark.createDataFrame(counted, "y int, x int, adc int, n bigint")
+    clipped = {r["x"]: r for r in sigma_clip(histogram, geometry).per_pixel.collect()}
+    assert clipped[0]["offset_sigclip"] == np.float32(60_000_001) and clipped[0]["n_kept"] == 6000  # maps are 32-bit floats
+    assert clipped[1]["offset_sigclip"] == 4 and clipped[1]["n_kept"] == 1 << 34
+    noise = {r["x"]: r["noise"] for r in histogram_noise(histogram, geometry).collect()}
+    assert noise[0] == pytest.approx(math.sqrt(6000 / 5999)) and noise[1] == pytest.approx(1.0)
+
+
+def test_each_needed_file_is_looked_at_once(tmp_path, monkeypatch):
+    looked = []
+    known = raw.RawFile("", 4, 0)
+    monkeypatch.setattr(raw, "inspect_file", lambda path, height, width: looked.append(path) or known)
+    assert len(raw.inspect_files(["a", "b", "c"], 2, 2, needed=5)) == 2 and looked == ["a", "b"]
+    looked.clear()
+    assert len(raw.inspect_files(["a", "b", "c"], 2, 2)) == 3 and sorted(looked) == ["a", "b", "c"]
+    looked.clear()
+    for name in ("a", "b", "c"):
+        (tmp_path / name).touch()
+    paths = json.dumps([str(tmp_path / name) for name in ("a", "b", "c")])
+    reader = raw.DetectorRawReader({"paths": paths, "height": "2", "width": "2", "frameCounts": "[4, 4]", "maxFrames": "5"})
+    assert sum(p.n_frames for p in reader.partitions()) == 5 and not looked
