@@ -4,14 +4,19 @@ Texts become vectors of character n-grams (one to three letters, hashed into a
 fixed number of buckets), weighted by logarithmic term frequency and inverse
 document frequency and brought to unit length.  Each language's training vectors are
 clustered into a few centroids by spherical k-means, and a text gets the language of
-the centroid with the largest cosine.  A text whose cosine falls far below what
-training texts of about its length reach is rejected: it is too distant from every
-language learned.
+the centroid with the largest cosine.  A text whose cosine falls well below what
+labelled texts of that language and of about its length reach is rejected: it is too
+distant from every language learned.  Those labelled texts are held out of the
+centroids, and a low quantile and the median of their cosines count, so that neither a
+text's share in its own centroid nor a few odd texts set the limit.
 
 Fitting uses a bounded sample: at most ``per_language`` labelled documents of each
-language, those with the smallest hash of their id (a documented bound, independent
-of the input's size); lengthy training texts also serve as short snippets, so that
-short texts have their own distance limits.  Prediction reads every whole text and
+language for the centroids and a quarter as many for the limits, those with the
+smallest hash of their id (a documented bound, independent of the input's size);
+lengthy texts also serve as short snippets, so that short texts have their own
+distance limits.  Of a language with fewer than five documents none is held out; it
+takes the smallest limits of the others, and without others nothing is rejected for
+its distance.  Prediction reads every whole text and
 shuffles nothing: the model is broadcast (languages x clusters x buckets numbers,
 with at most ``MAX_LANGUAGES`` languages).
 
@@ -41,6 +46,8 @@ MAX_LANGUAGES = 1000
 BUCKETS = 8192
 SNIPPETS = (12, 40, 160, 640)  # letters and spaces of the shorter training texts
 LENGTH_BANDS = 24
+HELD_OUT = 5  # every fifth sampled document is for the limits
+LEAST_COSINES = 50  # of a length band, else shorter texts count too
 
 
 @dataclass
@@ -48,7 +55,7 @@ class Model:
     languages: list[str]  # of every centroid
     centroids: np.ndarray  # centroids x buckets, unit rows
     idf: np.ndarray
-    limits: np.ndarray  # smallest accepted cosine by length band
+    limits: np.ndarray  # smallest accepted cosine by centroid and length band
 
 
 @lru_cache(maxsize=1)
@@ -107,15 +114,36 @@ def spherical_kmeans(rows: np.ndarray, clusters: int, rounds: int) -> np.ndarray
 
 
 def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """At most so many documents of each language; ids and hashes are ranked, texts follow for the chosen."""
+    """At most so many documents of each language and a quarter as many that are ``held``.
+
+    Ids and hashes are ranked, texts follow for the chosen.
+    """
     keyed = docs.select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("_order"))
     ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id")))
-    chosen = settle(ranked.where(F.col("_rank") <= per_language).drop("_rank"), "sample")
+    most = per_language * HELD_OUT // (HELD_OUT - 1)
+    chosen = ranked.where(F.col("_rank") <= most).withColumn("held", F.col("_rank") % HELD_OUT == 0)
+    chosen = settle(chosen.groupBy("doc_id", "lang", "_order").agg(F.min("held").alias("held")), "sample")
     if chosen.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     same = docs.withColumn("_order", F.xxhash64("doc_id", "text"))
-    # per_language rows of at most MAX_LANGUAGES languages
-    return same.join(F.broadcast(chosen.distinct()), ["doc_id", "lang", "_order"]).select("lang", "text")
+    # 1.25 times per_language rows of at most MAX_LANGUAGES languages
+    return same.join(F.broadcast(chosen), ["doc_id", "lang", "_order"]).select("lang", "text", "held")
+
+
+def band_limits(cosines: dict[int, list[float]], quantile: float, tolerance: float) -> np.ndarray:
+    """The limit of every length band from the cosines by band.
+
+    A band counts with its neighbours, and with ever shorter texts until there are enough.
+    """
+    limits = np.zeros(LENGTH_BANDS)
+    for band in range(LENGTH_BANDS):
+        near = [*cosines.get(band, []), *cosines.get(band + 1, [])]
+        for shorter in range(band - 1, -1, -1):
+            if shorter < band - 1 and len(near) >= LEAST_COSINES:
+                break
+            near += cosines.get(shorter, [])
+        limits[band] = max(min(tolerance * np.median(near), np.quantile(near, quantile)), 0.0) if near else 0.0
+    return limits
 
 
 def fit(
@@ -128,12 +156,13 @@ def fit(
     clusters: int = 4,
     rounds: int = 8,
     buckets: int = BUCKETS,
-    tolerance: float = 0.3,
+    tolerance: float = 0.4,
+    quantile: float = 0.02,
 ) -> Model:
     """Learn from ``labelled`` (rows without a label are skipped).
 
-    A text is rejected below ``tolerance`` times the smallest cosine of the training texts of its length band
-    and the neighbouring bands.
+    A text is rejected below the ``quantile`` of the cosines that held-out texts of its language reach, and
+    below ``tolerance`` times their median, whichever is less (see :func:`band_limits`).
     """
     docs = pick(labelled, doc_id=id_col, text=text_col, lang=lang_col).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     docs = docs.withColumn("lang", F.col("lang").cast("string"))
@@ -142,17 +171,17 @@ def fit(
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+            for lang, text, held in zip(batch["lang"], batch["text"], batch["held"], strict=True):
                 points = letters_only(text)
                 for size in (*SNIPPETS, None):
                     part = points[:size] if size else points
-                    if (part != 32).any() and (size is None or len(points) > size):
+                    if (part != 32).any() and (size is None or held and len(points) > size):
                         at, counts = ngram_counts(part, buckets)
-                        out.append((lang, size is None, len(part), at.tolist(), counts.tolist()))
-            yield pd.DataFrame(out, columns=["lang", "full", "n", "at", "counts"])
+                        out.append((lang, held, len(part), at.tolist(), counts.tolist()))
+            yield pd.DataFrame(out, columns=["lang", "held", "n", "at", "counts"])
 
-    vectors = settle(sample.mapInPandas(count, "lang string, full boolean, n int, at array<int>, counts array<int>"), "vectors")
-    full = vectors.where("full")
+    vectors = settle(sample.mapInPandas(count, "lang string, held boolean, n int, at array<int>, counts array<int>"), "vectors")
+    full = vectors.where("not held")
     n_docs = full.count()
     idf = np.full(buckets, np.log(1 + n_docs) + 1)
     for r in full.select(F.explode("at").alias("at")).groupBy("at").count().collect():  # one row per bucket at most
@@ -171,7 +200,7 @@ def fit(
 
     centroids = full.select("lang", "n", "at", "counts").groupBy("lang").applyInPandas(cluster, "lang string, centroid array<float>")
     learned = sorted((r["lang"], r["centroid"]) for r in centroids.collect())
-    model = Model([lang for lang, _ in learned], np.array([c for _, c in learned], dtype=np.float32).reshape(-1, buckets), idf, np.zeros(LENGTH_BANDS))
+    model = Model([lang for lang, _ in learned], np.array([c for _, c in learned], dtype=np.float32).reshape(-1, buckets), idf, np.zeros((len(learned), LENGTH_BANDS)))
     if not learned:
         return model
 
@@ -182,15 +211,17 @@ def fit(
                 float((model.centroids[mask][:, at] @ weighted(np.asarray(at), np.asarray(counts), model.idf)).max())
                 for mask, at, counts in zip(own, batch["at"], batch["counts"], strict=True)
             ]
-            yield pd.DataFrame({"band": [length_band(n) for n in batch["n"]], "cosine": cosine})
-
-    reached = vectors.select("lang", "n", "at", "counts").mapInPandas(nearest, "band int, cosine double")
-    lows = {r["band"]: r["low"] for r in reached.groupBy("band").agg(F.min("cosine").alias("low")).collect()}
-    limit = 0.0
-    for band in range(LENGTH_BANDS):  # bands without training texts take the limit of the next shorter one
-        near = [lows[b] for b in (band - 1, band, band + 1) if b in lows]
-        limit = tolerance * min(near) if near else limit
-        model.limits[band] = max(limit, 0.0)
+            yield pd.DataFrame({"lang": batch["lang"], "band": [length_band(n) for n in batch["n"]], "cosine": cosine})
+
+    learned_too = F.col("lang").isin(sorted(set(model.languages)))  # not those of which only held-out texts have letters
+    held = vectors.where("held").where(learned_too).select("lang", "n", "at", "counts")
+    reached: dict[str, dict[int, list[float]]] = {}
+    for r in held.mapInPandas(nearest, "lang string, band int, cosine double").collect():  # a quarter of per_language texts, five lengths
+        reached.setdefault(r["lang"], {}).setdefault(r["band"], []).append(r["cosine"])
+    limits = {lang: band_limits(cosines, quantile, tolerance) for lang, cosines in reached.items()}
+    if limits:
+        others = np.min(list(limits.values()), axis=0)
+        model.limits = np.array([limits.get(lang, others) for lang in model.languages])
     return model
 
 
@@ -218,7 +249,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                     cosines = weighted(at, counts, fitted.idf) @ columns[at]
                     best = int(cosines.argmax())
                     score = min(max(float(cosines[best]), 0.0), 1.0)
-                    lang, reject = fitted.languages[best], score < fitted.limits[length_band(len(points))]
+                    lang, reject = fitted.languages[best], score < fitted.limits[best, length_band(len(points))]
                 langs.append(lang)
                 scores.append(score)
                 far.append(bool(reject))

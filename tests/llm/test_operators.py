@@ -107,6 +107,39 @@ def test_language_id_separates_languages_and_rejects_what_is_far(spark, empty):
     assert language_id.predict(empty, model).count() == 0
 
 
+def test_other_latin_languages_and_random_letters_are_rejected(spark):
+    rng = random.Random(7)
+
+    def made(n, common, rare):
+        words = [rng.choice(common) if rng.random() < 0.4 else "".join(rng.choice(rare) for _ in range(rng.randint(1, 3))) for _ in range(n)]
+        return " ".join(words)
+
+    known = {"en": (["the", "of", "and", "in"], ["tion", "ing", "er", "sh", "ble", "ou", "wh"]), "es": (["de", "la", "que", "los"], ["ción", "mente", "ar", "ñ", "ado", "ll"])}
+    data = [(i, made(30 + 7 * (i % 60), *known[k]), k) for i, k in enumerate(["en", "es"] * 240)]
+    odd = ["абвгдежзик", "αβγδεζηθικ", "漢字仮名交文例題日本"]  # three wrongly labelled texts of each language
+    data += [(1000 + i, " ".join("".join(rng.choice(odd[i // 2]) for _ in range(5)) for _ in range(200)), "en" if i % 2 else "es") for i in range(6)]
+    model = language_id.fit(spark.createDataFrame(data, "doc_id bigint, text string, lang string"), clusters=1)
+    stay = [(i, made(25 + i, *known[k]), k) for i, k in enumerate(["en", "es"] * 40)]
+    far = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(150)),
+    ]
+    table = spark.createDataFrame([s[:2] for s in stay] + [(100 + i, t) for i, t in enumerate(far)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in language_id.predict(table, model).collect()}
+    assert all(got[i]["lang_pred"] == k and not got[i]["rejected"] for i, _, k in stay)
+    assert all(got[100 + i]["rejected"] for i in range(len(far)))
+
+
+def test_limits_are_low_but_not_set_by_one_odd_text():
+    many = {10: [0.8] * 99 + [0.1], 12: [0.9] * 3}
+    limits = language_id.band_limits(many, 0.02, 0.4)
+    assert limits[10] == pytest.approx(0.32) and limits[8] == 0 and limits[12] == pytest.approx(0.32)
+    assert language_id.band_limits({10: [0.2] * 5 + [0.8] * 95}, 0.02, 0.4)[10] == pytest.approx(0.2)
+    assert not language_id.band_limits({}, 0.02, 0.4).any()
+
+
 def test_held_out_is_the_crc_of_the_id(spark):
     got = spark.range(50).select("id", language_id.held_out(F.col("id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1) for r in got)
