@@ -1,12 +1,19 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences (after ``. ! ?`` and at line ends); a very long sentence
-counts as several pieces.  A span is a run of at least ``sentences`` pieces and
+A text is cut into sentences (after ``. ! ?`` and a blank, after the sentence ends of
+other scripts, and at line ends).  A sentence of more than ``LONGEST_PIECE`` words is cut
+again before words that their surroundings select: the word with the smallest hash of
+any ``CUT_WINDOW`` consecutive words.  So no piece of it is longer than that, and two
+copies of a passage are cut alike wherever they stand, save near their ends.  In scripts
+without blanks every sign counts as a word.  A span is a run of at least ``sentences`` pieces and
 ``least_words`` words: the shortest one from each piece on, and the shortest one up to
 each piece.  The 128-bit hashes of all spans are joined globally; the first occurrence
 of a span (smallest id, then first place) stays, and sentences covered by any other
 occurrence of a repeated span are removed.  With the default limits every repeated
-passage of 50 words or more that begins and ends with a sentence is found whole.
+passage of 50 words or more that begins and ends with a sentence is found whole, and of
+one inside a long sentence all but at most ``2 * CUT_WINDOW - 2`` words at either end.
+Where a passage begins or ends inside a sentence that is long in one copy and short in
+the other, its part of that sentence stays.
 
 A span that many documents share is counted with partial sums and its rows stay where
 they are.  Python sees one document at a time.
@@ -22,7 +29,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,31 +40,53 @@ from pyspark.sql import functions as F
 from framewell.llm.common import join_classes, join_sized, pick
 from framewell.plans.settle import settle
 
-SENTENCE_END = re.compile(r"[.!?]+\s+|\n+")
+SENTENCE_END = re.compile(r"[.!?]+\s+|[\u3002\uff01\uff0e\uff1f\uff61\u0964\u0965\u061f\u06d4\u1362\u104b\u17d4]+\s*|\n+")
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han
+SIGNS = "\u0e00-\u0e7f\u0e80-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+SIGN = re.compile(f"[{SIGNS}]")
 WORD = re.compile(r"\S+")
+SIGN_OR_WORD = re.compile(rf"[{SIGNS}]|[^\s{SIGNS}]+")
 LONGEST_PIECE = 16
+CUT_WINDOW = 7  # 50 words inside a long sentence share 24 or more between common cuts
 BATCH_BYTES = 4_000_000
 
 
+def cuts_of(words: list[str]) -> list[int]:
+    """Where to cut a long sentence: the first smallest of every ``CUT_WINDOW`` consecutive word hashes."""
+    marks = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+    out, best = [0], -1
+    for begin in range(len(marks) - CUT_WINDOW + 1):
+        last = begin + CUT_WINDOW - 1
+        if best < begin:
+            part = marks[begin : last + 1]
+            best = begin + part.index(min(part))
+        elif marks[last] < marks[best]:
+            best = last
+        if best > out[-1]:
+            out.append(best)
+    return out
+
+
 def pieces_of(text: str) -> list[tuple[int, int, int, bytes]]:
     """First and last character, number of words and hash of every sentence or piece of one."""
     out, begin = [], 0
+    word = SIGN_OR_WORD if SIGN.search(text) else WORD
     ends = [m.end() for m in SENTENCE_END.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
     for end in ends:
         part = text[begin:end]
-        words = part.lower().split()
+        words = part.lower().split() if word is WORD else word.findall(part.lower())
         if len(words) <= LONGEST_PIECE:
             if words:
                 out.append((begin, end, len(words), hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()))
         else:
-            at = [begin + m.start() for m in WORD.finditer(part)]
+            at = [begin + m.start() for m in word.finditer(part)]
             at[0] = begin
-            for i in range(0, len(at), LONGEST_PIECE):
-                last = at[i + LONGEST_PIECE] if i + LONGEST_PIECE < len(at) else end
-                held = text[at[i] : last].lower().split()
-                out.append((at[i], last, len(held), hashlib.blake2b(" ".join(held).encode("utf-8", "surrogatepass"), digest_size=16).digest()))
+            cuts = [*cuts_of(words), len(words)]
+            for i, j in pairwise(cuts):
+                held = " ".join(words[i:j]).encode("utf-8", "surrogatepass")
+                out.append((at[i], at[j] if j < len(at) else end, j - i, hashlib.blake2b(held, digest_size=16).digest()))
         begin = end
     return out
 

@@ -219,6 +219,34 @@ def test_sentence_spans_remove_all_but_the_first_occurrence(docs, empty):
     assert sentence_spans.remove_repeated(empty).count() == 0
 
 
+@pytest.mark.parametrize("blank", [" ", ""], ids=["words", "signs"])
+def test_sentence_spans_find_passages_inside_long_sentences(spark, blank):
+    rng = random.Random(11)
+
+    def unit():
+        return chr(rng.randint(0x4E00, 0x9FA5)) if not blank else prose(rng, 1)
+
+    passage = [unit() for _ in range(60)]
+    before = {i: [unit() for _ in range(i)] for i in range(17)}
+    texts = [[*before[i], *passage, *(unit() for _ in range(20))] for i in range(17)]
+    texts.append([*before[5], *passage[:30], unit(), *passage[30:]])  # one inserted
+    table = spark.createDataFrame([(i, blank.join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in sentence_spans.remove_repeated(table).collect()}
+    assert got[0]["text"] == blank.join(texts[0])
+    for i in range(1, 17):  # by words: a run of the passage is gone, and nothing else
+        left = got[i]["text"].split() if blank else list(got[i]["text"])
+        gone = len(texts[i]) - len(left)
+        assert 60 - 2 * 12 <= gone <= 60
+        assert any(left == [*texts[i][:k], *texts[i][k + gone :]] for k in range(i, i + 60 - gone + 1))
+    assert got[17]["n_removed"] > 0
+
+
+def test_sentence_ends_of_other_scripts():
+    text = "今日は晴れです。明日も晴れ！また来週？" + "ab cd. ef"
+    assert [text[a:b] for a, b, *_ in sentence_spans.pieces_of(text)] == ["今日は晴れです。", "明日も晴れ！", "また来週？", "ab cd. ", "ef"]
+    assert [p[2] for p in sentence_spans.pieces_of("漢字 かな abc def")] == [6]
+
+
 # -- suffix arrays -------------------------------------------------------------------------------
 def test_suffix_dedup_finds_every_long_repeat_and_nothing_else(docs, empty):
     got = {r["doc_id"]: r for r in suffix_dedup.remove_repeated(docs).collect()}
