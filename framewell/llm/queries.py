@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewell.llm import decontaminate, exact_dedup, jaccard_join, language_id, packing, pii, sentence_spans, sharding, suffix_dedup, warc
+from framewell.llm import (
+    decontaminate, exact_dedup, hard_negatives, jaccard_join, language_id, license_scan, packing, pii, sentence_spans, sharding,
+    spelling_variants, suffix_dedup, warc,
+)
 from framewell.llm.common import read_table
 from framewell.plans.settle import shared_folder
 
@@ -90,6 +93,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, F.col("doc_id"), SHARDS).select("doc_id", "slot", "shard", "shard_name")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flipped = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", flipped.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, scale=256)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+    starts, base = F.col("places.at"), F.array_distinct(F.col("places.label"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, "template_labels")), ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -101,6 +129,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLES = {
