@@ -398,3 +398,9 @@ ORACLES: dict[str, str] = {
         FROM quick""",
     "j_stream_applied_cm": APPLIED_CM,
 }
+
+ORACLES["a8_raw_point_read"] = ORACLES["a8_point_read"]
+ORACLES["a4_raw_limits"] = f"""WITH {EMB_ROWS} SELECT frame_id AS frame_seq, y, pixels[1] AS first_adc FROM emb_rows WHERE y < 5"""
+ORACLES["k1_raw_chunks"] = ORACLES["k1_map_chunks"]
+ORACLES["j_stream_raw"] = ORACLES["a1_a5_raw_round_trip"]
+ORACLES["j_stream_frame_report"] = ORACLES["g12_l3_frame_report"]

@@ -35,8 +35,9 @@ from framewell.plans.joins import join_bounded
 from framewell.plans.settle import settle, shared_folder
 from framewell.sources import frames as fr
 from framewell.sources import store
-from framewell.sources.raw import read_raw, write_raw
+from framewell.sources.raw import read_raw, read_raw_frames, stream_raw, write_raw
 from framewell.streaming.apply import stream_calibrated, stream_rows
+from framewell.streaming.reports import stream_frame_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,6 +155,30 @@ def a1_a5_raw_round_trip(spark, sf):
     )
 
 
+@register
+def a8_raw_point_read(spark, sf):
+    """Some frames of a raw file by their numbers; only their bytes are read."""
+    folder = scratch(spark, "raw")
+    write_raw(embedding_rows(spark, sf), folder, EMBEDDINGS, n_files=1)
+    hits = read_raw_frames(spark, f"{folder}/part-*.raw", [7, 3, 41, 3], EMBEDDINGS)
+    return hits.select("pos", "frame_id", "y", F.get("pixels", F.lit(0)).alias("first_adc"), F.element_at("pixels", -1).alias("last_adc"))
+
+
+@register
+def a4_raw_limits(spark, sf):
+    """The upper half of the lines, chosen as byte ranges of two raw files, by option and by pushed conditions."""
+    folder = scratch(spark, "raw")
+    write_raw(embedding_rows(spark, sf), folder, EMBEDDINGS, n_files=2)
+    all_rows = read_raw(spark, f"{folder}/part-*.raw", EMBEDDINGS, with_header=False)
+    n = all_rows.groupBy("file_id").agg(F.max("frame_id").alias("last")).where("file_id = 0").first()["last"] + 1
+    some = read_raw(spark, f"{folder}/part-*.raw", EMBEDDINGS, with_header=False, only={"y": range(0, 5), "file_id": [1]})
+    pushed = read_raw(spark, f"{folder}/part-*.raw", EMBEDDINGS, with_header=False, push_filters=True)
+    pushed = pushed.where((F.col("file_id") == 0) & (F.col("y") < 5))
+    return pushed.unionByName(some).select(
+        (F.col("frame_id") + F.col("file_id") * n).alias("frame_seq"), "y", F.get("pixels", F.lit(0)).alias("first_adc")
+    )
+
+
 # -- B: predicates and projections -----------------------------------------------------------------
 @register
 def b1_valid_values(spark, sf):
@@ -767,6 +792,21 @@ def k1_map_chunks(spark, sf):
     return chunks.map_chunks(embedding_rows(spark, sf), _chunk_totals, schema, chunk_size=16)
 
 
+@register
+def k1_raw_chunks(spark, sf):
+    """Chunks straight from a raw file, without moving frames."""
+    folder = scratch(spark, "raw")
+    write_raw(embedding_rows(spark, sf), folder, EMBEDDINGS, n_files=1)
+    rows = read_raw(spark, f"{folder}/part-*.raw", EMBEDDINGS, frames_per_partition=32, with_header=False)
+    schema = "chunk_id int, n_frames bigint, sum_adc bigint, max_adc int"
+
+    def totals(table: pa.Table) -> pa.Table:
+        chunk = pa.array([table.column("frame_id")[0].as_py() // 16] * table.num_rows, pa.int32())
+        return _chunk_totals(table.append_column("chunk_id", chunk))
+
+    return chunks.map_partition_chunks(rows, totals, schema, chunk_size=16)
+
+
 @register
 def l1_calibration(spark, sf):
     """Both offsets, even/odd common mode, noise of kept values, mask with a blocked ASIC."""
@@ -824,3 +864,51 @@ def j_stream_applied_cm(spark, sf):
     done = spark.read.parquet(sink)
     cells = done.select("frame_id", "y", F.posexplode("cm").alias("asic_pos", "cm"))
     return cells.select("frame_id", "y", "asic_pos", F.col("cm").cast("double").alias("cm"))
+
+
+@register
+def j_stream_raw(spark, sf):
+    """Raw files arriving in two steps, read by a stream that is stopped in between."""
+    folder, sink, checkpoint = (scratch(spark, n) for n in ("arriving", "sink", "stream"))
+    rows = embedding_rows(spark, sf)
+    for late in (False, True):
+        half = rows.where((F.col("frame_id") >= 20) == late)
+        write_raw(half, folder, EMBEDDINGS, n_files=2, append=late)
+        _run(stream_raw(spark, f"{folder}/part-*.raw", EMBEDDINGS, frames_per_partition=8), sink, checkpoint)
+    numbered = fr.select_frames(spark.read.parquet(sink), EMBEDDINGS)
+    return numbered.select(
+        "frame_seq", "y", "marker", F.get("pixels", F.lit(0)).alias("first_adc"), F.element_at("pixels", -1).alias("last_adc")
+    )
+
+
+@register
+def j_stream_frame_report(spark, sf):
+    """Reports of frames whose even lines arrive before the odd ones, from a stream that is stopped in between."""
+    px = event_pixels(spark, sf)
+    calibration = settle(_events_quick(px))
+    right = F.when(F.col("y") == 0, ap.FRAME_MARKER).otherwise(ap.LINE_MARKER)
+    broken = ~fc.is_valid_adc(F.get("pixels", F.lit(0)), EVENTS)
+    rows = settle(fr.to_rows(px, EVENTS).withColumn("marker", F.when(broken, F.lit(0)).otherwise(right)), "lines")
+    source, sink, checkpoint = (scratch(spark, n) for n in ("arriving", "reports", "stream"))
+    for odd in (0, 1):
+        rows.where(F.col("y") % 2 == odd).write.mode("append").parquet(source)
+        lines = ap.apply_calibration(stream_rows(spark, source, schema=LINES), calibration, EVENTS, with_corrected=True)
+        _run(stream_frame_report(lines, EVENTS, wait_ms=3_600_000), sink, checkpoint)
+    whole = spark.read.parquet(sink).where("status = 'whole'")
+    return whole.select(
+        "frame_id",
+        "n_masked",
+        *[rounded(c).alias(c) for c in ("min_value", "max_value", "mean_value", "std_value", "cm_mean", "cm_std")],
+        "cm_entries",
+        "n_bad_markers",
+        calibration.agg(F.count_if("is_bad")).scalar().alias("n_bad_pixels"),
+    )
+
+
+LINES = "file_id INT, frame_id BIGINT, y INT, pixels ARRAY<INT>, marker INT"
+
+
+def _run(stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """All that is there now, appended to ``sink``."""
+    writer = stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()

@@ -182,11 +182,17 @@ def read_frames_at(rows: DataFrame, frame_ids: Sequence[int], *, n_frames: int |
     """The frames at the given positions of one file, repeats allowed.
 
     ``pos`` is the place in the request; sort by it (and ``y``) to get request
-    order.  Asking for a frame outside ``0 .. n_frames-1`` raises IndexError.
+    order.  Asking for a frame outside ``0 .. n_frames-1`` raises IndexError, and so do rows of several
+    files ValueError.  With ``n_frames`` the caller answers for both, and the rows are not looked through.
     """
     wanted = [int(i) for i in frame_ids]
     if n_frames is None:
-        n_frames = rows.agg(F.coalesce(F.max("frame_id") + 1, F.lit(0)).alias("n")).first()["n"]
+        found = rows.agg(
+            F.coalesce(F.max("frame_id") + 1, F.lit(0)).alias("n"), F.min("file_id").alias("first"), F.max("file_id").alias("last")
+        ).first()
+        if found["first"] != found["last"]:
+            raise ValueError("frames are read from one file; choose it first")
+        n_frames = found["n"]
     outside = [i for i in wanted if not 0 <= i < n_frames]
     if outside:
         raise IndexError(f"frames {outside} outside 0..{n_frames - 1}")
@@ -243,7 +249,12 @@ def extract_frames(
         raise ValueError("start must not be negative")
     if n_frames <= 0:
         raise ValueError("n_frames must be positive")
-    available = frame_inventory(rows, geometry).agg(F.coalesce(F.sum("n_frames"), F.lit(0)).alias("n")).first()["n"]
+    found = frame_inventory(rows, geometry).agg(
+        F.coalesce(F.sum("n_frames"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("files")
+    ).first()
+    if found["files"] > 1:
+        raise ValueError(f"frames are extracted from one file, the rows hold {found['files']}; choose one first")
+    available = found["n"]
     if start >= available:
         raise ValueError(f"start={start} is outside the file ({available} complete frames)")
     if n_frames > available - start:

@@ -4,7 +4,15 @@ A file is an 8-byte header followed by fixed-size line records; ``height`` recor
 make a frame.  Positions follow from the sizes alone, so a partition is a byte
 range: some frames, or with ``linesPerPartition`` a band of lines of many frames.
 Bands let a task see many frames of few pixels, so that its partial per-pixel
-counts shrink much further before they are shuffled.
+counts shrink much further before they are shuffled.  The option ``only`` limits ``file_id``,
+``frame_id`` and ``y`` to some numbers: other files are not opened, other frames and lines
+not read.  Spark can push conditions on these columns down to the same end
+(``PushedRawReader``), but Spark 4.1 then keeps the narrowed partitions with the loaded
+table: a second query on it sees no other rows.  So that is off unless asked for, for
+tables that are loaded anew for each query.
+
+``readStream`` follows growing files and new ones (``DetectorRawStream``): an offset says
+how many complete frames of each file were there.
 
 Files are opened with Python's ``open``: every executor must see the paths.
 """
@@ -28,11 +36,21 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    DataSourceStreamReader,
+    EqualNullSafe,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
     InputPartition,
+    LessThan,
+    LessThanOrEqual,
     WriterCommitMessage,
 )
 
 from framewell.geometry import Geometry
+from framewell.sources.frames import read_frames_at
 
 # Fixed values of the file format: header, then marker, counter, pixels per record;
 # markers of the first and of every other line of a frame.
@@ -43,8 +61,9 @@ MARKER_TYPE, COUNTER_TYPE, PIXEL_TYPE = "<u2", "<u4", "<u2"
 BATCH_BYTES = 8 * 1024 * 1024
 DEFAULT_FRAMES_PER_PARTITION = 64
 OPENED_AT_ONCE = 32
-# Beyond this many partitions the default frame count per partition grows instead.
+# Beyond this many partitions the default frame count per partition grows, in whole multiples.
 MAX_DEFAULT_PARTITIONS = 50_000
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
 def record_dtype(width: int) -> np.dtype:
@@ -122,18 +141,89 @@ def frame_range(n_frames: Sequence[int], skip: int, max_frames: int | None) -> l
     return ranges
 
 
+class Wanted:
+    """The whole numbers that all conditions on one column allow: an interval, and a set where one was given."""
+
+    def __init__(self) -> None:
+        self.low: int | None = None
+        self.high: int | None = None
+        self.values: set[int] | None = None
+
+    def limit(self, given: dict) -> None:
+        """Limits as an option gives them: ``low`` and ``high``, or ``values``."""
+        if "values" in given:
+            self.values = set(given["values"])
+        else:
+            self.low, self.high = given["low"], given["high"]
+
+    def add(self, condition: Filter) -> bool:
+        """Take a condition into account; False if it is of another kind."""
+        if isinstance(condition, In):
+            given = {v for v in condition.value if v is not None}
+        elif isinstance(condition, (EqualTo, EqualNullSafe)):
+            given = {condition.value}
+        elif isinstance(condition, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)):
+            given = None
+        else:
+            return False
+        if not all(type(v) is int for v in (given if given is not None else [condition.value])):
+            return False
+        if given is not None:
+            self.values = given if self.values is None else self.values & given
+        elif isinstance(condition, (GreaterThan, GreaterThanOrEqual)):
+            least = condition.value + isinstance(condition, GreaterThan)
+            self.low = least if self.low is None else max(self.low, least)
+        else:
+            most = condition.value - isinstance(condition, LessThan)
+            self.high = most if self.high is None else min(self.high, most)
+        return True
+
+    def runs(self, start: int, stop: int) -> list[tuple[int, int]]:
+        """What is allowed of ``[start, stop)``, as half-open runs in order."""
+        start = start if self.low is None else max(start, self.low)
+        stop = stop if self.high is None else min(stop, self.high + 1)
+        if self.values is None:
+            return [(start, stop)] if start < stop else []
+        out: list[tuple[int, int]] = []
+        for v in sorted(self.values):
+            if not start <= v < stop:
+                continue
+            if out and out[-1][1] == v:
+                out[-1] = (out[-1][0], v + 1)
+            else:
+                out.append((v, v + 1))
+        return out
+
+
 @dataclass
 class ByteRange(InputPartition):
-    """Lines ``[y0, y1)`` of the given frames of one file."""
+    """Lines ``[y0, y1)`` of some runs ``(first frame, number)`` of one file."""
 
     path: str
     file_id: int
-    first_frame: int
-    n_frames: int
+    runs: list[tuple[int, int]]
     y0: int
     y1: int
 
 
+def packed(runs: list[tuple[int, int]], step: int) -> Iterator[list[tuple[int, int]]]:
+    """Runs ``[start, stop)`` of frames dealt into lists of up to ``step`` frames; frames between multiples of ``step`` stay together."""
+    blocks: dict[int, list[tuple[int, int]]] = {}
+    for start, stop in runs:
+        while start < stop:
+            end = min(stop, (start // step + 1) * step)
+            blocks.setdefault(start // step, []).append((start, end - start))
+            start = end
+    held: list[tuple[int, int]] = []
+    for some in blocks.values():
+        if held and sum(n for _, n in held) + sum(n for _, n in some) > step:
+            yield held
+            held = []
+        held = held + some
+    if held:
+        yield held
+
+
 class DetectorRawReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         get = lambda name, default: int(options.get(name, default))
@@ -141,7 +231,7 @@ class DetectorRawReader(DataSourceReader):
         paths = json.loads(options["paths"]) if "paths" in options else options.get("path")
         if not paths:
             raise ValueError("give a path")
-        self.paths = resolve_paths(paths)
+        self.spec = paths
         self.skip = get("skipFrames", 0)
         self.max_frames = int(options["maxFrames"]) if "maxFrames" in options else None
         self.frames = json.loads(options["frames"]) if "frames" in options else None
@@ -149,47 +239,65 @@ class DetectorRawReader(DataSourceReader):
         self.frames_per_partition = get("framesPerPartition", 0)
         self.lines_per_partition = get("linesPerPartition", self.height)
         self.with_header = options.get("withHeader", "true").lower() == "true"
+        self.wanted = {"file_id": Wanted(), "frame_id": Wanted(), "y": Wanted()}
+        for column, limits in json.loads(options.get("only", "{}")).items():
+            self.wanted[column].limit(limits)
 
     def partitions(self) -> list[InputPartition]:
-        if self.frame_counts is not None:  # known to the caller, for the first files at least
-            files = [RawFile(p, n, 0) for p, n in zip(self.paths, self.frame_counts, strict=False)]
-        else:
-            needed = None if self.max_frames is None or self.frames is not None else self.skip + self.max_frames
-            files = inspect_files(self.paths, self.height, self.width, needed)
-        if self.frames is not None:
-            runs = self._runs_of_requested(files)
-        else:
-            ranges = frame_range([f.n_frames for f in files], self.skip, self.max_frames)
-            runs = [(i, start, stop) for i, (start, stop) in enumerate(ranges) if stop > start]
-        bands = [
-            (y, min(y + self.lines_per_partition, self.height))
+        runs = self._runs()
+        lines = [
+            (y0, y1)
             for y in range(0, self.height, self.lines_per_partition)
+            for y0, y1 in self.wanted["y"].runs(y, min(y + self.lines_per_partition, self.height))
         ]
         step = self.frames_per_partition
         if step < 1:
-            total = sum(stop - start for _, start, stop in runs) * len(bands)
-            step = max(DEFAULT_FRAMES_PER_PARTITION, -(-total // MAX_DEFAULT_PARTITIONS))
+            total = sum(stop - start for _, _, some in runs for start, stop in some) * len(lines)
+            step = DEFAULT_FRAMES_PER_PARTITION * max(1, -(-total // (MAX_DEFAULT_PARTITIONS * DEFAULT_FRAMES_PER_PARTITION)))
         return [
-            ByteRange(files[i].path, i, first, min(step, stop - first), y0, y1)
-            for i, start, stop in runs
-            for first in range(start, stop, step)
-            for y0, y1 in bands
+            ByteRange(path, file_id, some, y0, y1)
+            for file_id, path, wanted in runs
+            for some in packed(wanted, step)
+            for y0, y1 in lines
         ]
 
-    def _runs_of_requested(self, files: list[RawFile]) -> list[tuple[int, int, int]]:
-        """Consecutive runs of explicitly requested frames of a single file."""
-        if len(files) != 1:
+    def _runs(self) -> list[tuple[int, str, list[tuple[int, int]]]]:
+        """Per file its id, path and the runs of frames to read.  Files that no condition allows are not opened."""
+        paths = resolve_paths(self.spec)
+        if self.frames is not None:
+            return self._requested(paths)
+        allowed = self.wanted["file_id"]
+        chosen = [i for first, last in allowed.runs(0, len(paths)) for i in range(first, last)]
+        known = [RawFile(p, n, 0) for p, n in zip(paths, self.frame_counts or [], strict=False)]
+        if self.max_frames is None:
+            if self.skip and 0 not in chosen and len(known) < 1:
+                known = inspect_files(paths[:1], self.height, self.width)  # the skip must leave something of it
+            missing = [i for i in chosen if i >= len(known)]
+            found = inspect_files([paths[i] for i in missing], self.height, self.width)
+            counts = {**{i: f.n_frames for i, f in enumerate(known)}, **{i: f.n_frames for i, f in zip(missing, found, strict=True)}}
+            if self.skip:
+                frame_range([counts[0]], self.skip, None)
+            ranges = {i: (self.skip if i == 0 else 0, counts[i]) for i in chosen}
+        else:  # a running maximum needs the files before, as far as it reaches
+            needed = self.skip + self.max_frames - sum(f.n_frames for f in known)
+            if needed > 0 and len(known) < len(paths):
+                known += inspect_files(paths[len(known) :], self.height, self.width, needed)
+            spans = frame_range([f.n_frames for f in known], self.skip, self.max_frames)
+            ranges = {i: spans[i] for i in chosen if i < len(spans)}
+        return [(i, paths[i], self.wanted["frame_id"].runs(*span)) for i, span in ranges.items()]
+
+    def _requested(self, paths: list[str]) -> list[tuple[int, str, list[tuple[int, int]]]]:
+        """The explicitly requested frames of a single file."""
+        if len(paths) != 1:
             raise ValueError("frames can be requested from a single file only")
-        outside = [f for f in self.frames if not 0 <= f < files[0].n_frames]
+        file = inspect_file(paths[0], self.height, self.width)
+        outside = [f for f in self.frames if not 0 <= f < file.n_frames]
         if outside:
-            raise IndexError(f"frames {outside} outside 0..{files[0].n_frames - 1}")
-        runs: list[tuple[int, int, int]] = []
-        for f in sorted(set(self.frames)):
-            if runs and runs[-1][2] == f:
-                runs[-1] = (0, runs[-1][1], f + 1)
-            else:
-                runs.append((0, f, f + 1))
-        return runs
+            raise IndexError(f"frames {outside} outside 0..{file.n_frames - 1}")
+        asked = Wanted()
+        asked.values = set(self.frames)
+        runs = [r for start, stop in asked.runs(0, file.n_frames) for r in self.wanted["frame_id"].runs(start, stop)]
+        return [(0, paths[0], runs)] if self.wanted["file_id"].runs(0, 1) else []
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         dtype = record_dtype(self.width)
@@ -197,20 +305,20 @@ class DetectorRawReader(DataSourceReader):
         frame_bytes = self.height * dtype.itemsize
         band_bytes = n_lines * dtype.itemsize
         block = max(1, BATCH_BYTES // (2 * band_bytes))
-        stop = partition.first_frame + partition.n_frames
         with open(partition.path, "rb") as stream:
-            for first in range(partition.first_frame, stop, block):
-                frames = np.arange(first, min(first + block, stop))
-                if n_lines == self.height:
-                    stream.seek(len(RAW_HEADER) + first * frame_bytes)
-                    data = stream.read(len(frames) * frame_bytes)
-                else:
-                    parts = []
-                    for f in frames:
-                        stream.seek(len(RAW_HEADER) + int(f) * frame_bytes + partition.y0 * dtype.itemsize)
-                        parts.append(stream.read(band_bytes))
-                    data = b"".join(parts)
-                yield self._batch(partition, frames, np.frombuffer(data, dtype))
+            for start, n_frames in partition.runs:
+                for first in range(start, start + n_frames, block):
+                    frames = np.arange(first, min(first + block, start + n_frames))
+                    if n_lines == self.height:
+                        stream.seek(len(RAW_HEADER) + first * frame_bytes)
+                        data = stream.read(len(frames) * frame_bytes)
+                    else:
+                        parts = []
+                        for f in frames:
+                            stream.seek(len(RAW_HEADER) + int(f) * frame_bytes + partition.y0 * dtype.itemsize)
+                            parts.append(stream.read(band_bytes))
+                        data = b"".join(parts)
+                    yield self._batch(partition, frames, np.frombuffer(data, dtype))
 
     def _batch(self, partition: ByteRange, frames: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
         n_lines = partition.y1 - partition.y0
@@ -228,6 +336,72 @@ class DetectorRawReader(DataSourceReader):
         return pa.RecordBatch.from_pydict(columns | {"pixels": pixels})
 
 
+class PushedRawReader(DetectorRawReader):
+    """The reader for sessions with filter pushdown: conditions on whole-number keys choose files, frames and lines."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for condition in filters:
+            column = getattr(condition, "attribute", ())
+            wanted = self.wanted.get(column[0].lower()) if len(column) == 1 else None
+            if wanted is None or not wanted.add(condition):
+                yield condition
+
+
+class DetectorRawStream(DataSourceStreamReader):
+    """Complete frames as they appear, in files that grow and in new ones.
+
+    An offset lists the files in name order with their complete frames, so a restarted stream goes on
+    where its checkpoint ends.  File ids are places in that order: a new file must sort after those known (as
+    numbered or dated names do), and a file must not shrink or vanish; otherwise the stream stops.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.reader = DetectorRawReader(options)
+
+    def initialOffset(self) -> dict:
+        return {"files": []}
+
+    def latestOffset(self) -> dict:
+        height, width = self.reader.height, self.reader.width
+        try:
+            paths = resolve_paths(self.reader.spec)
+        except FileNotFoundError:
+            return self.initialOffset()
+        with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+            return {"files": list(pool.map(lambda path: [path, whole_frames(path, height, width)], paths))}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        before, now = start["files"], end["files"]
+        if [p for p, _ in before] != [p for p, _ in now[: len(before)]]:
+            raise ValueError("files read before are gone, or a new file sorts before them")
+        step = self.reader.frames_per_partition or DEFAULT_FRAMES_PER_PARTITION
+        out = []
+        for file_id, (path, n) in enumerate(now):
+            done = before[file_id][1] if file_id < len(before) else 0
+            if n < done:
+                raise ValueError(f"{path} has shrunk from {done} to {n} frames")
+            out += [ByteRange(path, file_id, some, 0, self.reader.height) for some in packed([(done, n)], step)]
+        return out
+
+    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+        return self.reader.read(partition)
+
+    def commit(self, end: dict) -> None:
+        """Nothing to forget: files stay where they are."""
+
+
+def whole_frames(path: str, height: int, width: int) -> int:
+    """Complete frames of a file that may still be written: none before its header is there."""
+    size = os.path.getsize(path)
+    if size < len(RAW_HEADER):
+        return 0
+    with open(path, "rb") as stream:
+        header = stream.read(len(RAW_HEADER))
+    if header != RAW_HEADER:
+        raise ValueError(f"{path}: header {header!r} is not {RAW_HEADER!r}")
+    return (size - len(RAW_HEADER)) // (record_dtype(width).itemsize * height)
+
+
 @dataclass
 class WrittenFile(WriterCommitMessage):
     """One file of a task, still under its temporary name."""
@@ -300,7 +474,9 @@ class DetectorRawWriter(DataSourceArrowWriter):
 class DetectorRawSource(DataSource):
     """Options: ``path`` or ``paths`` (JSON list), ``height``, ``width``,
     ``framesPerPartition``, ``linesPerPartition``, ``skipFrames``, ``maxFrames``,
-    ``frames`` (JSON list, one file), ``withHeader``."""
+    ``frames`` (JSON list, one file), ``frameCounts`` (JSON list, of the first files), ``withHeader``, ``only`` (JSON:
+    per key column ``low`` and ``high``, or ``values``), ``pushFilters`` (in sessions with filter pushdown switched on).  A stream takes ``path`` or ``paths``, the sizes,
+    ``framesPerPartition`` and ``withHeader``."""
 
     @classmethod
     def name(cls) -> str:
@@ -311,7 +487,11 @@ class DetectorRawSource(DataSource):
         return f"file_id INT, frame_id BIGINT, y INT, {header}pixels ARRAY<INT>"
 
     def reader(self, schema) -> DataSourceReader:
-        return DetectorRawReader(self.options)
+        pushed = self.options.get("pushFilters", "false").lower() == "true"
+        return (PushedRawReader if pushed else DetectorRawReader)(self.options)
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return DetectorRawStream(self.options)
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return DetectorRawWriter(self.options, overwrite)
@@ -329,12 +509,19 @@ def read_raw(
     lines_per_partition: int | None = None,
     with_header: bool = True,
     frame_counts: Sequence[int] | None = None,
+    only: dict[str, range | Sequence[int]] | None = None,
+    push_filters: bool = False,
 ) -> DataFrame:
     """Read raw files as lines.  ``with_header=False`` drops marker and counter at the scan.
 
-    ``frame_counts``, the frames of the first files where known, spares looking at them again.
+    ``frame_counts``, the frames of the first files where known, spares looking at them again; the other files are
+    looked at as far as needed.  ``only`` limits what is read: numbers or a range for any of ``file_id``, ``frame_id``
+    and ``y``.  ``push_filters`` lets Spark push conditions on them down (the session's switch for it is set); the
+    table may then serve one query only, see the module.
     """
     spark.dataSource.register(DetectorRawSource)
+    if push_filters:
+        spark.conf.set(PUSHDOWN, "true")
     entries = [paths] if isinstance(paths, (str, os.PathLike)) else list(paths)
     reader = (
         spark.read.format("detector_raw")
@@ -343,8 +530,16 @@ def read_raw(
         .option("width", geometry.width)
         .option("skipFrames", skip)
         .option("withHeader", str(with_header).lower())
+        .option("pushFilters", str(push_filters).lower())
     )
+    limits = {
+        column: {"low": some.start, "high": some.stop - 1} if isinstance(some, range) and some.step == 1 else {"values": [int(v) for v in some]}
+        for column, some in (only or {}).items()
+    }
+    if unknown := set(limits) - {"file_id", "frame_id", "y"}:
+        raise ValueError(f"only file_id, frame_id and y can be limited, not {sorted(unknown)}")
     optional = {
+        "only": json.dumps(limits) if limits else None,
         "maxFrames": max_frames,
         "frames": None if frames is None else json.dumps([int(f) for f in frames]),
         "framesPerPartition": frames_per_partition,
@@ -357,13 +552,51 @@ def read_raw(
     return reader.load()
 
 
-def write_raw(rows: DataFrame, folder: str, geometry: Geometry, *, n_files: int, overwrite: bool = False) -> None:
+def stream_raw(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    geometry: Geometry = Geometry(),
+    *,
+    frames_per_partition: int | None = None,
+    with_header: bool = True,
+) -> DataFrame:
+    """A stream of the lines of complete frames in files that grow, and in files still to come (see ``DetectorRawStream``)."""
+    spark.dataSource.register(DetectorRawSource)
+    entries = [paths] if isinstance(paths, (str, os.PathLike)) else list(paths)
+    reader = (
+        spark.readStream.format("detector_raw")
+        .option("paths", json.dumps([os.fspath(p) for p in entries]))
+        .option("height", geometry.height)
+        .option("width", geometry.width)
+        .option("withHeader", str(with_header).lower())
+    )
+    if frames_per_partition is not None:
+        reader = reader.option("framesPerPartition", frames_per_partition)
+    return reader.load()
+
+
+def read_raw_frames(spark: SparkSession, path: str, frame_ids: Sequence[int], geometry: Geometry = Geometry()) -> DataFrame:
+    """The frames at the given positions of one raw file, with their place in the request as ``pos``; repeats allowed.
+
+    Only their bytes are read.  More than one file, or a position outside the file, is an error.
+    """
+    paths = resolve_paths(path)
+    if len(paths) != 1:
+        raise ValueError(f"frames are read from one file, {path!r} names {len(paths)}")
+    n_frames = inspect_file(paths[0], geometry.height, geometry.width).n_frames
+    rows = read_raw(spark, paths, geometry, frame_counts=[n_frames], only={"frame_id": sorted({int(f) for f in frame_ids})})
+    return read_frames_at(rows, frame_ids, n_frames=n_frames)
+
+
+def write_raw(
+    rows: DataFrame, folder: str, geometry: Geometry, *, n_files: int, overwrite: bool = False, append: bool = False
+) -> None:
     """Write complete frames as ``n_files`` raw files; their name order is frame order.
 
     Frames are brought together by a range shuffle, so a file holds whole frames.
-    An existing folder is refused unless ``overwrite``.
+    An existing folder is refused unless ``overwrite``, or ``append`` (new files are numbered after the old ones).
     """
-    if os.path.exists(folder) and not overwrite:
+    if os.path.exists(folder) and not (overwrite or append):
         raise FileExistsError(f"{folder} exists")
     spark = rows.sparkSession
     spark.dataSource.register(DetectorRawSource)
@@ -382,6 +615,6 @@ def write_raw(rows: DataFrame, folder: str, geometry: Geometry, *, n_files: int,
 
 def raw_inventory(spark: SparkSession, paths: str | Sequence[str], geometry: Geometry = Geometry()) -> DataFrame:
     """``file_id, path, n_frames, orphan_lines`` of raw files, from headers and sizes only."""
-    files = [inspect_file(p, geometry.height, geometry.width) for p in resolve_paths(paths)]
+    files = inspect_files(resolve_paths(paths), geometry.height, geometry.width)
     rows = [(i, f.path, f.n_frames, f.orphan_lines) for i, f in enumerate(files)]
     return spark.createDataFrame(rows, "file_id int, path string, n_frames bigint, orphan_lines bigint")

@@ -128,7 +128,7 @@ def test_raw_partitions_are_byte_ranges(frames, tmp_path):
     path = write_raw(tmp_path / "a.raw", frames)
     options = {"path": path, "height": "6", "width": "16", "framesPerPartition": "4", "linesPerPartition": "3"}
     parts = raw.DetectorRawReader(options).partitions()
-    assert [(p.first_frame, p.n_frames, p.y0, p.y1) for p in parts] == [
+    assert [(*p.runs[0], p.y0, p.y1) for p in parts] == [
         (0, 4, 0, 3), (0, 4, 3, 6), (4, 4, 0, 3), (4, 4, 3, 6), (8, 1, 0, 3), (8, 1, 3, 6),
     ]
 

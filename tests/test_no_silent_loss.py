@@ -86,4 +86,4 @@ def test_each_needed_file_is_looked_at_once(tmp_path, monkeypatch):
         (tmp_path / name).touch()
     paths = json.dumps([str(tmp_path / name) for name in ("a", "b", "c")])
     reader = raw.DetectorRawReader({"paths": paths, "height": "2", "width": "2", "frameCounts": "[4, 4]", "maxFrames": "5"})
-    assert sum(p.n_frames for p in reader.partitions()) == 5 and not looked
+    assert sum(n for p in reader.partitions() for _, n in p.runs) == 5 and not looked
