@@ -893,7 +893,8 @@ def j_stream_frame_report(spark, sf):
     for odd in (0, 1):
         rows.where(F.col("y") % 2 == odd).write.mode("append").parquet(source)
         lines = ap.apply_calibration(stream_rows(spark, source, schema=LINES), calibration, EVENTS, with_corrected=True)
-        _run(stream_frame_report(lines, EVENTS, wait_ms=3_600_000), sink, checkpoint)
+        # timers keep an ``availableNow`` stream running for ever, so all that is there comes as one batch
+        _run(stream_frame_report(lines, EVENTS, wait_ms=3_600_000), sink, checkpoint, once=True)
     whole = spark.read.parquet(sink).where("status = 'whole'")
     return whole.select(
         "frame_id",
@@ -908,7 +909,7 @@ def j_stream_frame_report(spark, sf):
 LINES = "file_id INT, frame_id BIGINT, y INT, pixels ARRAY<INT>, marker INT"
 
 
-def _run(stream: DataFrame, sink: str, checkpoint: str) -> None:
+def _run(stream: DataFrame, sink: str, checkpoint: str, **trigger) -> None:
     """All that is there now, appended to ``sink``."""
     writer = stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    writer.trigger(**(trigger or {"availableNow": True})).start().awaitTermination()
