@@ -7,17 +7,28 @@ checkpoint folder, so a lost executor costs a re-read and never a second scan
 of the raw frames, and Catalyst knows its true size when it picks joins.  The
 shuffle files behind a written table are removed with the write that made them,
 and do not wait for the driver to collect its garbage.
+
+A table stays until it is given back: ``release`` removes one that nothing needs any
+more, and ``working`` all that were settled inside it, but for those kept::
+
+    with working() as scope:
+        ...
+        return scope.keep(result)
 """
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _MARK = "_framewell_settled"
+_scopes = threading.local()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -55,5 +66,57 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     finally:
         spark.conf.set(_CLEANUP, keep)
     written = spark.read.schema(df.schema).parquet(path)
-    setattr(written, _MARK, True)
+    setattr(written, _MARK, path)
+    _enter(spark, path)
     return written
+
+
+def _enter(spark: SparkSession, path: str) -> None:
+    scope = getattr(_scopes, "open", None)
+    if scope is not None:
+        scope.tables[path] = spark
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove settled tables that no later step reads; others are left alone."""
+    for df in tables:
+        path = getattr(df, _MARK, None)
+        if path:
+            _remove(df.sparkSession, path)
+            scope = getattr(_scopes, "open", None)
+            while scope is not None:
+                scope.tables.pop(path, None)
+                scope = scope.outer
+
+
+class Scope:
+    def __init__(self, outer: Scope | None):
+        self.outer = outer
+        self.tables: dict[str, SparkSession] = {}
+
+    def keep(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """``df`` as a settled table that outlives this scope (and belongs to the one around it)."""
+        df = settle(df, name)
+        path = getattr(df, _MARK)
+        self.tables.pop(path, None)
+        if self.outer is not None:
+            self.outer.tables[path] = df.sparkSession
+        return df
+
+
+@contextmanager
+def working() -> Iterator[Scope]:
+    """Tables settled inside are removed at its end, after errors too, unless they are kept."""
+    scope = Scope(getattr(_scopes, "open", None))
+    _scopes.open = scope
+    try:
+        yield scope
+    finally:
+        _scopes.open = scope.outer
+        for path, spark in scope.tables.items():
+            _remove(spark, path)
