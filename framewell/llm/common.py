@@ -22,6 +22,17 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in columns.items()])
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with so many underscores in front that no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def settle_sized(df: DataFrame, value_bytes: Column, name: str) -> tuple[DataFrame, int]:
     """Write ``df`` and add up ``value_bytes`` over its rows on the way."""
     seen = Observation()

@@ -25,9 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewell.llm.common import join_sized, pick
+from framewell.llm.common import free_names, join_sized, pick
 from framewell.plans.joins import join_counted
-from framewell.plans.settle import settle
+from framewell.plans.settle import settle, working
 
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -130,7 +130,8 @@ def decontaminate(
     exact = intersect(index, picked).select("doc_id", "item", "shift").distinct()
     near = intersect(index, picked, slop).groupBy("doc_id").agg(F.count_distinct("item").alias("near_items"))
     texts = windows.where("at = 0").select("item", "item_id", "words")
-    places = join_counted(exact, texts, ["item"]).groupBy("doc_id").agg(
+    size_of = F.aggregate("words", F.lit(64), lambda s, w: s + 24 + F.octet_length(w))
+    places = join_sized(exact, texts, "item", size_of, "items", "inner").groupBy("doc_id").agg(
         F.collect_list(F.struct(F.col("item_id").cast("string").alias("item_id"), "shift", "words")).alias("places")
     )
     found = near.join(places, near["doc_id"].eqNullSafe(places["doc_id"]), "left").select(
@@ -161,7 +162,15 @@ def decontaminate(
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents in which no window of an item occurs, whole; rows of an id with a hit go together."""
-    id_col = options.get("id_col", "doc_id")
-    hit = decontaminate(docs, items, **options).where(F.size("hits") > 0).select(id_col).distinct()
-    return join_sized(docs, hit, id_col, F.lit(16), "contaminated", "left_anti")
+    """The documents in which no window of an item occurs, whole.
+
+    A row is decided by its own text, whatever its id: rows without an id and rows that share one too.
+    """
+    text_col = options.pop("text_col", "text")
+    options.pop("id_col", None)
+    (key,) = free_names(docs, "_text")
+    keyed = docs.withColumn(key, F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+    with working() as scope:
+        found = decontaminate(keyed, items, id_col=key, text_col=text_col, **options)
+        hit = scope.keep(found.where(F.size("hits") > 0).select(key).distinct(), "contaminated")
+    return join_sized(keyed, hit, key, F.lit(48), "hit", "left_anti").drop(key)

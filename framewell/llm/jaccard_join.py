@@ -3,30 +3,31 @@
 A document is the set of its distinct word n-grams; two documents link when their
 Jaccard similarity is at least ``percent`` / 100.
 
-*Signatures.*  Sets are put into overlapping size bands, so that any two sets that can
-link share a band.  In a band the feature domain is split into partitions; a signature
-is the content of one partition.  Sets of ``a`` and ``b`` elements that link differ in
-at most ``h = (a + b)(100 - p) / (100 + p)`` elements, and one element spoils one
-partition, so all but ``h`` of a set's partitions are equal in the other.  Choosing any
-``h + 1`` of the non-empty ones in an order that all sets agree on therefore gives
-linked sets a common signature.  The order is rarest first, by counts over all
-documents: a set with ``h + 1`` signatures of its own is finished at once, and
-passages that many documents share hardly ever become signatures.  A set too small
-to fill ``h + 1`` partitions sends them all and one more that stands for such sets.
-
-*Links.*  Equal sets are one node.  Candidates are compared exactly, by their sets.
-Instead of all pairs of a group, every node is first compared with the hub of its
-groups (the node that shares most) and linked nodes are merged; later rounds regard
-groups only as far as they still join different components.  In the end, members of a
-group that are still apart are told by what they differ in from its hub: if two of them
-link and are not tied by the hub, they have more than half of one's differences in
-common, so they share one of its rarest (see ``differing``).  Such pairs are compared.  No link
-between components is lost, and a group of copies costs one comparison a node.
+*Signatures* (PartEnum).  Sets are put into overlapping size bands, so that any two sets
+that can link share a band.  In a band the feature domain is split into parts and each
+part into three; every subset of two of the three gives one signature, its content.
+Sets of ``a`` and ``b`` elements that link differ in at most ``h = (a + b)(100 - p) /
+(100 + p)`` elements.  A set sends the signatures of its first parts, in one order for all,
+until ``h // 2 + 1`` of them hold elements in two of their three pieces (``h`` for its
+largest partner).  Over the parts that both sets send, one with at most one difference
+is among those, the difference lies in one piece, and the other two are a signature
+that both have and that is not empty.  A set with too few such parts sends all and one
+more that stands for such sets.
+
+*Links.*  Equal sets are one node.  Signatures that only one node has are dropped, and of
+those with the same nodes one is kept.  In rounds, representatives of each group are
+compared with its other members in other components, and links merge components: first
+the hub (the node that shares most), then 1, 2, 4, ... by hash.  A representative that
+was compared leaves its group, so every pair of a group is compared or already in one
+component when no group joins two components any more.  Before two sets are fetched
+their sizes and bit sketches are compared: sketches differ in no more bits than the sets
+in elements, so only pairs that cannot link are left out.
 
 Defined cases: null and empty texts have no n-grams and are linked with nothing; a
-text of fewer words is one n-gram; rows that repeat an id are linked like other
-rows, null ids are passed over when a component is named (null if it has no other);
-an empty table gives an empty result; further columns are ignored.  N-grams are told
+text of fewer words is one n-gram; very long texts are read whole; rows that
+repeat an id are linked like other rows, null ids are passed over when a component is
+named (null if it has no other); an empty table gives an empty result; further columns are
+ignored; :func:`keep_one` decides by row, see there.  N-grams are told
 apart by 64-bit hashes.
 """
 
@@ -41,16 +42,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewell.llm.common import join_classes, join_sized, pick
+from framewell.llm.common import free_names, join_classes, join_sized, pick
 from framewell.llm.components import components
-from framewell.plans.settle import settle, settle_counted
+from framewell.plans.settle import release, settle, settle_counted, working
 
 BAND_RATIO = 1.6
 CACHED_WORDS = 500_000
 BATCH_BYTES = 4_000_000
-HUB_ROUNDS = 6
-# Groups of so many nodes are compared without a hub.
-SMALL_GROUP = 8
+# Rounds with the hub as the representative; the result is the same for any number.
+HUB_ROUNDS = 3
+SKETCH_WORDS = 32
 
 
 class WordHashes(dict):
@@ -97,51 +98,73 @@ def allowed(a: int, b: int, percent: int) -> int:
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def signatures(elements: np.ndarray, percent: int) -> list[tuple[int, int, int, list[int]]]:
-    """For each band of the set: band, how many must be sent, how many there are, and all signatures."""
+def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
+    """The 64-bit signatures of a set, of all its bands (see the module)."""
     size, out = len(elements), []
     for band, (low, high) in enumerate(bands(percent, size)):
         if not low <= size <= high:
             continue
-        partitions = int(1.15 * (allowed(high, high, percent) + 1)) + 6
-        key = mixed(elements, band * 2 + 101)
-        part = ((key >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        content = np.add.reduceat(mixed(elements, band * 2 + 102)[order], first)
-        found = mixed(content + part[first] * np.uint64(0x9E3779B97F4A7C15), band + 7).view(np.int64).tolist()
-        send = allowed(size, min(high, size * 100 // percent), percent) + 1
-        if len(found) < send:
-            found.append(int(mixed(np.array([band], np.uint64), 3).view(np.int64)[0]))
-            send = len(found)
-        out.append((band, send, len(found), found))
-    return out
+        most = allowed(size, min(high, size * 100 // percent), percent)
+        if most == 0:
+            continue  # only equal sets link, and those are one node already
+        parts = int(1.25 * (allowed(high, high, percent) // 2 + 1)) + 4
+        key = mixed(elements, band * 2 + 101) >> np.uint64(32)
+        piece = (key * np.uint64(3 * parts)) >> np.uint64(32)  # piece 3 i + j is the j-th of part i
+        content = np.zeros(3 * parts, np.uint64)
+        order = np.argsort(piece, kind="stable")
+        held, first = np.unique(piece[order], return_index=True)
+        content[held] = np.add.reduceat(mixed(elements, band * 2 + 102)[order], first)
+        filled = np.zeros(3 * parts, bool)
+        filled[held] = True
+        counted = (filled.reshape(-1, 3).sum(axis=1) >= 2).cumsum()
+        last = int(np.searchsorted(counted, most // 2 + 1)) + 1  # parts up to the one that completes the number
+        use = np.arange(min(last, parts))
+        for left_out in range(3):
+            two = [j for j in range(3) if j != left_out]
+            some = filled[3 * use + two[0]] | filled[3 * use + two[1]]
+            at = use[some]
+            mark = mixed((at * 3 + left_out).astype(np.uint64), band + 7)
+            both = mixed(content[3 * at + two[0]], 11) + mixed(content[3 * at + two[1]], 13)
+            out.append(mixed(both ^ mark, 17))
+        if last > parts:
+            out.append(mixed(np.array([band], np.uint64), 3))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """Which of some 2000 bits an odd number of elements falls on."""
+    at = (mixed(elements, 5) >> np.uint64(40)) % np.uint64(64 * SKETCH_WORDS)
+    odd = (np.bincount(at.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+HASHED = pa.schema(
+    [("key", pa.binary()), ("n_shingles", pa.int64()), ("same", pa.binary()), ("sent", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+)
 
 
 def hashed_documents(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``row, doc_id, n_shingles, same`` (hash of the set) and ``sent`` (its signatures), written once."""
+    """``row, doc_id, key`` (hash of the text), ``n_shingles, same`` (hash of the set), ``sent`` (signatures) and ``sketch``, written once."""
     kind = {f.name: f.dataType for f in docs.schema}["doc_id"].simpleString()
-    sent = pa.list_(pa.struct([("band", pa.int32()), ("send", pa.int32()), ("have", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            begin, sizes, same, out, weight = 0, [], [], [], 0
+            begin, out, weight = 0, [], 0
             for i in range(batch.num_rows):
-                elements = shingle_set(texts[i].as_py() or b"", hashes, n)
-                sizes.append(len(elements))
-                same.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest() if len(elements) else None)
-                out.append([dict(zip(("band", "send", "have", "tokens"), s, strict=True)) for s in signatures(elements, percent)])
-                weight += 8 * len(elements)
+                data = texts[i].as_py() or b""
+                elements = shingle_set(data, hashes, n)
+                sent = signatures(elements, percent).view(np.int64)
+                same = hashlib.blake2b(elements.tobytes(), digest_size=16).digest() if len(elements) else None
+                out.append((hashlib.md5(data).digest(), len(elements), same, sent, sketch(elements)))
+                weight += sent.nbytes + 8 * SKETCH_WORDS
                 if weight > BATCH_BYTES or i + 1 == batch.num_rows:
-                    ids = batch.column("doc_id").slice(begin, i + 1 - begin)
-                    arrays = [ids, pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), pa.array(out, sent)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "same", "sent"])
-                    begin, sizes, same, out, weight = i + 1, [], [], [], 0
+                    arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), HASHED.types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, i + 1 - begin), *arrays], names=["doc_id", *HASHED.names])
+                    begin, out, weight = i + 1, [], 0
 
-    schema = f"doc_id {kind}, n_shingles bigint, same binary, sent array<struct<band:int,send:int,have:int,tokens:array<bigint>>>"
+    schema = f"doc_id {kind}, key binary, n_shingles bigint, same binary, sent array<bigint>, sketch array<bigint>"
     return settle(docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "shingles")
 
 
@@ -165,17 +188,19 @@ def sets_of(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "same binary, elements array<bigint>")
 
 
-def prefixes(nodes: DataFrame) -> DataFrame:
-    """``node, token, freq``: the rarest signatures each node must send, of those that others have too."""
-    tokens = nodes.select("node", F.explode("sent").alias("s")).select(
-        "node", "s.band", "s.send", "s.have", F.explode("s.tokens").alias("token")
-    )
+def groups_of(nodes: DataFrame) -> DataFrame:
+    """``node, token``: the signatures that several nodes have; of those with the very same nodes one."""
+    tokens = nodes.select("node", F.explode("sent").alias("token"))
     shared = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1"), "shared")
-    held = join_classes(tokens, shared, "token", "freq")
-    ranked = held.groupBy("node", "band", "send", "have").agg(F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("t"))
-    left = F.col("send") - (F.col("have") - F.size("t"))  # signatures of its own come first
-    chosen = ranked.where(left > 0).select("node", F.explode(F.slice("t", 1, left)).alias("t"))
-    return settle(chosen.select("node", "t.token", "t.freq"), "prefix")
+    held = settle(join_classes(tokens, shared, "token", "freq").select("node", "token"), "held")
+    release(shared)
+    who = [F.count(F.lit(1)), F.min("node"), F.max("node"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
+    marks = ["freq", "low", "high", "x", "z"]
+    told_apart = held.groupBy("token").agg(*[w.alias(m) for w, m in zip(who, marks, strict=True)])
+    chosen = settle(told_apart.groupBy(*marks).agg(F.min("token").alias("token")).select("token", "freq"), "chosen")
+    out = settle(join_classes(held, chosen, "token", "freq"), "groups")
+    release(held, chosen)
+    return out
 
 
 def side_by_side(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -193,145 +218,162 @@ def side_by_side(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u").join(theirs, ["v", "salt"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def can_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``u, v`` whose sizes and sketches do not exclude a link."""
+    sized = lambda as_: nodes.select(F.col("node").alias(as_), F.col("n_shingles").alias(f"{as_}_n"), F.col("sketch").alias(f"{as_}_s"))
+    hubs = settle(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "hubs")
+    theirs = settle(sized("v").join(hubs, "v"), "sketches")
+    met = join_classes(pairs, theirs, "v", "n").join(sized("u"), "u")
+    apart = F.aggregate(F.zip_with("u_s", "v_s", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
+    h = F.floor((F.col("u_n") + F.col("v_n")) * (100 - percent) / (100 + percent))
+    out = settle(met.where((F.abs(F.col("u_n") - F.col("v_n")) <= h) & (apart <= h)).select("u", "v"), "candidates")
+    release(hubs, theirs)
+    return out
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``u, v`` whose sets link; every pair is compared once."""
+    likely = can_link(pairs, nodes, percent)
     common = F.size(F.array_intersect("a", "b"))
     linked = common * 100 >= (F.size("a") + F.size("b") - common) * percent
-    return side_by_side(pairs, sets).where(linked).select("u", "v")
-
-
-def live(prefix: DataFrame, labels: DataFrame) -> DataFrame:
-    """The part of ``prefix`` in groups that still join different components, with ``component``."""
-    named = prefix.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = settle(named, "named")
-    groups = named.groupBy("token").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n")
-    )
-    open_ = settle(groups.where("_low <> _high").select("token", "_n"), "open")
-    return join_classes(named, open_, "token", "_n").drop("_n")
+    out = settle(side_by_side(likely, sets).where(linked).select("u", "v"), "links")
+    release(likely)
+    return out
 
 
-def with_hubs(prefix: DataFrame) -> DataFrame:
-    """``prefix`` with the ``hub`` of each group: the node that shares most, its component and weight, and the group's size."""
-    shares = prefix.groupBy("node").agg(F.sum("freq").alias("weight"))
-    weighed = settle(prefix.join(shares, "node"), "weighed")
-    hubs = weighed.groupBy("token").agg(
-        F.max_by("node", F.struct("weight", "node")).alias("hub"), F.max_by("component", F.struct("weight", "node")).alias("hub_component"),
-        F.max("weight").alias("hub_weight"), F.count(F.lit(1)).alias("members"),
-    )
-    return join_classes(weighed, settle(hubs, "tokens"), "token", "members")
-
+def live(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """The part of ``groups`` that still joins different components, with ``component``."""
+    named = join_sized(groups, labels, "node", F.lit(32), "labels").withColumn("component", F.coalesce("component", "node"))
+    named = settle(named.select("node", "token", "component"), "named")
+    ends = named.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"))
+    open_ = settle(ends.where("_low <> _high").select("token", "_n"), "open")
+    out = settle(join_classes(named, open_, "token", "_n"), "live")
+    release(named, open_)
+    return out
 
-def to_hubs(prefix: DataFrame) -> DataFrame:
-    """For every node one pair ``u, v`` with the most shared hub of its groups that is in another component."""
-    met = with_hubs(prefix).where(F.col("component") != F.col("hub_component"))
-    return met.groupBy("node").agg(F.max_by("hub", "hub_weight").alias("v")).select(F.col("node").alias("u"), "v")
 
+def with_hubs(groups: DataFrame) -> DataFrame:
+    """``node, token, component, _n`` with the group's ``hub``: the node that shares most with others."""
+    shares = groups.groupBy("node").agg(F.sum("_n").alias("weight"))
+    weighed = settle(groups.join(shares, "node"), "weighed")
+    heaviest = F.max(F.struct("weight", "node"))["node"]
+    hubs = settle(weighed.groupBy("token").agg(heaviest.alias("hub"), F.count(F.lit(1)).alias("members")), "hubs")
+    out = settle(join_classes(weighed.drop("weight"), hubs, "token", "members").drop("members"), "hubbed")
+    release(weighed, hubs)
+    return out
 
-def differing(prefix: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links ``u, v`` of nodes to the hubs of their groups, and the differences from the hubs that can lead to others.
 
-    Let x and y be the numbers of elements in which a and b differ from a hub c (a, b, c also
-    stand for sizes), and q = (100 - percent) / (100 + percent).  Linked sets differ in
-    at most (a + b) q elements, so a and b have at least (x + y - (a + b) q) / 2 of
-    those differences in common.  If b is not linked with c, y > (b + c) q, and that is more than
-    (x + (c - a) q) / 2, about half of a's own.  Hence a and b share one of a's x - that many
-    rarest differences (``near``).  If a is linked with c and b is not, x >= y - (a + b) q tells how many
-    of b's rarest ones are enough on its side.  Two sets linked with c need no pair.
-    """
-    tied = settle(prefix.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"), "component").distinct(), "tied")
-    apart = F.concat(F.array_except("a", "b"), F.array_except("b", "a"))
-    met = side_by_side(tied, sets).select("u", "v", "component", F.size("a").alias("a"), F.size("b").alias("c"), apart.alias("apart"))
-    met = met.withColumn("x", F.size("apart")).withColumn("linked", F.expr(f"x * {100 + percent} <= (a + c) * {100 - percent}"))
-    met = settle(met, "apart")
-
-    elements = met.select("u", "v", "component", "a", "c", "x", "linked", F.explode("apart").alias("e"))
-    elements = elements.withColumn("key", F.xxhash64("v", "e")).drop("e")
-    shared = settle(elements.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1"), "differences")
-    held = join_classes(elements, shared, "key", "freq").groupBy("u", "v", "component", "a", "c", "x", "linked")
-    ranked = held.agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("t"))
-    least = F.expr(f"floor((x * {100 + percent} + (c - a) * {100 - percent}) / {2 * (100 + percent)}) + 1")
-    far = F.expr(f"greatest(x - floor((a + a * 100 / {percent}) * {100 - percent} / {100 + percent}), 1)")
-    own = F.col("x") - F.size("t")  # differences that no other node has come first
-    ranked = ranked.withColumn("near", F.greatest(F.col("x") - least + 1 - own, F.lit(0)).cast("int"))
-    ranked = ranked.withColumn("all", F.when(F.col("linked"), F.col("near")).otherwise(F.greatest("near", F.col("x") - far + 1 - own)).cast("int"))
-    sent = ranked.select("u", "component", "linked", "near", F.posexplode(F.slice("t", 1, F.col("all"))).alias("pos", "t"))
-    sent = settle(sent.select("u", "component", "linked", (F.col("pos") < F.col("near")).alias("near"), "t.key"), "sent")
-    return met.where("linked").select("u", "v"), sent
-
-
-def remaining_pairs(prefix: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links ``u, v`` to hubs, and the pairs of nodes in different components that may link besides.
-
-    In groups of up to ``SMALL_GROUP`` nodes these are all pairs, in others those that share a rare difference from the hub.
-    """
-    held = settle(with_hubs(prefix), "held")
-    few = held.where(F.col("members") <= SMALL_GROUP)
-    other = few.select("token", F.col("node").alias("v"), F.col("component").alias("c"))
-    pairs = few.join(other, "token").where((F.col("node") < F.col("v")) & (F.col("component") != F.col("c")))
-    links, sent = differing(held.where(F.col("members") > SMALL_GROUP), sets, percent)
-    unlinked = sent.where("not linked").select("key", F.col("u").alias("v"), F.col("component").alias("c"), F.col("near").alias("v_near"))
-    met = sent.where("near").join(unlinked, "key").where(
-        (F.col("component") != F.col("c")) & (F.col("linked") | (F.col("v_near") & (F.col("u") < F.col("v"))))
-    )
-    found = pairs.select(F.col("node").alias("u"), "v").union(met.select("u", "v"))
-    return links, found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+def with_representatives(groups: DataFrame, times: int) -> DataFrame:
+    """``node, token, component, _n`` with ``reps``: up to ``times`` members, the smallest of each class of a hash."""
+    salt = F.pmod(F.xxhash64("node", F.lit(times)), F.lit(times))
+    each = groups.groupBy("token", salt.alias("salt")).agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
+    reps = settle(each.groupBy("token").agg(F.collect_list("rep").alias("reps"), F.sum("n").alias("members")), "reps")
+    out = settle(join_classes(groups, reps, "token", "members").drop("members"), "represented")
+    release(reps)
+    return out
 
 
-def link_components(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def link_components(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``node, component`` of all nodes with a link."""
-    spark = prefix.sparkSession
+    spark = groups.sparkSession
     labels = spark.createDataFrame([], "node bigint, component bigint")
     edges = spark.createDataFrame([], "u bigint, v bigint")
-    for _ in range(HUB_ROUNDS):
-        rest, n = settle_counted(live(prefix, labels), "live")
-        if n == 0:
+    turn = 0
+    while True:
+        now = live(groups, labels)
+        if not now.take(1):
             return labels
-        found, n_found = settle_counted(verified(settle(to_hubs(rest), "pairs"), sets, percent), "links")
-        if n_found == 0:
-            break  # hubs lead no further
-        edges = settle(edges.union(found), "edges")
-        labels = components(edges)
-    else:
-        rest = settle(live(prefix, labels), "live")
-    links, pairs = remaining_pairs(rest, sets, percent)
-    found, n_found = settle_counted(links.union(verified(settle(pairs, "pairs"), sets, percent)), "links")
-    if n_found:
-        labels = components(edges.union(found))
-    return labels
-
-
-def jaccard_classes(
-    docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per document: ``id_col, n_shingles, component_id`` (the smallest id reachable by links)."""
-    docs = pick(docs, doc_id=id_col, text=text_col)
+        if turn < HUB_ROUNDS:
+            met = with_hubs(now).withColumn("reps", F.array("hub")).drop("hub")
+        else:
+            met = with_representatives(now, 2 ** (turn - HUB_ROUNDS))
+        turn += 1
+        others = met.select("node", "component", F.explode("reps").alias("v")).where(F.col("node") != F.col("v"))
+        pairs = others.select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v")).distinct()
+        known = settle(pairs, "pairs")
+        if turn > 1:
+            both = known.join(labels.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left")
+            both = both.join(labels.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
+            apart = both.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+        else:
+            apart = known
+        found = verified(settle(apart, "apart"), nodes, sets, percent)
+        # whoever was compared with all others of its group leaves it
+        rest = settle(met.where(~F.array_contains("reps", F.col("node"))).select("node", "token"), "rest")
+        release(now, known)
+        if turn > 1:
+            release(groups)
+        groups = rest
+        if found.take(1):
+            edges = settle(edges.union(found), "edges")
+            labels = components(edges)
+
+
+def members(docs: DataFrame, *, n: int, percent: int) -> DataFrame:
+    """``doc_id, key, n_shingles, component`` (null without n-grams) and ``component_id`` of ``doc_id, text``, one row per document."""
     hashed = hashed_documents(docs, n, percent)
     some = hashed.where("n_shingles > 0")
     classes = settle(
-        some.groupBy("same").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "classes"
+        some.groupBy("same").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("any_key")),
+        "classes",
     )
     copies = some.join(classes.where("copies > 1").select("same", "node"), "same").where("row <> node").select("row")
     nodes = join_sized(some.select("row", "sent"), copies, "row", F.lit(16), "copies", "left_anti")
-    prefix = prefixes(nodes.withColumnRenamed("row", "node"))
-
-    compared = settle(classes.join(prefix.select("node").distinct(), "node").select("node", "same", "least"), "compared")
-    texts = join_sized(
-        docs, compared.select(F.col("least").alias("_least")).distinct(), F.col("doc_id").eqNullSafe(F.col("_least")), F.lit(16), "texts", "left_semi"
-    )
+    groups = groups_of(nodes.withColumnRenamed("row", "node"))
+
+    compared = settle(classes.join(groups.select("node").distinct(), "node").select("node", "same", "any_key"), "compared")
+    sketches = settle(some.select(F.col("row").alias("node"), "n_shingles", "sketch").join(compared.select("node"), "node", "left_semi"), "sketches")
+    slim = settle(hashed.select("row", "doc_id", "key", "n_shingles", "same"), "rows")
+    release(hashed)
+    hash_of = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    wanted = compared.select(F.col("any_key").alias("_key"))
+    texts = join_sized(docs.withColumn("_key", hash_of), wanted, "_key", F.lit(24), "texts", "left_semi")
     sets = sets_of(texts, n).dropDuplicates(["same"]).join(compared.select("node", "same"), "same").select("node", "elements")
-    labels = link_components(prefix, settle(sets, "sets"), percent)
+    labels = link_components(groups, sketches, settle(sets, "sets"), percent)
 
     joined = settle(classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "joined")
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_n"))
-    named = settle(join_classes(joined, settle(least, "named"), "component", "_n").select("same", "component_id", "copies"), "members")
-    linked = join_classes(some.select("row", "doc_id", "n_shingles", "same"), named, "same", "copies")
-    alone = hashed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.select("doc_id", "n_shingles", "component_id").unionByName(alone).withColumnRenamed("doc_id", id_col)
+    named = settle(join_classes(joined, settle(least, "named"), "component", "_n").select("same", "component", "component_id", "copies"), "members")
+    linked = join_classes(slim.where("n_shingles > 0"), named, "same", "copies").drop("copies", "same", "row")
+    alone = slim.where("n_shingles = 0").select("doc_id", "key", "n_shingles", F.lit(None).cast("bigint").alias("component"), F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone)
+
+
+def jaccard_classes(
+    docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per document: ``id_col, n_shingles, component_id`` (the smallest id reachable by links)."""
+    with working() as scope:
+        found = members(pick(docs, doc_id=id_col, text=text_col), n=n, percent=percent)
+        return scope.keep(found.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id"), "jaccard")
 
 
 def keep_one(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that name their component, whole, and those without an id."""
-    classes = jaccard_classes(docs, n=n, percent=percent, id_col=id_col, text_col=text_col)
-    gone = classes.where(F.col(id_col) != F.col("component_id")).select(id_col)
-    return join_sized(docs, gone, id_col, F.lit(16), "near_copies", "left_anti")
+    """One row of each component, whole: that with the smallest id (without an id only if none has one).
+
+    Rows are told apart by id and text, not by id alone: rows that share an id but not their text are decided one by one,
+    and of rows that repeat both one is left.  Documents without n-grams are linked with nothing and all stay.
+    """
+    hash_of = F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+    with working() as scope:
+        found = members(pick(docs, doc_id=id_col, text=text_col), n=n, percent=percent).where("n_shingles > 0")
+        rows = settle(found.groupBy("component", "doc_id", "key").agg(F.count(F.lit(1)).alias("n")), "rows")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))
+        best = settle(rows.groupBy("component").agg(first.alias("best"), F.count(F.lit(1)).alias("_n")), "best")
+        told = join_classes(rows, best, "component", "_n")
+        kept = told["doc_id"].eqNullSafe(told["best.doc_id"]) & (told["key"] == told["best.key"])
+        told = told.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "n", kept.alias("kept"))
+        decided = scope.keep(told.where(~F.col("kept") | (F.col("n") > 1)), "decided")
+    text, key, own = free_names(docs, "_text", "_key", "_id")
+    decided = decided.select(F.col("_id").alias(own), F.col("_key").alias(key), "kept")
+    keyed = docs.withColumn(text, hash_of)
+    same_row = (F.col(text) == F.col(key)) & F.col(f"`{id_col}`").eqNullSafe(F.col(own))
+    left = join_sized(keyed, decided.select(own, key), same_row, F.lit(32), "gone", "left_anti")
+    repeated = decided.where("kept")
+    if repeated.take(1):
+        once = join_sized(keyed, repeated.select(own, key), same_row, F.lit(32), "repeated", "left_semi")
+        # rows of one id and text may be many: fold whole rows before the shuffle
+        whole = once.select(F.col(text).alias("text"), F.col(f"`{id_col}`").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        folded = whole.groupBy("text", "id").agg(F.first("row").alias("row"))
+        left = left.drop(text).unionByName(folded.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
+    return left.drop(text)

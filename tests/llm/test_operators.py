@@ -351,10 +351,9 @@ def test_jaccard_components_of_chains_and_crowds(spark):
     assert sorted((tuple(r) for r in jaccard_join.jaccard_classes(table).collect()), key=repr) == brute_components(data)
 
 
-def test_rare_differences_from_a_hub_find_every_link(spark, monkeypatch):
-    """No rounds of hubs and no small groups: all links but those to hubs come from shared differences."""
+def test_representatives_find_every_link(spark, monkeypatch):
+    """No rounds of hubs: all links come from representatives by hash."""
     monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", 0)
-    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", 1)
     rng = random.Random(21)
     base, data = prose(rng, 100).split(), []
     families = [[(rng.randrange(90), f"f{f}v{v}") for v in range(3)] for f in range(12)]
@@ -409,8 +408,7 @@ def test_decontamination_matches_brute_force(spark, docs, empty):
     assert all(r["near_items"] >= len(set(r["item_ids"])) for r in found.collect())
     clean = decontaminate.clean_documents(docs, table)
     assert clean.columns == docs.columns
-    bad = {w[0] for w in want if w[2]}
-    assert sorted((r[0] for r in clean.collect()), key=repr) == sorted((r[0] for r in rows() if r[0] is None or r[0] not in bad), key=repr)
+    assert sorted((r[0] for r in clean.collect()), key=repr) == sorted((w[0] for w in want if not w[2]), key=repr)
     assert decontaminate.decontaminate(empty, table).count() == 0
     assert {len(r["hits"]) for r in decontaminate.decontaminate(docs, table.limit(0)).collect()} == {0}
 
