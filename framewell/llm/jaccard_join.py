@@ -17,7 +17,7 @@ more that stands for such sets.
 *Links.*  Equal sets are one node.  Signatures that only one node has are dropped, and of
 those with the same nodes one is kept.  In rounds, representatives of each group are
 compared with its other members in other components, and links merge components: first
-the hub (the node that shares most), then 1, 2, 4, ... by hash.  A representative that
+the hub (the node that shares most), then 16, 256 and up to 1024 a round by hash.  A representative that
 was compared leaves its group, so every pair of a group is compared or already in one
 component when no group joins two components any more.  Before two sets are fetched
 their sizes and bit sketches are compared: sketches differ in no more bits than the sets
@@ -50,7 +50,9 @@ BAND_RATIO = 1.6
 CACHED_WORDS = 500_000
 BATCH_BYTES = 4_000_000
 # Rounds with the hub as the representative; the result is the same for any number.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
+# Representatives of a group in the round after those, in every further one 16 times as many, and at most.
+FIRST_REPRESENTATIVES, MOST_REPRESENTATIVES = 16, 1024
 SKETCH_WORDS = 32
 
 
@@ -108,12 +110,13 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
         if most == 0:
             continue  # only equal sets link, and those are one node already
         parts = int(1.25 * (allowed(high, high, percent) // 2 + 1)) + 4
-        key = mixed(elements, band * 2 + 101) >> np.uint64(32)
+        # elements are hashes themselves: a multiplication deals them anew in every band, and their sum tells contents apart
+        key = (elements * np.uint64((band * 2 + 101) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF | 1)) >> np.uint64(32)
         piece = (key * np.uint64(3 * parts)) >> np.uint64(32)  # piece 3 i + j is the j-th of part i
         content = np.zeros(3 * parts, np.uint64)
         order = np.argsort(piece, kind="stable")
         held, first = np.unique(piece[order], return_index=True)
-        content[held] = np.add.reduceat(mixed(elements, band * 2 + 102)[order], first)
+        content[held] = np.add.reduceat(elements[order], first)
         filled = np.zeros(3 * parts, bool)
         filled[held] = True
         counted = (filled.reshape(-1, 3).sum(axis=1) >= 2).cumsum()
@@ -268,9 +271,7 @@ def with_representatives(groups: DataFrame, times: int) -> DataFrame:
     salt = F.pmod(F.xxhash64("node", F.lit(times)), F.lit(times))
     each = groups.groupBy("token", salt.alias("salt")).agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
     reps = settle(each.groupBy("token").agg(F.collect_list("rep").alias("reps"), F.sum("n").alias("members")), "reps")
-    out = settle(join_classes(groups, reps, "token", "members").drop("members"), "represented")
-    release(reps)
-    return out
+    return join_classes(groups, reps, "token", "members").drop("members")  # not written: the lists stand beside every member
 
 
 def link_components(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -286,7 +287,8 @@ def link_components(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percen
         if turn < HUB_ROUNDS:
             met = with_hubs(now).withColumn("reps", F.array("hub")).drop("hub")
         else:
-            met = with_representatives(now, 2 ** (turn - HUB_ROUNDS))
+            times = FIRST_REPRESENTATIVES * 16 ** min(turn - HUB_ROUNDS, 8)
+            met = with_representatives(now, min(times, MOST_REPRESENTATIVES))
         turn += 1
         others = met.select("node", "component", F.explode("reps").alias("v")).where(F.col("node") != F.col("v"))
         pairs = others.select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v")).distinct()
