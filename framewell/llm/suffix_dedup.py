@@ -2,24 +2,20 @@
 
 Of each text only the suffixes at content-selected positions are kept: minimisers, the
 smallest hash of ``gram`` words in every window of ``window`` such grams.  So two copies
-of a passage keep the same suffixes.  The suffixes are sorted by a 128-bit fingerprint
-of their first ``seed`` words, then by the words around them, document and place (one
-range-partitioned sort, which also spreads a passage that very many documents share),
-and each is compared with its predecessor: the same seed and surroundings mean a whole
-repeat.  The words around a position travel with it, just so many as an extension to
-the next kept suffix can need, and only for seeds that occur twice.  The first and last
-suffix of each partition are compared in a second step.
-
-What is left is one suffix, the earliest, of each seed and surroundings.  These are
-extended word by word to the right and to the left, as far as any earlier one of the
-seed agrees: in document order a suffix is put into the sorted list of those before it,
-where the longest agreement is with a neighbour (``Seen``).  Seeds with more than
-``in_task`` different surroundings are not gathered in one task: there the earliest place of every
-beginning is aggregated and joined back (``extended_by_prefix``), with the same result.
-
-Overlapping matches of a document are merged; those of at least ``least_words`` words
-are removed.  The first occurrence (smallest id, then first place) stays.  Any repeated
-passage of ``least_words`` words keeps a suffix whose seed lies inside it, as
+of a passage keep the same suffixes.  A suffix is told by a 128-bit fingerprint of its
+first ``seed`` words; those that no other shares are dropped.
+
+The others are extended to the left and to the right to every run of ``least_words``
+words around the seed.  A run belongs to the first kept suffix inside it, so it is
+written once, as its fingerprint, document and place.  These entries are sorted (one
+range-partitioned sort by fingerprint, document and place, which also spreads a passage
+that very many documents share) and compared with their neighbours: an entry that
+follows another place of the same run is a repeat of ``least_words`` words from one
+earlier place.  Partition ends are compared in a second step, from two rows each.
+
+A word goes exactly when a run around it repeats an earlier one: overlapping repeats
+are merged, and nothing else is removed.  The first occurrence (smallest id, then first
+place) stays.  Every repeated run holds a kept suffix with its whole seed, as
 ``window + seed <= least_words + 1``.
 
 Words are compared in lower case (A-Z) with ASCII white space between them.  Defined
@@ -33,122 +29,105 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewell.llm.common import BROADCAST_BYTES, join_classes, join_sized, pick, settle_sized
+from framewell.llm.common import join_classes, join_sized, pick
 from framewell.llm.jaccard_join import WordHashes, mixed
-from framewell.plans.settle import settle
+from framewell.plans.settle import release, settle, working
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BATCH_BYTES = 4_000_000
-# Different surroundings of one seed that a task compares in memory; seeds with more are aggregated.
-IN_TASK = 10_000
-SIDES = ("before", "after")
 
 
-def kept_suffixes(words: list[bytes], hashes: WordHashes, gram: int, window: int, seed: int) -> tuple[np.ndarray, list[bytes]]:
-    """Positions of the kept suffixes that have a whole seed, and the fingerprints of the seeds."""
-    n = len(words)
+def word_hashes(text: str | None, hashes: WordHashes) -> np.ndarray:
+    words = (text or "").encode("utf-8").lower().split()
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+
+def kept_suffixes(at: np.ndarray, gram: int, window: int, seed: int) -> np.ndarray:
+    """Positions of the kept suffixes that have a whole seed, in a text given as hashes of its words."""
+    n = len(at)
     if n < max(window + gram - 1, seed):
-        return np.empty(0, np.int64), []
-    at = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
+        return np.empty(0, np.int64)
     grams = np.zeros(n - gram + 1, np.uint64)
     for i in range(gram):
         grams = grams * np.uint64(0x9E3779B97F4A7C15) + at[i : i + len(grams)]
     views = np.lib.stride_tricks.sliding_window_view(mixed(grams, 1), window)
     found = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    found = found[found + seed <= n]
-    starts = at[found[:, None] + np.arange(seed)]
-    return found, [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in starts]
-
-
-class Seen:
-    """Sorted different texts seen so far; every word in them ends with one blank."""
-
-    def __init__(self) -> None:
-        self.texts: list[str] = []
-
-    def longest(self, text: str) -> int:
-        """Words that ``text`` has in common, from the start, with any text seen before; then adds it."""
-        at = bisect_left(self.texts, text)
-        beside = self.texts[max(at - 1, 0) : at + 1]
-        if text in beside:
-            return text.count(" ")
-        self.texts.insert(at, text)
-        return max((common_words(text, other) for other in beside), default=0)
+    return found[found + seed <= n]
 
 
-def common_words(a: str, b: str) -> int:
-    """How many whole words two texts have in common from the start."""
-    low, high = 0, min(len(a), len(b))
-    while low < high:  # the longest common beginning, by halving
-        middle = (low + high + 1) // 2
-        if a[low:middle] == b[low:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return a.count(" ", 0, low)
+def fingerprints(at: np.ndarray, starts: np.ndarray, length: int) -> list[bytes]:
+    """128 bits for each run of ``length`` words."""
+    return [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in at[starts[:, None] + np.arange(length)]]
 
 
-def same_value(a, b) -> bool:
-    return a == b or bool(pd.isna(a) and pd.isna(b))
+def runs_around(at: np.ndarray, kept: np.ndarray, shared: np.ndarray, seed: int, length: int) -> np.ndarray:
+    """Starts of the runs whose first kept suffix is one of the ``shared``."""
+    starts = np.arange(len(at) - length + 1)
+    if not len(starts) or not len(kept):
+        return starts[:0]
+    first = np.searchsorted(kept, starts)
+    inside = (first < len(kept)) & (kept[np.minimum(first, len(kept) - 1)] + seed <= starts + length)
+    return starts[inside & np.isin(kept[np.minimum(first, len(kept) - 1)], shared)]
 
 
-def same_place(a: tuple, b: tuple) -> bool:
-    """Whether two rows ``seed, before, after, doc_id, _text, pos`` are one place, given twice."""
-    return same_value(a[3], b[3]) and a[4:6] == b[4:6]
+def later_places(windows: DataFrame, kind: str) -> DataFrame:
+    """``doc_id, _text, start`` of all entries ``run, late, doc_id, _text, start`` that follow another place of the same run."""
+    spark = windows.sparkSession
+    order = ["run", "late", "doc_id", "_text", "start"]
+    placed = windows.withColumn("place", F.xxhash64("late", F.coalesce("doc_id", F.lit(0)), "_text", "start"))
+    array = placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    names = ["part", "what", "run", "place", "doc_id", "_text", "start"]
 
+    def neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The repeats in this partition, its first entry, and the leading one of its last run."""
+        lead: tuple | None = None
+        last: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            run = np.array(batch.column("run").to_pylist(), dtype=object)
+            place = batch.column("place").to_numpy()
+            what = np.full(len(run), "", dtype=object)
+            if lead is None:
+                what[0] = "first"
+                lead = (run[0], place[0])
+                last = batch.slice(0, 1)
+            new = np.concatenate([[run[0] != lead[0]], run[1:] != run[:-1]])
+            leader = np.maximum.accumulate(np.where(new, np.arange(len(run)), -1))
+            first_place = np.where(leader >= 0, place[np.maximum(leader, 0)], lead[1])
+            what[place != first_place] = "repeat"
+            if leader[-1] >= 0:
+                lead = (run[leader[-1]], place[leader[-1]])
+                last = batch.slice(int(leader[-1]), 1)
+            chosen = np.flatnonzero(what != "")
+            out = batch.take(pa.array(chosen))
+            columns = [out.column("part"), pa.array(what[chosen].tolist(), pa.string()), *[out.column(c) for c in names[2:]]]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        if last is not None:
+            columns = [last.column("part"), pa.array(["last"], pa.string()), *[last.column(c) for c in names[2:]]]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-def whole_match(row: tuple, seed: int) -> tuple:
-    """``doc_id, _text, from, to`` of a suffix that repeats with all that is known around it."""
-    return row[3], row[4], row[5] - row[1].count(" "), row[5] + seed + row[2].count(" ")
-
-
-def resolve_edges(edges: list[tuple[bool, bool, tuple]], seed: int) -> tuple[list[tuple], list[tuple]]:
-    """Firsts of their surroundings, and matches, among the first rows of the partitions.
-
-    ``edges`` has two entries a partition, its first and its last row: whether the row
-    leads its surroundings within the partition, whether these began with the
-    partition, and the row.
-    """
-    leads, matches, before, before_leads = [], [], None, True
-    for (_, _, first), (leads_here, from_start, last) in zip(edges[::2], edges[1::2], strict=True):
-        first_leads = True
-        if before is None or before[:3] != first[:3]:
-            leads.append(first)
-        elif not (same_place(before, first) and before_leads):
-            first_leads = False
-            matches.append(whole_match(first, seed))
-        before, before_leads = last, leads_here and (first_leads or not from_start)
-    return leads, matches
-
-
-def extended_by_prefix(leads: DataFrame, seed: int) -> DataFrame:
-    """``doc_id, _text, from, to`` of suffixes of seeds with very many surroundings.
-
-    A suffix reaches as far as its longest beginning that occurs at an earlier place.
-    """
-    place = F.struct("late", "doc_id", "_text", "pos")
-    beginnings = []
-    for side in SIDES:
-        n_words = F.length(side) - F.length(F.replace(side, F.lit(" ")))
-        lengths = leads.select("seed", place.alias("place"), side, F.explode(F.sequence(F.lit(0), n_words)).alias("n"))
-        text = F.concat_ws(" ", F.hex("seed"), F.lit(side), F.expr(f"substring_index({side}, ' ', n)"), F.col("n").cast("string"))
-        beginnings.append(lengths.select(F.unhex(F.md5(text.cast("binary"))).alias("beginning"), "place", F.lit(side).alias("side"), "n"))
-    rows = settle(beginnings[0].unionAll(beginnings[1]), "beginnings")
-    earliest = settle(rows.groupBy("beginning").agg(F.min("place").alias("earliest"), F.count(F.lit(1)).alias("n_rows")), "earliest")
-    found = join_classes(rows, earliest, "beginning", "n_rows").where(F.col("earliest") < F.col("place"))
-    reach = [F.max(F.when(F.col("side") == side, F.col("n"))).alias(side) for side in SIDES]
-    reached = found.groupBy("place").agg(*reach)
-    start, stop = F.col("place.pos") - F.col("before"), F.col("place.pos") + seed + F.col("after")
-    return reached.select("place.doc_id", "place._text", start.alias("from"), stop.alias("to"))
+    shape = f"part int, what string, run binary, place bigint, doc_id {kind}, _text bigint, start bigint"
+    compared = settle(array.mapInArrow(neighbours, shape), "compared")
+    # two rows for each partition of the sort: where a run that began in one before goes on
+    ends = sorted(compared.where("what IN ('first', 'last')").collect(), key=lambda r: (r["part"], r["what"] == "last"))
+    joints, begun = [], None
+    for first, last in zip(ends[::2], ends[1::2], strict=True):
+        goes_on = begun is not None and begun["run"] == first["run"]
+        if goes_on and begun["place"] != first["place"]:
+            joints.append((first["doc_id"], first["_text"], first["start"]))
+        if not (goes_on and last["run"] == first["run"]):
+            begun = last
+    places = f"doc_id {kind}, _text bigint, start bigint"
+    # further entries at the first entry's own place are one document given twice: decided by place, below
+    return compared.where("what = 'repeat'").select("doc_id", "_text", "start").unionAll(spark.createDataFrame(joints, places)).distinct()
 
 
 def remove_repeated(
@@ -158,7 +137,6 @@ def remove_repeated(
     gram: int = 8,
     window: int = 25,
     seed: int = 26,
-    in_task: int = IN_TASK,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -167,116 +145,61 @@ def remove_repeated(
         raise ValueError("gram and window must not exceed seed, and window + seed not least_words + 1")
     docs = pick(docs, doc_id=id_col, text=text_col).withColumn("_text", F.xxhash64("text"))
     kind = {f.name: f.dataType for f in docs.schema}["doc_id"].simpleString()
-    reach = window - 1
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_same"))
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             at, places, seeds = [], [], []
-            for i, text in enumerate(batch.column("text").cast(pa.binary())):
-                found, rows = kept_suffixes((text.as_py() or b"").lower().split(), hashes, gram, window, seed)
+            for i, text in enumerate(batch.column("text")):
+                words = word_hashes(text.as_py(), hashes)
+                found = kept_suffixes(words, gram, window, seed)
                 at += [i] * len(found)
                 places.append(found)
-                seeds += rows
+                seeds += fingerprints(words, found, seed) if len(found) else []
                 if at and (len(at) * 64 > BATCH_BYTES or i + 1 == batch.num_rows):
                     chosen = pa.array(at, pa.int64())
                     arrays = [pa.array(seeds, pa.binary()), batch.column("doc_id").take(chosen), batch.column("_text").take(chosen), pa.array(np.concatenate(places), pa.int64())]
                     yield pa.RecordBatch.from_arrays(arrays, names=["seed", "doc_id", "_text", "pos"])
                     at, places, seeds = [], [], []
 
-    kept = settle(docs.mapInArrow(keep, f"seed binary, doc_id {kind}, _text bigint, pos bigint"), "suffixes")
-    twice = settle(kept.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seeds")
-    places = join_classes(kept, twice, "seed", "n").groupBy("doc_id", "_text").agg(F.collect_set(F.struct("pos", "seed")).alias("places"))
-    places = places.select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same"), "places")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_same"))
-    met = join_sized(docs, places, same, F.lit(32) + 40 * F.size("places"), "places", "inner").select("doc_id", "_text", "text", "places")
-
-    def surround(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out, weight = [], 0
-            for doc, same_text, text, spots in zip(batch["doc_id"], batch["_text"], batch["text"], batch["places"], strict=True):
-                words = [w.decode("utf-8") + " " for w in text.encode("utf-8").lower().split()]
-                for s in spots:
-                    pos, end = s["pos"], s["pos"] + seed
-                    # the words before a seed are listed backwards
-                    around = "".join(words[max(0, pos - reach) : pos][::-1]), "".join(words[end : end + reach])
-                    out.append((bytes(s["seed"]), *around, pd.isna(doc), doc, same_text, pos))
-                    weight += 100 + len(around[0]) + len(around[1])
-                    if weight > BATCH_BYTES:
-                        yield pd.DataFrame(out, columns=["seed", *SIDES, "late", "doc_id", "_text", "pos"])
-                        out, weight = [], 0
-            yield pd.DataFrame(out, columns=["seed", *SIDES, "late", "doc_id", "_text", "pos"])
-
-    around = met.mapInPandas(surround, f"seed binary, before string, after string, late boolean, doc_id {kind}, _text bigint, pos bigint")
-    place = ["late", "doc_id", "_text", "pos"]
-    order = ["seed", *SIDES, *place]
-    array = around.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    columns = ["seed", *SIDES, "doc_id", "_text", "pos"]
-    shape = f"part int, what string, leads boolean, from_start boolean, seed binary, before string, after string, doc_id {kind}, _text bigint, pos bigint"
-    names = ["part", "what", "leads", "from_start", *columns]
-
-    def neighbours(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Whole repeats, and the first row of each seed and surroundings in this partition."""
-        last, lead, first, part = None, None, None, 0
-        for batch in batches:
-            out = []
-            for row in zip(*[batch[c].tolist() for c in columns], strict=True):
-                if first is None:
-                    part, first, lead = int(batch["part"].iloc[0]), row, row
-                    out.append((part, "first", True, True, *row))
-                elif lead[:3] != row[:3]:
-                    lead = row
-                    out.append((part, "lead", True, False, *row))
-                elif not same_place(lead, row):
-                    out.append((part, "match", False, False, *row))
-                last = row
-            yield pd.DataFrame(out, columns=names)
-        if last is not None:
-            yield pd.DataFrame([(part, "last", same_place(lead, last), lead is first, *last)], columns=names)
-
-    compared = settle(array.mapInPandas(neighbours, shape), "matches")
-    # two rows for each partition of the sort: the ends that had no neighbour in their task
-    ends = sorted(compared.where("what IN ('first', 'last')").collect(), key=lambda r: (r["part"], r["what"] == "last"))
-    edges = [(r["leads"], r["from_start"], tuple(bytes(r[c]) if c == "seed" else r[c] for c in columns)) for r in ends]
-    first_leads, joints = resolve_edges(edges, seed)
-    leads = compared.where("what = 'lead'").select(*columns)
-    leads = settle(
-        leads.unionAll(docs.sparkSession.createDataFrame(first_leads, leads.schema)).select("seed", *SIDES, F.col("doc_id").isNull().alias("late"), *columns[3:]),
-        "leads",
-    )
-    n_before, n_after = (F.length(side) - F.length(F.replace(side, F.lit(" "))) for side in SIDES)
-    matches = compared.where("what = 'match'").select(
-        "doc_id", "_text", (F.col("pos") - n_before).alias("from"), (F.col("pos") + seed + n_after).alias("to")
-    )
-    matches = matches.unionAll(docs.sparkSession.createDataFrame(joints, f"doc_id {kind}, _text bigint, `from` bigint, `to` bigint"))
-
-    def extend(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, seen = None, {}
+    def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Fingerprints of the runs around shared seeds."""
+        hashes = WordHashes()
         for batch in batches:
-            out = []
-            for row in zip(*[batch[c].tolist() for c in columns], strict=True):
-                if again := last is not None and last[0] == row[0]:
-                    before, after = (seen[side].longest(text) for side, text in zip(SIDES, row[1:3], strict=True))
-                else:
-                    seen = {side: Seen() for side in SIDES}
-                    for side, text in zip(SIDES, row[1:3], strict=True):
-                        seen[side].longest(text)
-                if again:
-                    out.append((row[3], row[4], row[5] - before, row[5] + seed + after))
-                last = row
-            yield pd.DataFrame(out, columns=["doc_id", "_text", "from", "to"])
-
-    crowded = leads.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > in_task).select("seed")
-    crowded, n_bytes = settle_sized(crowded, F.lit(16), "crowded")
-    if n_bytes:
-        side = F.broadcast(crowded) if n_bytes <= BROADCAST_BYTES else crowded
-        matches = matches.unionAll(extended_by_prefix(leads.join(side, "seed", "left_semi"), seed))
-        leads = leads.join(side, "seed", "left_anti")
-    extended = leads.repartition("seed").sortWithinPartitions("seed", *place)
-    matches = matches.unionAll(extended.mapInPandas(extend, f"doc_id {kind}, _text bigint, `from` bigint, `to` bigint"))
-    ranges = matches.groupBy("doc_id", "_text").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
-    ranges = ranges.select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same"), "ranges")
-    joined = join_sized(docs, ranges, same, F.lit(32) + 24 * F.size("ranges"), "ranges").select("doc_id", "text", "ranges")
+            at, starts, runs = [], [], []
+            for i in range(batch.num_rows):
+                words = word_hashes(batch.column("text")[i].as_py(), hashes)
+                shared = np.array(batch.column("places")[i].as_py(), np.int64)
+                found = runs_around(words, kept_suffixes(words, gram, window, seed), shared, seed, least_words)
+                for cut in range(0, len(found), 50_000):
+                    some = found[cut : cut + 50_000]
+                    at += [i] * len(some)
+                    starts.append(some)
+                    runs += fingerprints(words, some, least_words)
+                    if len(at) * 64 > BATCH_BYTES:
+                        yield entries(batch, at, starts, runs)
+                        at, starts, runs = [], [], []
+            if at:
+                yield entries(batch, at, starts, runs)
+
+    def entries(batch: pa.RecordBatch, at: list[int], starts: list[np.ndarray], runs: list[bytes]) -> pa.RecordBatch:
+        ids = batch.column("doc_id").take(pa.array(at, pa.int64()))
+        arrays = [pa.array(runs, pa.binary()), ids.is_null(), ids, batch.column("_text").take(pa.array(at, pa.int64())), pa.array(np.concatenate(starts), pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, names=["run", "late", "doc_id", "_text", "start"])
+
+    with working() as scope:
+        kept = settle(docs.mapInArrow(keep, f"seed binary, doc_id {kind}, _text bigint, pos bigint"), "suffixes")
+        twice = settle(kept.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seeds")
+        places = join_classes(kept, twice, "seed", "n").groupBy("doc_id", "_text").agg(F.collect_set("pos").alias("places"))
+        places = settle(places.select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same"), "places"), "shared")
+        release(kept, twice)
+        met = join_sized(docs, places, same, F.lit(32) + 8 * F.size("places"), "places", "inner").select("doc_id", "_text", "text", "places")
+        windows = settle(met.mapInArrow(extend, f"run binary, late boolean, doc_id {kind}, _text bigint, start bigint"), "runs")
+        repeats = later_places(windows, kind)
+        starts = repeats.groupBy("doc_id", "_text").agg(F.collect_list("start").alias("starts"))
+        starts = scope.keep(starts.select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same"), "starts"), "repeats")
+    joined = join_sized(docs, starts, same, F.lit(32) + 8 * F.size("starts"), "starts").select("doc_id", "text", "starts")
 
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
@@ -286,12 +209,11 @@ def remove_repeated(
                 text = batch.column("text")[i].as_py()
                 data = (text or "").encode("utf-8")
                 merged: list[list[int]] = []
-                for r in sorted((x["from"], x["to"]) for x in batch.column("ranges")[i].as_py() or []):
-                    if merged and r[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], r[1])
+                for start in sorted(batch.column("starts")[i].as_py() or []):
+                    if merged and start <= merged[-1][1]:
+                        merged[-1][1] = start + least_words
                     else:
-                        merged.append(list(r))
-                merged = [r for r in merged if r[1] - r[0] >= least_words]
+                        merged.append([start, start + least_words])
                 n_words, left, at = len(data.split()), [], 0
                 if merged:
                     spots = [m.span() for m in WORD.finditer(data)]
