@@ -404,3 +404,13 @@ ORACLES["a4_raw_limits"] = f"""WITH {EMB_ROWS} SELECT frame_id AS frame_seq, y,
 ORACLES["k1_raw_chunks"] = ORACLES["k1_map_chunks"]
 ORACLES["j_stream_raw"] = ORACLES["a1_a5_raw_round_trip"]
 ORACLES["j_stream_frame_report"] = ORACLES["g12_l3_frame_report"]
+
+IRREGULAR = "CASE WHEN x BETWEEN 3 AND 9 THEN 'left' WHEN x BETWEEN 10 AND 30 THEN 'middle' WHEN x BETWEEN 40 AND 62 THEN 'right' END"
+ORACLES["c4_irregular_slices"] = f"""WITH {LI} SELECT {IRREGULAR} AS asic, count(*) AS n, min(x) AS x_min, max(x) AS x_max FROM li GROUP BY 1"""
+ORACLES["c4_slice_statistics"] = f"""WITH {LI} SELECT {IRREGULAR} AS asic, count(*) AS n, round(avg(CAST(adc AS DOUBLE)), 6) AS mean,
+    round(stddev_pop(CAST(adc AS DOUBLE)), 6) AS std FROM li GROUP BY 1"""
+ORACLES["e3_irregular"] = f"""WITH {EMB_RES} SELECT frame_id, y, {IRREGULAR} AS asic, CAST({MEDIAN} AS DOUBLE) AS cm
+    FROM res WHERE {VALID} AND {IRREGULAR} IS NOT NULL GROUP BY frame_id, y, {IRREGULAR}"""
+ORACLES["d2_incremental"] = ORACLES["d2_d3_sigma_clip"]
+ORACLES["d1_incremental_lines"] = f"SELECT * FROM ({ORACLES['d1_median_offset']}) WHERE y IN (2, 3, 7)"
+ORACLES["a1_transposed"] = f"""WITH {EMB} SELECT x AS y, y AS x, count(*) AS n, CAST(sum(adc) AS BIGINT) AS sum_adc FROM emb GROUP BY 1, 2"""

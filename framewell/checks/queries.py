@@ -29,7 +29,9 @@ from framewell.geometry import Geometry
 from framewell.operators import apply as ap
 from framewell.operators import badpix, chunks, diagnostics, noise, offsets
 from framewell.operators import common_mode as cmode
+from framewell.operators.increments import HistogramStore
 from framewell.operators.offsets import PIXEL
+from framewell.operators.slices import irregular_cm_map, slice_statistics, with_slice
 from framewell.plans.calibrate import CalibrationOptions, calibrate, quick_calibrate
 from framewell.plans.joins import join_bounded
 from framewell.plans.settle import settle, shared_folder
@@ -42,6 +44,7 @@ from framewell.streaming.reports import stream_frame_report
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+IRREGULAR = [("left", 3, 10), ("middle", 10, 31), ("right", 40, 63)]
 MASKED_EVENTS = Geometry(EVENTS.height, EVENTS.width, EVENTS.n_asics, masked=(1,))
 
 
@@ -222,6 +225,34 @@ def b4_asic_uneven(spark, sf):
     )
 
 
+@register
+def c4_irregular_slices(spark, sf):
+    """Blocks of unequal width with gaps; columns in gaps have no block."""
+    samples = with_slice(lineitem_samples(spark, sf), IRREGULAR, LINEITEM.width)
+    return samples.groupBy("asic").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x_min"), F.max("x").alias("x_max"))
+
+
+@register
+def c4_slice_statistics(spark, sf):
+    values = lineitem_samples(spark, sf).withColumn("value", F.col("adc").cast("float"))
+    found = slice_statistics(values, IRREGULAR, LINEITEM.width)
+    return found.select("asic", "n", rounded("mean").alias("mean"), rounded("std").alias("std"))
+
+
+@register
+def e3_irregular(spark, sf):
+    rows = embedding_rows(spark, sf)
+    maps = settle(offsets.median_offset(offsets.pixel_histogram(fr.to_pixels(rows), EMBEDDINGS), EMBEDDINGS))
+    return _cm(irregular_cm_map(rows, maps, EMBEDDINGS, IRREGULAR, offset="offset_median"))
+
+
+@register
+def a1_transposed(spark, sf):
+    """Pixels of square frames with x and y swapped."""
+    px = fr.to_pixels(embedding_rows(spark, sf), transpose=True)
+    return px.groupBy("y", "x").agg(F.count(F.lit(1)).alias("n"), F.sum("adc").alias("sum_adc"))
+
+
 @register
 def b5_active_pixels(spark, sf):
     masked = Geometry(16, 64, 8, masked=(0, 5))
@@ -310,6 +341,29 @@ def d2_d3_sigma_clip_lineitem(spark, sf):
     return _clip_columns(offsets.sigma_clip(histogram, LINEITEM, n_sigma=1.2))
 
 
+@register
+def d2_incremental(spark, sf):
+    """Counts of four batches of frames, one given twice, folded half way: offsets as from all frames at once."""
+    rows = fr.to_rows(event_pixels(spark, sf), EVENTS)
+    held = HistogramStore(spark, scratch(spark, "counts"), EVENTS, lines_per_band=3)
+    for k in (0, 1, 1, 2, 3):
+        held.add(f"batch {k}", rows.where(F.col("frame_id") % 4 == k))
+        if k == 2:
+            held.compact()
+    return _clip_columns(offsets.sigma_clip(held.histogram(), EVENTS))
+
+
+@register
+def d1_incremental_lines(spark, sf):
+    """Medians of some lines only, from the stored counts of those lines."""
+    rows = fr.to_rows(event_pixels(spark, sf), EVENTS)
+    held = HistogramStore(spark, scratch(spark, "counts"), EVENTS, lines_per_band=2)
+    for k in range(2):
+        held.add(f"batch {k}", rows.where(F.col("frame_id") % 2 == k))
+    maps = offsets.median_offset(held.histogram(lines=[2, 3, 7]), EVENTS).where(F.col("y").isin(2, 3, 7))
+    return maps.select(*PIXEL, F.col("offset_median").cast("double").alias("offset_median"))
+
+
 @register
 def d4_clip_trace(spark, sf):
     px = event_pixels(spark, sf)

@@ -95,3 +95,18 @@ def corrected_lines(
         return _as_lists(value)
 
     return corrected
+
+
+def irregular_medians(width: int, bounds: list[tuple[int, int]], *, sentinels: tuple[int, int] | None, skip_nan: bool):
+    """UDF ``(pixels, reference) -> array<float>``: the median of each block ``[x0, x1)`` of a line, as :func:`slice_medians`."""
+
+    @arrow_udf("array<float>")
+    def medians(pixels: pa.Array, reference: pa.Array) -> pa.Array:
+        adc = _as_matrix(pixels, width)
+        residual = adc - _as_matrix(reference, width)
+        if sentinels is not None:
+            residual[np.isin(adc, np.float32(sentinels))] = np.nan
+        found = [_median_last_axis(residual[:, a:b], skip_nan) for a, b in bounds]
+        return _as_lists(np.stack(found, axis=-1) if found else np.empty((len(pixels), 0), np.float32))
+
+    return medians
