@@ -53,10 +53,9 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str) -> Da
     broadcast, so the rows of a hot key are never brought together; the others
     are joined with a shuffle.  Both inputs should be settled tables.
     """
-    total = classes.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
+    total, most = classes.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).first()
     hot = F.col(size) * HOT_SHARE > total
-    found = [r[0] for r in classes.where(hot).select(key).take(1)]
-    if not found:
+    if most * HOT_SHARE <= total:
         return rows.join(classes, key)
     hot_classes = F.broadcast(classes.where(hot))
     spread = rows.join(hot_classes, key)

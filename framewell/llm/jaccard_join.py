@@ -17,7 +17,7 @@ more that stands for such sets.
 *Links.*  Equal sets are one node.  Signatures that only one node has are dropped, and of
 those with the same nodes one is kept.  In rounds, representatives of each group are
 compared with its other members in other components, and links merge components: first
-the hub (the node that shares most), then 16, 256 and up to 1024 a round by hash.  A representative that
+the smallest member, then 16, 256 and up to 1024 a round by hash.  A representative that
 was compared leaves its group, so every pair of a group is compared or already in one
 component when no group joins two components any more.  Before two sets are fetched
 their sizes and bit sketches are compared: sketches differ in no more bits than the sets
@@ -42,14 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewell.llm.common import free_names, join_classes, join_sized, pick
+from framewell.llm.common import BROADCAST_BYTES, free_names, join_classes, join_sized, pick
 from framewell.llm.components import components
 from framewell.plans.settle import release, settle, settle_counted, working
 
 BAND_RATIO = 1.6
 CACHED_WORDS = 500_000
 BATCH_BYTES = 4_000_000
-# Rounds with the hub as the representative; the result is the same for any number.
+# Rounds with one representative, the same for all groups it is in; the result is the same for any number.
 HUB_ROUNDS = 1
 # Representatives of a group in the round after those, in every further one 16 times as many, and at most.
 FIRST_REPRESENTATIVES, MOST_REPRESENTATIVES = 16, 1024
@@ -206,109 +206,77 @@ def groups_of(nodes: DataFrame) -> DataFrame:
     return out
 
 
-def side_by_side(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` (``v`` may be a hub of many) with their sets ``a`` and ``b``.
+def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """The pairs ``u, v`` (``v`` may stand in many) whose sets link, or None; every pair is compared once.
 
-    The set of a hub with many pairs is copied for as many groups of them as it has thousandths of all pairs.
+    Sizes and sketches go first.  For what they leave, the set of a ``v`` with many pairs is copied for as many groups of them
+    as it has thousandths of all pairs.
     """
-    hubs = settle(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "hubs")
-    total = hubs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    copies = F.ceil(F.col("n") * 1000 / F.lit(max(total, 1))).cast("int")
-    many = F.broadcast(hubs.select("v", copies.alias("copies")).where("copies > 1"))  # fewer than 1000
-    dealt = pairs.join(many, "v", "left").withColumn("salt", F.pmod(F.xxhash64("u"), F.coalesce("copies", F.lit(1))).cast("int"))
-    theirs = hubs.select("v", copies.alias("copies")).join(sets.select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
-    theirs = theirs.select("v", "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
-    return dealt.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u").join(theirs, ["v", "salt"])
-
-
-def can_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``u, v`` whose sizes and sketches do not exclude a link."""
     sized = lambda as_: nodes.select(F.col("node").alias(as_), F.col("n_shingles").alias(f"{as_}_n"), F.col("sketch").alias(f"{as_}_s"))
-    hubs = settle(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "hubs")
-    theirs = settle(sized("v").join(hubs, "v"), "sketches")
+    theirs = settle(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).join(sized("v"), "v"), "sketches")
     met = join_classes(pairs, theirs, "v", "n").join(sized("u"), "u")
     apart = F.aggregate(F.zip_with("u_s", "v_s", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
     h = F.floor((F.col("u_n") + F.col("v_n")) * (100 - percent) / (100 + percent))
-    out = settle(met.where((F.abs(F.col("u_n") - F.col("v_n")) <= h) & (apart <= h)).select("u", "v"), "candidates")
-    release(hubs, theirs)
-    return out
-
-
-def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``u, v`` whose sets link; every pair is compared once."""
-    likely = can_link(pairs, nodes, percent)
+    likely = met.where((F.abs(F.col("u_n") - F.col("v_n")) <= h) & (apart <= h)).select("u", "v")
+    likely, some = settle_counted(likely, "candidates")
+    release(theirs)
+    if not some:
+        release(likely)
+        return None
+    copies = F.ceil(F.col("n") * 1000 / F.lit(some)).cast("int")
+    hubs = likely.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select("v", copies.alias("copies"))
+    many = F.broadcast(hubs.where("copies > 1"))  # fewer than 1000
+    dealt = likely.select("u", "v").join(many, "v", "left").withColumn("salt", F.pmod(F.xxhash64("u"), F.coalesce("copies", F.lit(1))).cast("int"))
+    whole = hubs.join(sets.select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
+    whole = whole.select("v", "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
+    beside = dealt.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u").join(whole, ["v", "salt"])
     common = F.size(F.array_intersect("a", "b"))
     linked = common * 100 >= (F.size("a") + F.size("b") - common) * percent
-    out = settle(side_by_side(likely, sets).where(linked).select("u", "v"), "links")
+    found, some = settle_counted(beside.where(linked).select("u", "v"), "links")
     release(likely)
-    return out
-
-
-def live(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """The part of ``groups`` that still joins different components, with ``component``."""
-    named = join_sized(groups, labels, "node", F.lit(32), "labels").withColumn("component", F.coalesce("component", "node"))
-    named = settle(named.select("node", "token", "component"), "named")
-    ends = named.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"))
-    open_ = settle(ends.where("_low <> _high").select("token", "_n"), "open")
-    out = settle(join_classes(named, open_, "token", "_n"), "live")
-    release(named, open_)
-    return out
-
+    return found if some else None
 
-def with_hubs(groups: DataFrame) -> DataFrame:
-    """``node, token, component, _n`` with the group's ``hub``: the node that shares most with others."""
-    shares = groups.groupBy("node").agg(F.sum("_n").alias("weight"))
-    weighed = settle(groups.join(shares, "node"), "weighed")
-    heaviest = F.max(F.struct("weight", "node"))["node"]
-    hubs = settle(weighed.groupBy("token").agg(heaviest.alias("hub"), F.count(F.lit(1)).alias("members")), "hubs")
-    out = settle(join_classes(weighed.drop("weight"), hubs, "token", "members").drop("members"), "hubbed")
-    release(weighed, hubs)
-    return out
 
+def representatives(named: DataFrame, times: int) -> DataFrame:
+    """``token, members, reps`` of the groups that join different components.
 
-def with_representatives(groups: DataFrame, times: int) -> DataFrame:
-    """``node, token, component, _n`` with ``reps``: up to ``times`` members, the smallest of each class of a hash."""
+    ``reps`` are up to ``times`` members with their component: the smallest of each class of a hash.
+    """
     salt = F.pmod(F.xxhash64("node", F.lit(times)), F.lit(times))
-    each = groups.groupBy("token", salt.alias("salt")).agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
-    reps = settle(each.groupBy("token").agg(F.collect_list("rep").alias("reps"), F.sum("n").alias("members")), "reps")
-    return join_classes(groups, reps, "token", "members").drop("members")  # not written: the lists stand beside every member
+    chosen = [F.min("node").alias("rep"), F.min_by("component", "node").alias("its")]
+    ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")]
+    each = named.groupBy("token", salt.alias("salt")).agg(*chosen, *ends)
+    reps = F.collect_list(F.struct("rep", "its")).alias("reps")
+    whole = each.groupBy("token").agg(reps, F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("members"))
+    return whole.where("low <> high").select("token", "members", "reps")
 
 
 def link_components(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``node, component`` of all nodes with a link."""
-    spark = groups.sparkSession
-    labels = spark.createDataFrame([], "node bigint, component bigint")
-    edges = spark.createDataFrame([], "u bigint, v bigint")
-    turn = 0
+    labels = groups.sparkSession.createDataFrame([], "node bigint, component bigint")
+    edges = groups.sparkSession.createDataFrame([], "u bigint, v bigint")
+    named, turn = groups.withColumn("component", F.col("node")), 0
     while True:
-        now = live(groups, labels)
-        if not now.take(1):
-            return labels
-        if turn < HUB_ROUNDS:
-            met = with_hubs(now).withColumn("reps", F.array("hub")).drop("hub")
-        else:
-            times = FIRST_REPRESENTATIVES * 16 ** min(turn - HUB_ROUNDS, 8)
-            met = with_representatives(now, min(times, MOST_REPRESENTATIVES))
+        times = 1 if turn < HUB_ROUNDS else min(FIRST_REPRESENTATIVES * 16 ** min(turn - HUB_ROUNDS, 8), MOST_REPRESENTATIVES)
         turn += 1
-        others = met.select("node", "component", F.explode("reps").alias("v")).where(F.col("node") != F.col("v"))
-        pairs = others.select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v")).distinct()
-        known = settle(pairs, "pairs")
-        if turn > 1:
-            both = known.join(labels.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left")
-            both = both.join(labels.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
-            apart = both.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
-        else:
-            apart = known
-        found = verified(settle(apart, "apart"), nodes, sets, percent)
+        reps, some = settle_counted(representatives(named, times), "reps")
+        if not some:
+            return labels
+        met = join_classes(named, reps, "token", "members")  # not written: the lists stand beside every member
+        others = met.select("node", "component", F.explode("reps").alias("r")).select("node", "component", "r.*").where("component <> its")
+        once = others.groupBy(F.least("node", "rep").alias("low"), F.greatest("node", "rep").alias("high")).agg(F.min("rep").alias("v"))
+        pairs = settle(once.select(F.when(F.col("v") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("u"), "v"), "pairs")
+        found = verified(pairs, nodes, sets, percent)
         # whoever was compared with all others of its group leaves it
-        rest = settle(met.where(~F.array_contains("reps", F.col("node"))).select("node", "token"), "rest")
-        release(now, known)
-        if turn > 1:
-            release(groups)
-        groups = rest
-        if found.take(1):
+        rest = met.where(~F.exists("reps", lambda r: r["rep"] == F.col("node"))).select("node", "token", "component")
+        if found is not None:
             edges = settle(edges.union(found), "edges")
-            labels = components(edges)
+            labels, size = settle_counted(components(edges), "labels")
+            small = F.broadcast(labels) if 32 * size <= BROADCAST_BYTES else labels
+            rest = rest.drop("component").join(small, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        following = settle(rest.select("node", "token", "component"), "named")
+        release(reps, pairs, named)
+        named = following
 
 
 def members(docs: DataFrame, *, n: int, percent: int) -> DataFrame:
