@@ -414,3 +414,22 @@ ORACLES["e3_irregular"] = f"""WITH {EMB_RES} SELECT frame_id, y, {IRREGULAR} AS
 ORACLES["d2_incremental"] = ORACLES["d2_d3_sigma_clip"]
 ORACLES["d1_incremental_lines"] = f"SELECT * FROM ({ORACLES['d1_median_offset']}) WHERE y IN (2, 3, 7)"
 ORACLES["a1_transposed"] = f"""WITH {EMB} SELECT x AS y, y AS x, count(*) AS n, CAST(sum(adc) AS BIGINT) AS sum_adc FROM emb GROUP BY 1, 2"""
+
+DIFFS = "SELECT CAST(offset_median - offset_sigclip AS DOUBLE) AS v FROM offs"
+ORACLES["g2_difference_histogram"] = f"""WITH {EV_OFFSETS}, vals AS ({DIFFS} WHERE x // 8 <> 1),
+    {binned('vals', 'quantile_cont(v, 0.005)', 'quantile_cont(v, 0.995)', 200)}"""
+ORACLES["g3_noise_histogram_all"] = f"""WITH {EV}, {noise_map('ev', 8, 16)}, vals AS (SELECT CAST(noise AS DOUBLE) AS v FROM noise),
+    {binned('vals', '0.0', 'quantile_cont(v, 0.995)', 200).replace('SELECT CAST(0.0', 'SELECT DISTINCT CAST(0.0')}"""
+ORACLES["g4_cm_histogram"] = f"""WITH {EMB_RES}, {group_medians(8, False, VALID)}, vals AS (SELECT CAST(cm AS DOUBLE) AS v FROM cm),
+    {binned('vals', 'min(v)', 'max(v)', 100)}"""
+ORACLES["g5_event_edges"] = f"""WITH {EV}, p AS (SELECT quantile_cont(CAST(adc AS DOUBLE), 0.005) AS lo, quantile_cont(CAST(adc AS DOUBLE), 0.995) AS hi FROM ev)
+    SELECT CAST(i AS INT) AS i, round(lo + (hi - lo) * i / 50, 6) AS edge FROM range(51) t(i) CROSS JOIN p"""
+ORACLES["g6_noise_limits"] = f"""WITH {EV}, {noise_map('ev', 8, 16)} SELECT round(quantile_cont(CAST(noise AS DOUBLE), 0.99), 6) AS p99 FROM noise"""
+ORACLES["g6_difference_limits"] = f"""WITH {EV_OFFSETS}, d AS ({DIFFS}) SELECT round(quantile_cont(abs(v), 0.99), 6) AS p99 FROM d"""
+RUN_MASKS = f"""{EV}, bad AS (SELECT y, x, frame_id % 3 AS run FROM ev GROUP BY ALL HAVING count(*) FILTER (WHERE adc > 1000) >= 3),
+    found AS (SELECT y, x, count(*) AS n, max(CAST(run = 0 AS INT)) AS first FROM bad GROUP BY y, x),
+    held AS (SELECT 'any' AS held_in, y, x FROM found UNION ALL SELECT 'all', y, x FROM found WHERE n = 3
+             UNION ALL SELECT 'first', y, x FROM found WHERE n = 1 AND first = 1)"""
+ORACLES["h5_mask_algebra"] = f"WITH {RUN_MASKS} SELECT held_in, CAST(y AS INT) AS y, CAST(x AS INT) AS x FROM held"
+ORACLES["h5_mask_sizes"] = f"""WITH {RUN_MASKS} SELECT h AS held_in, (SELECT count(*) FROM held WHERE held_in = h) AS n_pixels
+    FROM (VALUES ('any'), ('all')) t(h)"""

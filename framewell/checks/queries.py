@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,7 +28,7 @@ from framewell.checks.inputs import (
 from framewell.functions import columns as fc
 from framewell.geometry import Geometry
 from framewell.operators import apply as ap
-from framewell.operators import badpix, chunks, diagnostics, noise, offsets
+from framewell.operators import badpix, chunks, diagnostics, masksets, noise, offsets
 from framewell.operators import common_mode as cmode
 from framewell.operators.increments import HistogramStore
 from framewell.operators.offsets import PIXEL
@@ -752,6 +753,70 @@ def g6_cm_limits(spark, sf):
     return found.select("asic", rounded("limit").alias("limit"))
 
 
+@register
+def g2_difference_histogram(spark, sf):
+    diff = diagnostics.offset_difference(_event_offsets(event_pixels(spark, sf)), MASKED_EVENTS)
+    return _binned(diagnostics.percentile_histogram(diff, "diff"))
+
+
+@register
+def g3_noise_histogram_all(spark, sf):
+    px = event_pixels(spark, sf)
+    return _binned(diagnostics.noise_histogram(_event_maps(px), EVENTS))
+
+
+@register
+def g4_cm_histogram(spark, sf):
+    cm = cmode.cm_map(_embedding_lines(spark, sf), EMBEDDINGS)
+    return _binned(diagnostics.full_histogram(settle(cm), "cm"))
+
+
+@register
+def g5_event_edges(spark, sf):
+    """Edges over every event value, a column that grows with the table."""
+    values = settle(event_pixels(spark, sf).select("frame_id", F.col("adc").alias("adu_seed")))
+    found = diagnostics.adjusted_edges(values, [float(i) for i in range(51)])
+    return found.select("i", rounded("edge").alias("edge"))
+
+
+@register
+def g6_noise_limits(spark, sf):
+    maps = _event_maps(event_pixels(spark, sf))
+    found = diagnostics.map_limits(diagnostics.pool((maps, "noise")), (0.99,))
+    return found.select(rounded("p99").alias("p99"))
+
+
+@register
+def g6_difference_limits(spark, sf):
+    diff = diagnostics.offset_difference(_event_offsets(event_pixels(spark, sf)), EVENTS)
+    sizes = diff.select(F.abs("diff").alias("size"))
+    return diagnostics.map_limits(diagnostics.pool((sizes, "size")), (0.99,)).select(rounded("p99").alias("p99"))
+
+
+@register
+def h5_mask_algebra(spark, sf):
+    """Pixels with three or more saturated values, in any, in all and only in the first of three runs."""
+    px = event_pixels(spark, sf).select((F.col("frame_id") % 3).cast("int").alias("run"), "y", "x", "adc")
+    masks = px.groupBy("run", "y", "x").agg((F.count_if(F.col("adc") > 1000) >= 3).alias("is_bad"))
+    sets = settle(masksets.pixel_sets(masks, EVENTS))
+    first, others = sets.where("run = 0"), masksets.union_of(sets.where("run <> 0"))
+    found = {
+        "any": masksets.coordinates(masksets.union_of(sets), EVENTS),
+        "all": masksets.coordinates(masksets.intersection_of(sets), EVENTS),
+        "first": masksets.difference(first, others, EVENTS),
+    }
+    return reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("held_in"), "y", "x") for name, df in found.items()])
+
+
+@register
+def h5_mask_sizes(spark, sf):
+    px = event_pixels(spark, sf).select((F.col("frame_id") % 3).cast("int").alias("run"), "y", "x", "adc")
+    masks = px.groupBy("run", "y", "x").agg((F.count_if(F.col("adc") > 1000) >= 3).alias("is_bad"))
+    sets = settle(masksets.pixel_sets(masks, EVENTS))
+    whole = {"any": masksets.union_of(sets), "all": masksets.intersection_of(sets)}
+    return reduce(DataFrame.unionAll, [masksets.size_of(df).select(F.lit(name).alias("held_in"), "n_pixels") for name, df in whole.items()])
+
+
 @register
 def g7_frame_limits(spark, sf):
     px = event_pixels(spark, sf)
