@@ -5,7 +5,9 @@ documents, cut into chunks.  Deficit round-robin serves the queues: in each
 window a source earns credit for its share of the window's tokens and sends
 chunks while its credit, with what earlier windows left over, covers them.  That
 state has a closed form: a chunk that ends at the source's token ``c`` leaves in
-the first window ``r`` with ``(r + 1) * credit >= c``.  So deficits carry exactly
+the first window ``r`` with ``(r + 1) * credit >= c``, and inside it when the credit, earned
+evenly, reaches ``c``.  So every part of the stream follows the proportions, but for less
+than a chunk that each source may be behind, and deficits carry exactly
 over windows and over partitions, and no task ever holds a queue.  Running token
 counts come from range-partitioned tables and one small sum per partition.
 
@@ -17,7 +19,8 @@ by row number.
 
 Defined cases: null and empty texts consist of the end id; a null source is a queue
 of its own; rows that repeat an id are packed separately; an empty table gives no
-pieces; further columns are ignored.
+pieces; very long texts are cut into chunks like others, their ids stay in one row until they are
+dealt to pieces; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -169,9 +172,10 @@ def serve(counts: DataFrame, *, window: int, chunk: int, shares: dict[str, float
         given = [(s, v / total) for s, v in shares.items() if v > 0]
         weights = counts.sparkSession.createDataFrame(given, "_source string, share double")
         queued = queued.join(F.broadcast(weights), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    turn = F.ceil(F.col("c") / (F.col("share") * window)) - 1
-    rounds = queued.withColumn("round", F.coalesce(turn, F.lit(2**62)))
-    return with_running_total(rounds, ["round", "source", "c"], "size", [], "stream")
+    # in windows, when the source has sent as much: every prefix of the stream has the mixture, but for the chunks in turn
+    rounds = queued.withColumn("moment", F.col("c") / (F.col("share") * window))
+    rounds = rounds.withColumn("round", F.coalesce(F.ceil("moment") - 1, F.lit(2**62)))
+    return with_running_total(rounds, ["round", "moment", "source", "c"], "size", [], "stream")
 
 
 def pack(
@@ -205,12 +209,13 @@ def pack(
     high = F.least(F.col("end"), (F.col("sequence_id") + 1) * length)
     pieces = (
         cut.select(
-            "row", "round", "sequence_id",
+            "row", "sequence_id",
+            (F.col("begin") - F.col("first")).alias("shift"),  # the same for chunks that follow each other in the stream
             (F.col("first") + low - F.col("begin")).alias("start"),
             (high - low).alias("length"),
             (low - F.col("sequence_id") * length).alias("offset"),
         )
-        .groupBy("row", "round", "sequence_id")  # chunks of a document that stay together are one piece
+        .groupBy("row", "shift", "sequence_id")  # chunks of a document that stay together are one piece
         .agg(F.min("start").alias("start"), F.sum("length").alias("length"), F.min("offset").alias("offset"))
         .groupBy("row")
         .agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
