@@ -42,6 +42,8 @@ from framewell.llm.common import pick
 from framewell.plans.settle import settle
 
 UNKNOWN = "und"
+# The labelled documents of a language are ranked in so many slices before those left are ranked together.
+RANK_SLICES = 16
 MAX_LANGUAGES = 1000
 BUCKETS = 8192
 SNIPPETS = (12, 40, 160, 640)  # letters and spaces of the shorter training texts
@@ -116,11 +118,14 @@ def spherical_kmeans(rows: np.ndarray, clusters: int, rounds: int) -> np.ndarray
 def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
     """At most so many documents of each language and a quarter as many that are ``held``.
 
-    Ids and hashes are ranked, texts follow for the chosen.
+    Ids and hashes are ranked, first in slices of a language and then those left of all its slices; texts follow for the chosen.
     """
     keyed = docs.select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("_order"))
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id")))
     most = per_language * HELD_OUT // (HELD_OUT - 1)
+    place = F.row_number().over(Window.partitionBy("lang", "_slice").orderBy("_order", "doc_id"))
+    first = keyed.withColumn("_slice", F.pmod("_order", F.lit(RANK_SLICES))).withColumn("_rank", place).where(F.col("_rank") <= most)
+    first = settle(first.select(*keyed.columns), "ranked")
+    ranked = first.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id")))
     chosen = ranked.where(F.col("_rank") <= most).withColumn("held", F.col("_rank") % HELD_OUT == 0)
     chosen = settle(chosen.groupBy("doc_id", "lang", "_order").agg(F.min("held").alias("held")), "sample")
     if chosen.select("lang").distinct().count() > MAX_LANGUAGES:
