@@ -241,6 +241,8 @@ ORACLES: dict[str, str] = {
         FROM emb_rows WHERE frame_id BETWEEN 10 AND 34""",
     "a11_a12_stored_calibration": f"""WITH {QUICK} SELECT y, x, round(CAST(off AS DOUBLE), 6) AS "offset",
         round(CAST(noise AS DOUBLE), 6) AS noise, is_bad, 'median' AS offset_type FROM quick""",
+    "a11_published_sets": f"""WITH {QUICK} SELECT y, x, round(CAST(off AS DOUBLE), 6) AS "offset", is_bad AS is_bad_first,
+        NOT is_bad AS is_bad_last, CAST(2 AS INT) AS n_versions FROM quick""",
     "a13_map_shape": f"""WITH {EV}, {OCC} SELECT count(*) AS n_rows, count(DISTINCT y * 16 + x) AS n_pixels,
         count(*) FILTER (WHERE y NOT BETWEEN 0 AND 7 OR x NOT BETWEEN 0 AND 15) AS n_outside FROM occ""",
     "b1_valid_values": f"""WITH {EV_ALL} SELECT y, x, count(*) FILTER (WHERE {VALID}) AS n_valid,

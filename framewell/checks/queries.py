@@ -37,7 +37,7 @@ from framewell.plans.calibrate import CalibrationOptions, calibrate, quick_calib
 from framewell.plans.joins import join_bounded
 from framewell.plans.settle import settle, shared_folder
 from framewell.sources import frames as fr
-from framewell.sources import store
+from framewell.sources import published, store
 from framewell.sources.raw import read_raw, read_raw_frames, stream_raw, write_raw
 from framewell.streaming.apply import stream_calibrated, stream_rows
 from framewell.streaming.reports import stream_frame_report
@@ -141,6 +141,21 @@ def a11_a12_stored_calibration(spark, sf):
     )
 
 
+@register
+def a11_published_sets(spark, sf):
+    """Two versions of a set, the second with the mask turned round, each loaded by its number or as the last."""
+    quick = settle(quick_calibrate(event_pixels(spark, sf), EVENTS, hot_multiple=1.2, cold_fraction=0.8), "quick")
+    quick = quick.withColumnRenamed("offset", "offset_median")
+    sets = published.CalibrationSets(spark, scratch(spark, "published"))
+    sets.publish(quick, label="first")
+    sets.publish(quick.withColumn("is_bad", ~F.col("is_bad")), label="turned")
+    first, last = sets.load(0).pixels, sets.load().pixels
+    return first.join(last.select(*PIXEL, F.col("is_bad").alias("is_bad_last")), PIXEL).select(
+        *PIXEL, rounded("offset").alias("offset"), F.col("is_bad").alias("is_bad_first"), "is_bad_last",
+        F.lit(len(sets.versions())).alias("n_versions"),
+    )
+
+
 @register
 def a13_map_shape(spark, sf):
     px = event_pixels(spark, sf)

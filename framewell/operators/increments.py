@@ -14,7 +14,6 @@ twice counts once.  One writer at a time: two that take the same number meet an
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterable
 
@@ -25,6 +24,7 @@ from framewell.functions.columns import int_div
 from framewell.geometry import Geometry
 from framewell.operators.offsets import PIXEL, pixel_histogram
 from framewell.sources.frames import to_pixels
+from framewell.sources.manifests import version_folder, written_versions
 
 MANIFEST = "batch string, delta string"
 
@@ -36,17 +36,7 @@ class HistogramStore:
     # -- manifests ---------------------------------------------------------------------------
     def versions(self) -> list[int]:
         """Numbers of the manifests that were written to the end."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifests")
-        fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop):
-            return []
-        done = []
-        for status in fs.listStatus(hadoop):
-            name = status.getPath().getName()
-            whole = fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-            if whole and re.fullmatch(r"v\d+", name):
-                done.append(int(name[1:]))
-        return sorted(done)
+        return written_versions(self.spark, f"{self.path}/manifests")
 
     def batches(self, version: int | None = None) -> dict[str, str]:
         """The batches of a version (the last one) and the folder each is counted in."""
@@ -57,14 +47,14 @@ class HistogramStore:
             return {}
         if version not in versions:
             raise ValueError(f"{self.path} has no version {version}")
-        rows = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifests/v{version:08d}").collect()  # a row a batch
+        rows = self.spark.read.schema(MANIFEST).parquet(version_folder(f"{self.path}/manifests", version)).collect()  # a row a batch
         return {r["batch"]: r["delta"] for r in rows}
 
     def _publish(self, batches: dict[str, str]) -> int:
         versions = self.versions()
         number = versions[-1] + 1 if versions else 0
         table = self.spark.createDataFrame(sorted(batches.items()), MANIFEST)
-        table.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/manifests/v{number:08d}")
+        table.coalesce(1).write.mode("errorifexists").parquet(version_folder(f"{self.path}/manifests", number))
         return number
 
     def _write(self, counts: DataFrame) -> str:
