@@ -120,9 +120,10 @@ def select_frames(
     skip: int = 0,
     max_frames: int | None = None,
     long_form: bool = False,
+    incomplete: bool = False,
 ) -> DataFrame:
     """The frames of :func:`selection` without their number."""
-    return selection(rows, geometry, skip=skip, max_frames=max_frames, long_form=long_form)[0]
+    return selection(rows, geometry, skip=skip, max_frames=max_frames, long_form=long_form, incomplete=incomplete)[0]
 
 
 def selection(
@@ -132,19 +133,26 @@ def selection(
     skip: int = 0,
     max_frames: int | None = None,
     long_form: bool = False,
+    incomplete: bool = False,
 ) -> tuple[DataFrame, int]:
     """Complete frames ``skip .. skip + max_frames`` counted across files.
 
     ``skip`` drops leading frames of the first file and must leave some of them;
     ``max_frames`` caps the running total over all files.  Adds ``frame_seq``, the
     frame number over all files.  Only per-file counts are joined to the frames.
-    Also returns how many frames were selected.
+    Also returns how many frames were selected.  With ``incomplete`` frames that lack lines
+    count and stay too.
     """
     if skip < 0:
         raise ValueError("skip must not be negative")
     if max_frames is not None and max_frames <= 0:
         raise ValueError("max_frames must be positive")
-    files = settle(frame_inventory(rows, geometry, long_form=long_form), "files")
+    if incomplete:
+        started = frame_sizes(rows, geometry, long_form=long_form).groupBy("file_id")
+        files = started.agg(F.count(F.lit(1)).alias("n_frames"), F.max("frame_id").alias("last_frame"))
+    else:
+        files = frame_inventory(rows, geometry, long_form=long_form)
+    files = settle(files, "files")
     known = files.agg(
         F.count(F.lit(1)).alias("n_files"),
         F.coalesce(F.sum("n_frames"), F.lit(0)).alias("n_frames"),
@@ -156,7 +164,8 @@ def selection(
     if 0 < skip >= known["in_first"]:
         raise ValueError(f"skip={skip} leaves nothing of the first file ({known['in_first']} frames)")
     if known["n_gaps"]:
-        raise ValueError("frames of a file must be numbered 0, 1, 2 ... with only the last one incomplete")
+        but = "" if incomplete else " with only the last one incomplete"
+        raise ValueError(f"frames of a file must be numbered 0, 1, 2 ...{but}")
 
     before = Window.orderBy("file_id").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(

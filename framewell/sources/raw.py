@@ -14,6 +14,9 @@ tables that are loaded anew for each query.
 ``readStream`` follows growing files and new ones (``DetectorRawStream``): an offset says
 how many complete frames of each file were there.
 
+A file may end in lines of an incomplete frame.  They are left out with a warning, unless ``orphans``
+is set: then they are that frame's first lines, it counts as a frame, and the writer writes such lines too.
+
 Files are opened with Python's ``open``: every executor must see the paths.
 """
 
@@ -95,17 +98,23 @@ class RawFile:
     n_frames: int
     orphan_lines: int
 
+    @property
+    def n_started(self) -> int:
+        """Frames with the incomplete one at the end."""
+        return self.n_frames + (self.orphan_lines > 0)
+
 
-def inspect_file(path: str, height: int, width: int) -> RawFile:
+def inspect_file(path: str, height: int, width: int, orphans_count: bool = False) -> RawFile:
+    """Look at one file; with ``orphans_count`` a file of an incomplete frame alone is no error, nor are such lines worth a warning."""
     with open(path, "rb") as stream:
         header = stream.read(len(RAW_HEADER))
     if header != RAW_HEADER:
         raise ValueError(f"{path}: header {header!r} is not {RAW_HEADER!r}")
     records = (os.path.getsize(path) - len(RAW_HEADER)) // record_dtype(width).itemsize
     n_frames, orphans = divmod(records, height)
-    if n_frames == 0:
+    if n_frames == 0 and not (orphans_count and orphans):
         raise ValueError(f"{path}: no complete frames")
-    if orphans:
+    if orphans and not orphans_count:
         warnings.warn(f"{path}: {orphans} lines after {n_frames} complete frames are ignored", stacklevel=2)
     return RawFile(path, n_frames, orphans)
 
@@ -197,13 +206,15 @@ class Wanted:
 
 @dataclass
 class ByteRange(InputPartition):
-    """Lines ``[y0, y1)`` of some runs ``(first frame, number)`` of one file."""
+    """Lines ``[y0, y1)`` of some runs ``(first frame, number)`` of one file; frame ``last`` has its first ``last_lines`` only."""
 
     path: str
     file_id: int
     runs: list[tuple[int, int]]
     y0: int
     y1: int
+    last: int | None = None
+    last_lines: int = 0
 
 
 def packed(runs: list[tuple[int, int]], step: int) -> Iterator[list[tuple[int, int]]]:
@@ -239,6 +250,7 @@ class DetectorRawReader(DataSourceReader):
         self.frames_per_partition = get("framesPerPartition", 0)
         self.lines_per_partition = get("linesPerPartition", self.height)
         self.with_header = options.get("withHeader", "true").lower() == "true"
+        self.orphans = options.get("orphans", "false").lower() == "true"
         self.wanted = {"file_id": Wanted(), "frame_id": Wanted(), "y": Wanted()}
         for column, limits in json.loads(options.get("only", "{}")).items():
             self.wanted[column].limit(limits)
@@ -255,49 +267,59 @@ class DetectorRawReader(DataSourceReader):
             total = sum(stop - start for _, _, some in runs for start, stop in some) * len(lines)
             step = DEFAULT_FRAMES_PER_PARTITION * max(1, -(-total // (MAX_DEFAULT_PARTITIONS * DEFAULT_FRAMES_PER_PARTITION)))
         return [
-            ByteRange(path, file_id, some, y0, y1)
-            for file_id, path, wanted in runs
+            ByteRange(file.path, file_id, some, y0, y1, *((file.n_frames, file.orphan_lines) if self.orphans else ()))
+            for file_id, file, wanted in runs
             for some in packed(wanted, step)
             for y0, y1 in lines
         ]
 
-    def _runs(self) -> list[tuple[int, str, list[tuple[int, int]]]]:
-        """Per file its id, path and the runs of frames to read.  Files that no condition allows are not opened."""
+    def _inspect(self, paths: list[str], needed: int | None = None) -> list[RawFile]:
+        if not self.orphans:
+            return inspect_files(paths, self.height, self.width, needed)
+        with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+            return list(pool.map(lambda path: inspect_file(path, self.height, self.width, True), paths))
+
+    def _count(self, file: RawFile) -> int:
+        return file.n_started if self.orphans else file.n_frames
+
+    def _runs(self) -> list[tuple[int, RawFile, list[tuple[int, int]]]]:
+        """Per file its id, itself and the runs of frames to read.  Files that no condition allows are not opened."""
         paths = resolve_paths(self.spec)
         if self.frames is not None:
             return self._requested(paths)
         allowed = self.wanted["file_id"]
         chosen = [i for first, last in allowed.runs(0, len(paths)) for i in range(first, last)]
-        known = [RawFile(p, n, 0) for p, n in zip(paths, self.frame_counts or [], strict=False)]
+        counts_given = [] if self.orphans else self.frame_counts or []  # they do not tell orphan lines
+        known = [RawFile(p, n, 0) for p, n in zip(paths, counts_given, strict=False)]
         if self.max_frames is None:
             if self.skip and 0 not in chosen and len(known) < 1:
-                known = inspect_files(paths[:1], self.height, self.width)  # the skip must leave something of it
+                known = self._inspect(paths[:1])  # the skip must leave something of it
             missing = [i for i in chosen if i >= len(known)]
-            found = inspect_files([paths[i] for i in missing], self.height, self.width)
-            counts = {**{i: f.n_frames for i, f in enumerate(known)}, **{i: f.n_frames for i, f in zip(missing, found, strict=True)}}
+            files = {**dict(enumerate(known)), **dict(zip(missing, self._inspect([paths[i] for i in missing]), strict=True))}
             if self.skip:
-                frame_range([counts[0]], self.skip, None)
-            ranges = {i: (self.skip if i == 0 else 0, counts[i]) for i in chosen}
+                frame_range([self._count(files[0])], self.skip, None)
+            ranges = {i: (self.skip if i == 0 else 0, self._count(files[i])) for i in chosen}
         else:  # a running maximum needs the files before, as far as it reaches
-            needed = self.skip + self.max_frames - sum(f.n_frames for f in known)
+            needed = self.skip + self.max_frames - sum(map(self._count, known))
             if needed > 0 and len(known) < len(paths):
-                known += inspect_files(paths[len(known) :], self.height, self.width, needed)
-            spans = frame_range([f.n_frames for f in known], self.skip, self.max_frames)
+                known += self._inspect(paths[len(known) :], needed)
+            spans = frame_range([self._count(f) for f in known], self.skip, self.max_frames)
+            files = dict(enumerate(known))
             ranges = {i: spans[i] for i in chosen if i < len(spans)}
-        return [(i, paths[i], self.wanted["frame_id"].runs(*span)) for i, span in ranges.items()]
+        return [(i, files[i], self.wanted["frame_id"].runs(*span)) for i, span in ranges.items()]
 
-    def _requested(self, paths: list[str]) -> list[tuple[int, str, list[tuple[int, int]]]]:
+    def _requested(self, paths: list[str]) -> list[tuple[int, RawFile, list[tuple[int, int]]]]:
         """The explicitly requested frames of a single file."""
         if len(paths) != 1:
             raise ValueError("frames can be requested from a single file only")
-        file = inspect_file(paths[0], self.height, self.width)
-        outside = [f for f in self.frames if not 0 <= f < file.n_frames]
+        file = self._inspect(paths)[0]
+        outside = [f for f in self.frames if not 0 <= f < self._count(file)]
         if outside:
-            raise IndexError(f"frames {outside} outside 0..{file.n_frames - 1}")
+            raise IndexError(f"frames {outside} outside 0..{self._count(file) - 1}")
         asked = Wanted()
         asked.values = set(self.frames)
-        runs = [r for start, stop in asked.runs(0, file.n_frames) for r in self.wanted["frame_id"].runs(start, stop)]
-        return [(0, paths[0], runs)] if self.wanted["file_id"].runs(0, 1) else []
+        runs = [r for start, stop in asked.runs(0, self._count(file)) for r in self.wanted["frame_id"].runs(start, stop)]
+        return [(0, file, runs)] if self.wanted["file_id"].runs(0, 1) else []
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         dtype = record_dtype(self.width)
@@ -307,8 +329,9 @@ class DetectorRawReader(DataSourceReader):
         block = max(1, BATCH_BYTES // (2 * band_bytes))
         with open(partition.path, "rb") as stream:
             for start, n_frames in partition.runs:
-                for first in range(start, start + n_frames, block):
-                    frames = np.arange(first, min(first + block, start + n_frames))
+                stop = start + n_frames if partition.last is None else min(start + n_frames, partition.last)
+                for first in range(start, stop, block):
+                    frames = np.arange(first, min(first + block, stop))
                     if n_lines == self.height:
                         stream.seek(len(RAW_HEADER) + first * frame_bytes)
                         data = stream.read(len(frames) * frame_bytes)
@@ -318,17 +341,22 @@ class DetectorRawReader(DataSourceReader):
                             stream.seek(len(RAW_HEADER) + int(f) * frame_bytes + partition.y0 * dtype.itemsize)
                             parts.append(stream.read(band_bytes))
                         data = b"".join(parts)
-                    yield self._batch(partition, frames, np.frombuffer(data, dtype))
-
-    def _batch(self, partition: ByteRange, frames: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
-        n_lines = partition.y1 - partition.y0
+                    yield self._batch(partition, frames, np.frombuffer(data, dtype), partition.y1)
+                y1 = min(partition.y1, partition.last_lines)
+                if stop < start + n_frames and partition.y0 < y1:
+                    stream.seek(len(RAW_HEADER) + stop * frame_bytes + partition.y0 * dtype.itemsize)
+                    data = stream.read((y1 - partition.y0) * dtype.itemsize)
+                    yield self._batch(partition, np.array([stop]), np.frombuffer(data, dtype), y1)
+
+    def _batch(self, partition: ByteRange, frames: np.ndarray, records: np.ndarray, y1: int) -> pa.RecordBatch:
+        n_lines = y1 - partition.y0
         n = len(records)
         ends = np.arange(0, (n + 1) * self.width, self.width, dtype=np.int32)[: n + 1]
         pixels = pa.ListArray.from_arrays(pa.array(ends), pa.array(records["pixels"].reshape(-1).astype(np.int32)))
         columns = {
             "file_id": pa.array(np.full(n, partition.file_id, np.int32)),
             "frame_id": pa.array(np.repeat(frames.astype(np.int64), n_lines)),
-            "y": pa.array(np.tile(np.arange(partition.y0, partition.y1, dtype=np.int32), len(frames))),
+            "y": pa.array(np.tile(np.arange(partition.y0, y1, dtype=np.int32), len(frames))),
         }
         if self.with_header:
             columns["marker"] = pa.array(records["marker"].astype(np.int32))
@@ -353,13 +381,15 @@ class DetectorRawStream(DataSourceStreamReader):
     An offset lists the files in name order with their complete frames, so a restarted stream goes on
     where its checkpoint ends.  File ids are places in that order: a new file must sort after those known (as
     numbered or dated names do), and a file must not shrink or vanish; otherwise the stream stops.
+    With ``orphans`` offsets count whole lines: those of a frame that is being written come as well, its others later.
     """
 
     def __init__(self, options: dict[str, str]):
         self.reader = DetectorRawReader(options)
+        self.counted = "lines" if self.reader.orphans else "files"
 
     def initialOffset(self) -> dict:
-        return {"files": []}
+        return {self.counted: []}
 
     def latestOffset(self) -> dict:
         height, width = self.reader.height, self.reader.width
@@ -367,11 +397,14 @@ class DetectorRawStream(DataSourceStreamReader):
             paths = resolve_paths(self.reader.spec)
         except FileNotFoundError:
             return self.initialOffset()
+        unit = 1 if self.reader.orphans else height
         with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
-            return {"files": list(pool.map(lambda path: [path, whole_frames(path, height, width)], paths))}
+            return {self.counted: list(pool.map(lambda path: [path, whole_frames(path, unit, width)], paths))}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        before, now = start["files"], end["files"]
+        if self.counted not in start or self.counted not in end:
+            raise ValueError("the checkpoint was written with another setting of orphans")
+        before, now = start[self.counted], end[self.counted]
         if [p for p, _ in before] != [p for p, _ in now[: len(before)]]:
             raise ValueError("files read before are gone, or a new file sorts before them")
         step = self.reader.frames_per_partition or DEFAULT_FRAMES_PER_PARTITION
@@ -379,10 +412,23 @@ class DetectorRawStream(DataSourceStreamReader):
         for file_id, (path, n) in enumerate(now):
             done = before[file_id][1] if file_id < len(before) else 0
             if n < done:
-                raise ValueError(f"{path} has shrunk from {done} to {n} frames")
-            out += [ByteRange(path, file_id, some, 0, self.reader.height) for some in packed([(done, n)], step)]
+                raise ValueError(f"{path} has shrunk from {done} to {n} {'lines' if self.reader.orphans else 'frames'}")
+            out += self._lines(path, file_id, done, n, step) if self.reader.orphans else self._frames(path, file_id, done, n, step)
         return out
 
+    def _frames(self, path: str, file_id: int, start: int, stop: int, step: int) -> list[InputPartition]:
+        return [ByteRange(path, file_id, some, 0, self.reader.height) for some in packed([(start, stop)], step)]
+
+    def _lines(self, path: str, file_id: int, start: int, stop: int, step: int) -> list[InputPartition]:
+        """Lines ``[start, stop)`` of a file: whole frames, and the ends of them at both sides."""
+        height = self.reader.height
+        (first, y0), (last, y1) = divmod(start, height), divmod(stop, height)
+        if first == last:
+            return [ByteRange(path, file_id, [(first, 1)], y0, y1)] if y0 < y1 else []
+        out = [ByteRange(path, file_id, [(first, 1)], y0, height)] if y0 else []
+        out += self._frames(path, file_id, first + (y0 > 0), last, step)
+        return out + ([ByteRange(path, file_id, [(last, 1)], 0, y1)] if y1 else [])
+
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         return self.reader.read(partition)
 
@@ -420,6 +466,7 @@ class DetectorRawWriter(DataSourceArrowWriter):
         self.folder = options["path"]
         self.height, self.width = int(options.get("height", 512)), int(options.get("width", 512))
         self.overwrite = overwrite
+        self.orphans = options.get("orphans", "false").lower() == "true"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
         os.makedirs(self.folder, exist_ok=True)
@@ -444,7 +491,7 @@ class DetectorRawWriter(DataSourceArrowWriter):
                 )
                 out.write(records.tobytes())
                 n_lines += len(y)
-        if n_lines % self.height:
+        if n_lines % self.height and not self.orphans:
             raise ValueError("lines must arrive as whole frames, in order")
         if n_lines == 0:
             os.remove(temporary)
@@ -475,8 +522,8 @@ class DetectorRawSource(DataSource):
     """Options: ``path`` or ``paths`` (JSON list), ``height``, ``width``,
     ``framesPerPartition``, ``linesPerPartition``, ``skipFrames``, ``maxFrames``,
     ``frames`` (JSON list, one file), ``frameCounts`` (JSON list, of the first files), ``withHeader``, ``only`` (JSON:
-    per key column ``low`` and ``high``, or ``values``), ``pushFilters`` (in sessions with filter pushdown switched on).  A stream takes ``path`` or ``paths``, the sizes,
-    ``framesPerPartition`` and ``withHeader``."""
+    per key column ``low`` and ``high``, or ``values``), ``pushFilters`` (in sessions with filter pushdown switched on), ``orphans``.  A stream takes ``path`` or ``paths``, the sizes,
+    ``framesPerPartition``, ``withHeader`` and ``orphans``."""
 
     @classmethod
     def name(cls) -> str:
@@ -511,13 +558,15 @@ def read_raw(
     frame_counts: Sequence[int] | None = None,
     only: dict[str, range | Sequence[int]] | None = None,
     push_filters: bool = False,
+    orphans: bool = False,
 ) -> DataFrame:
     """Read raw files as lines.  ``with_header=False`` drops marker and counter at the scan.
 
     ``frame_counts``, the frames of the first files where known, spares looking at them again; the other files are
     looked at as far as needed.  ``only`` limits what is read: numbers or a range for any of ``file_id``, ``frame_id``
     and ``y``.  ``push_filters`` lets Spark push conditions on them down (the session's switch for it is set); the
-    table may then serve one query only, see the module.
+    table may then serve one query only, see the module.  With ``orphans`` the lines of an incomplete last frame of a
+    file are read too, and it counts as a frame; every file is looked at then.
     """
     spark.dataSource.register(DetectorRawSource)
     if push_filters:
@@ -531,6 +580,7 @@ def read_raw(
         .option("skipFrames", skip)
         .option("withHeader", str(with_header).lower())
         .option("pushFilters", str(push_filters).lower())
+        .option("orphans", str(orphans).lower())
     )
     limits = {
         column: {"low": some.start, "high": some.stop - 1} if isinstance(some, range) and some.step == 1 else {"values": [int(v) for v in some]}
@@ -559,8 +609,12 @@ def stream_raw(
     *,
     frames_per_partition: int | None = None,
     with_header: bool = True,
+    orphans: bool = False,
 ) -> DataFrame:
-    """A stream of the lines of complete frames in files that grow, and in files still to come (see ``DetectorRawStream``)."""
+    """A stream of the lines of complete frames in files that grow, and in files still to come (see ``DetectorRawStream``).
+
+    With ``orphans`` lines come as they are written, those of incomplete frames too.
+    """
     spark.dataSource.register(DetectorRawSource)
     entries = [paths] if isinstance(paths, (str, os.PathLike)) else list(paths)
     reader = (
@@ -569,32 +623,46 @@ def stream_raw(
         .option("height", geometry.height)
         .option("width", geometry.width)
         .option("withHeader", str(with_header).lower())
+        .option("orphans", str(orphans).lower())
     )
     if frames_per_partition is not None:
         reader = reader.option("framesPerPartition", frames_per_partition)
     return reader.load()
 
 
-def read_raw_frames(spark: SparkSession, path: str, frame_ids: Sequence[int], geometry: Geometry = Geometry()) -> DataFrame:
+def read_raw_frames(
+    spark: SparkSession, path: str, frame_ids: Sequence[int], geometry: Geometry = Geometry(), *, orphans: bool = False
+) -> DataFrame:
     """The frames at the given positions of one raw file, with their place in the request as ``pos``; repeats allowed.
 
-    Only their bytes are read.  More than one file, or a position outside the file, is an error.
+    Only their bytes are read.  More than one file, or a position outside the file, is an error.  With ``orphans`` an
+    incomplete last frame can be asked for too.
     """
     paths = resolve_paths(path)
     if len(paths) != 1:
         raise ValueError(f"frames are read from one file, {path!r} names {len(paths)}")
-    n_frames = inspect_file(paths[0], geometry.height, geometry.width).n_frames
-    rows = read_raw(spark, paths, geometry, frame_counts=[n_frames], only={"frame_id": sorted({int(f) for f in frame_ids})})
+    file = inspect_file(paths[0], geometry.height, geometry.width, orphans)
+    n_frames = file.n_started if orphans else file.n_frames
+    only = {"frame_id": sorted({int(f) for f in frame_ids})}
+    rows = read_raw(spark, paths, geometry, frame_counts=[n_frames], only=only, orphans=orphans)
     return read_frames_at(rows, frame_ids, n_frames=n_frames)
 
 
 def write_raw(
-    rows: DataFrame, folder: str, geometry: Geometry, *, n_files: int, overwrite: bool = False, append: bool = False
+    rows: DataFrame,
+    folder: str,
+    geometry: Geometry,
+    *,
+    n_files: int,
+    overwrite: bool = False,
+    append: bool = False,
+    orphans: bool = False,
 ) -> None:
     """Write complete frames as ``n_files`` raw files; their name order is frame order.
 
     Frames are brought together by a range shuffle, so a file holds whole frames.
     An existing folder is refused unless ``overwrite``, or ``append`` (new files are numbered after the old ones).
+    An incomplete frame is an error; with ``orphans`` the last one of a file may have its first lines only.
     """
     if os.path.exists(folder) and not (overwrite or append):
         raise FileExistsError(f"{folder} exists")
@@ -609,6 +677,7 @@ def write_raw(
         .mode("overwrite" if overwrite else "append")
         .option("height", geometry.height)
         .option("width", geometry.width)
+        .option("orphans", str(orphans).lower())
         .save(folder)
     )
 
