@@ -2,7 +2,7 @@
 
 A frame is known to be whole only when all its lines have come, in whatever batch and
 order.  Each line is folded into a few sums on its own (a narrow step); keyed state
-holds these sums and the lines seen, one small row a frame.  A frame is reported when
+holds these sums and the lines seen, for blocks of consecutive frames.  A frame is reported when
 its last line comes.  A timer reports what has not become whole in time as
 incomplete, with the number of its lines, and forgets reported frames later; lines
 that come after the report are counted and named late.
@@ -26,7 +26,12 @@ from framewell.sources.frames import FRAME_KEY
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SUMS = ["n_masked", "n", "total", "squares", "cm_entries", "cm_total", "cm_squares", "n_bad_markers"]
-STATE = "done boolean, seen binary, low double, high double, " + ", ".join(f"{c} double" for c in SUMS)
+GATHERED = ["low", "high", *SUMS]
+NOTHING = np.array([np.nan, np.nan, *[0.0] * len(SUMS)])
+# Frames that share a state: a call of Python and its trips to the state store serve all of them.
+BLOCK = 64
+OPEN, DONE = 1, 2
+STATE = "status binary, due binary, seen binary, sums binary, timer bigint"
 REPORT = (
     "file_id int, frame_id bigint, status string, n_lines bigint, n_masked bigint, min_value double, max_value double, "
     "mean_value double, std_value double, cm_entries bigint, cm_mean double, cm_std double, n_bad_markers bigint"
@@ -60,76 +65,94 @@ def _spread(n: float, total: float, squares: float) -> tuple[float, float]:
 
 
 class GatheredFrames(StatefulProcessor):
+    """Lines of a block of ``BLOCK`` frames, gathered at once; the block has one timer, for the frame that is due first."""
+
     def __init__(self, height: int, wait_ms: int, keep_ms: int):
         self.height, self.wait_ms, self.keep_ms = height, wait_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("frame", STATE)
-
-    def _row(self, key, status: str, n_lines: int, state: dict) -> pd.DataFrame:
-        mean, std = _spread(state["n"], state["total"], state["squares"])
-        cm_mean, cm_std = _spread(state["cm_entries"], state["cm_total"], state["cm_squares"])
-        whole = lambda c: int(state[c])
-        row = (
-            key[0], key[1], status, n_lines, whole("n_masked"), state["low"], state["high"], mean, std, whole("cm_entries"), cm_mean, cm_std,
-            whole("n_bad_markers"),
-        )
-        names = [c.split()[0] for c in REPORT.split(", ")]
-        return pd.DataFrame([row], columns=names)
-
-    def _alarm(self, timer_values, after_ms: int) -> None:
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old[0] if isinstance(old, tuple) else old)
-        self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + after_ms)
+        self.state = handle.getValueState("frames", STATE)
+
+    def _load(self) -> bool:
+        """The block as arrays with one row a frame; False if nothing is known of it."""
+        known = self.state.exists()
+        if known:
+            status, due, seen, sums, self.timer = self.state.get()
+            self.status = np.frombuffer(bytes(status), np.int8).copy()
+            self.due = np.frombuffer(bytes(due), np.int64).copy()
+            self.seen = np.unpackbits(np.frombuffer(bytes(seen), np.uint8), count=BLOCK * self.height).astype(bool)
+            self.sums = np.frombuffer(bytes(sums), np.float64).reshape(BLOCK, -1).copy()
+        else:
+            self.status, self.due, self.timer = np.zeros(BLOCK, np.int8), np.zeros(BLOCK, np.int64), None
+            self.seen, self.sums = np.zeros(BLOCK * self.height, bool), np.tile(NOTHING, (BLOCK, 1))
+        return known
+
+    def _store(self) -> None:
+        first = int(self.due[self.status > 0].min())
+        if self.timer is None or first < self.timer:
+            self.handle.registerTimer(first)
+            self.timer = first
+        self.state.update((self.status.tobytes(), self.due.tobytes(), np.packbits(self.seen).tobytes(), self.sums.tobytes(), self.timer))
+
+    def _rows(self, key, status: str, at: np.ndarray, n_lines: np.ndarray, sums: np.ndarray) -> pd.DataFrame:
+        rows = []
+        for frame, n, found in zip(at.tolist(), n_lines.tolist(), sums.tolist(), strict=True):
+            s = dict(zip(GATHERED, found, strict=True))
+            mean, std = _spread(s["n"], s["total"], s["squares"])
+            cm_mean, cm_std = _spread(s["cm_entries"], s["cm_total"], s["cm_squares"])
+            rows.append((
+                key[0], None if pd.isna(key[1]) else key[1] * BLOCK + frame, status, n, int(s["n_masked"]), s["low"], s["high"], mean, std,
+                int(s["cm_entries"]), cm_mean, cm_std, int(s["n_bad_markers"]),
+            ))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in REPORT.split(", ")])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fields = ["done", "seen", "low", "high", *SUMS]
-        new = not self.state.exists()
-        if new:
-            state = dict.fromkeys(SUMS, 0.0) | {"done": False, "seen": bytes(-(-self.height // 8)), "low": float("nan"), "high": float("nan")}
-        else:
-            state = dict(zip(fields, self.state.get(), strict=True))
-        seen = np.unpackbits(np.frombuffer(bytes(state["seen"]), np.uint8), count=self.height)
-        late = 0
+        self._load()
+        now = timerValues.getCurrentProcessingTimeInMs()
+        done, late = self.status == DONE, np.zeros(BLOCK, np.int64)
         for batch in rows:
-            if state["done"]:
-                late += len(batch)
-                continue
+            frame = (batch["frame_id"].fillna(0).to_numpy() % BLOCK).astype(np.int64)
             y = batch["y"].to_numpy()
-            batch = batch[(y >= 0) & (y < self.height)].drop_duplicates("y")  # a repeated line counts once
-            batch = batch[seen[batch["y"].to_numpy()] == 0]
-            seen[batch["y"].to_numpy()] = 1
-            for c in SUMS:
-                state[c] += float(batch[c].sum())
-            state["low"] = float(np.fmin(state["low"], batch["low"].min()))
-            state["high"] = float(np.fmax(state["high"], batch["high"].max()))
-        if late:
-            nothing = dict.fromkeys(SUMS, 0.0) | {"low": float("nan"), "high": float("nan")}
-            yield self._row(key, "late", late, nothing)
-            return
-        state["seen"] = np.packbits(seen).tobytes()
-        if seen.all():
-            state["done"] = True
-            self._alarm(timerValues, self.keep_ms)
-            yield self._row(key, "whole", self.height, state)
-        elif new:
-            self._alarm(timerValues, self.wait_ms)
-        self.state.update(tuple(state[f] for f in fields))
+            late += np.bincount(frame[done[frame]], minlength=BLOCK)
+            started = np.unique(frame[self.status[frame] == 0])
+            self.status[started], self.due[started] = OPEN, now + self.wait_ms
+            inside = np.flatnonzero(~done[frame] & (y >= 0) & (y < self.height))
+            place, first = np.unique(frame[inside] * self.height + y[inside].astype(np.int64), return_index=True)  # a repeated line counts once
+            fresh = ~self.seen[place]
+            self.seen[place[fresh]] = True
+            at = inside[first[fresh]]
+            lines, owner = batch[GATHERED].to_numpy(np.float64)[at], frame[at]
+            np.add.at(self.sums[:, 2:], owner, lines[:, 2:])
+            np.fmin.at(self.sums[:, 0], owner, lines[:, 0])
+            np.fmax.at(self.sums[:, 1], owner, lines[:, 1])
+        whole = np.flatnonzero((self.status == OPEN) & self.seen.reshape(BLOCK, -1).all(axis=1))
+        if len(whole):
+            self.status[whole], self.due[whole] = DONE, now + self.keep_ms
+            yield self._rows(key, "whole", whole, np.full(len(whole), self.height), self.sums[whole])
+        if late.any():
+            at = np.flatnonzero(late)
+            yield self._rows(key, "late", at, late[at], np.tile(NOTHING, (len(at), 1)))
+        self._store()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
+        if not self._load():
             return
-        fields = ["done", "seen", "low", "high", *SUMS]
-        state = dict(zip(fields, self.state.get(), strict=True))
-        if state["done"]:
+        now = max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        over = self.due <= now
+        forgotten, missed = over & (self.status == DONE), np.flatnonzero(over & (self.status == OPEN))
+        self.status[forgotten] = 0
+        self.seen.reshape(BLOCK, -1)[forgotten] = False
+        self.sums[forgotten] = NOTHING
+        if len(missed):
+            self.status[missed], self.due[missed] = DONE, now + self.keep_ms
+            n_lines = self.seen.reshape(BLOCK, -1).sum(axis=1)
+            yield self._rows(key, "incomplete", missed, n_lines[missed], self.sums[missed])
+        self.timer = None
+        if (self.status > 0).any():
+            self._store()
+        else:
             self.state.clear()
-            return
-        n_lines = int(np.unpackbits(np.frombuffer(bytes(state["seen"]), np.uint8), count=self.height).sum())
-        state["done"] = True
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep_ms)
-        self.state.update(tuple(state[f] for f in fields))
-        yield self._row(key, "incomplete", n_lines, state)
 
     def close(self) -> None:
         """The handle holds nothing to free."""
@@ -146,6 +169,7 @@ def stream_frame_report(
     lines.sparkSession.conf.set(PROVIDER, ROCKS)
     if "marker" not in lines.columns:
         lines = lines.withColumn("marker", F.lit(None).cast("int"))
-    return line_sums(lines).groupBy(*FRAME_KEY).transformWithStateInPandas(
+    block = F.floor(F.col("frame_id") / BLOCK).cast("bigint")
+    return line_sums(lines).withColumn("block", block).groupBy("file_id", "block").transformWithStateInPandas(
         GatheredFrames(geometry.height, wait_ms, keep_ms), REPORT, "append", "ProcessingTime"
     )
