@@ -39,7 +39,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewell.llm.common import BROADCAST_BYTES, free_names, join_classes, join_sized, pick
@@ -193,10 +193,10 @@ def sets_of(docs: DataFrame, n: int) -> DataFrame:
 
 def groups_of(nodes: DataFrame) -> DataFrame:
     """``node, token``: the signatures that several nodes have; of those with the very same nodes one."""
+    # one shuffle of all signatures: a node sends each once, so the most frequent has one row of the hundreds of a node
     tokens = nodes.select("node", F.explode("sent").alias("token"))
-    shared = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1"), "shared")
-    held = settle(join_classes(tokens, shared, "token", "freq").select("node", "token"), "held")
-    release(shared)
+    counted = tokens.withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    held = settle(counted.where("freq > 1").select("node", "token"), "held")
     who = [F.count(F.lit(1)), F.min("node"), F.max("node"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
     marks = ["freq", "low", "high", "x", "z"]
     told_apart = held.groupBy("token").agg(*[w.alias(m) for w, m in zip(who, marks, strict=True)])
@@ -206,15 +206,32 @@ def groups_of(nodes: DataFrame) -> DataFrame:
     return out
 
 
+def broadcast_from(theirs: DataFrame) -> int:
+    """The smallest power of two so that the rows ``n, v_s`` of at least that ``n`` can be broadcast."""
+    steps = theirs.groupBy(F.floor(F.log2("n")).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    left, least = BROADCAST_BYTES // (8 * SKETCH_WORDS + 64), 2**62
+    for step, rows in sorted(map(tuple, steps), reverse=True):
+        if rows > left:
+            return least
+        left, least = left - rows, 2**step
+    return 1
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """The pairs ``u, v`` (``v`` may stand in many) whose sets link, or None; every pair is compared once.
 
-    Sizes and sketches go first.  For what they leave, the set of a ``v`` with many pairs is copied for as many groups of them
+    Sizes and sketches go first: sketches of the ``v`` with most pairs are broadcast, as far as they fit, so that pairs are
+    shuffled as two numbers; only those of a ``v`` with few carry one.  For what they leave, the set of a ``v`` with many pairs is copied for as many groups of them
     as it has thousandths of all pairs.
     """
     sized = lambda as_: nodes.select(F.col("node").alias(as_), F.col("n_shingles").alias(f"{as_}_n"), F.col("sketch").alias(f"{as_}_s"))
     theirs = settle(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).join(sized("v"), "v"), "sketches")
-    met = join_classes(pairs, theirs, "v", "n").join(sized("u"), "u")
+    least = broadcast_from(theirs)
+    hot, cold = F.broadcast(theirs.where(F.col("n") >= least)), theirs.where(F.col("n") < least)
+    met = pairs.join(hot.select("v"), "v", "left_semi").join(sized("u"), "u").join(hot, "v")
+    if least > 1:
+        rest = pairs.join(hot.select("v"), "v", "left_anti").join(cold, "v").join(sized("u"), "u")
+        met = met.unionByName(rest)
     apart = F.aggregate(F.zip_with("u_s", "v_s", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
     h = F.floor((F.col("u_n") + F.col("v_n")) * (100 - percent) / (100 + percent))
     likely = met.where((F.abs(F.col("u_n") - F.col("v_n")) <= h) & (apart <= h)).select("u", "v")

@@ -75,3 +75,23 @@ def test_jaccard_leaves_only_its_result(spark):
     df = spark.createDataFrame([(i, f"{base} {i}" if i % 2 else prose(rng, 30)) for i in range(20)], "doc_id bigint, text string")
     jaccard_join.jaccard_classes(df).count()
     assert {n.split("-")[0] for n in set(os.listdir(folder)) - before} == {"jaccard"}
+
+
+def test_pairs_travel_without_sketches(spark, monkeypatch):
+    """Only pairs of a ``v`` whose sketch is not broadcast carry one through a shuffle; links are the same either way."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**62, 40)
+    sets = [base] + [np.concatenate([base[: 40 - k % 9], rng.integers(0, 2**62, k % 9)]) for k in range(1, 40)]
+    rows = [(i, len(s), jaccard_join.sketch(np.sort(s).astype(np.uint64)).tolist(), s.tolist()) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(rows, "node bigint, n_shingles bigint, sketch array<bigint>, elements array<bigint>")
+    nodes, elements = table.select("node", "n_shingles", "sketch"), table.select("node", "elements")
+    some = [(u, v) for v in (0, 1, 2) for u in range(3, 40)] + [(4, 3)]
+    pairs = spark.createDataFrame(some, "u bigint, v bigint")
+    links = lambda: sorted(tuple(r) for r in jaccard_join.verified(pairs, nodes, elements, 80).collect())
+    want = sorted((u, v) for u, v in some if len(np.intersect1d(sets[u], sets[v])) * 100 >= 80 * len(np.union1d(sets[u], sets[v])))
+    counts = spark.createDataFrame([(v, n) for v, n in ((0, 37), (1, 37), (2, 37), (3, 1))], "v bigint, n bigint")
+    assert jaccard_join.broadcast_from(counts) == 1 and links() == want and 0 < len(want) < len(some)
+    row = 8 * jaccard_join.SKETCH_WORDS + 64
+    for room, least in ((3, 32), (2, 2**62)):
+        monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", room * row)
+        assert jaccard_join.broadcast_from(counts) == least and links() == want
