@@ -54,6 +54,8 @@ HUB_ROUNDS = 1
 # Representatives of a group in the round after those, in every further one 16 times as many, and at most.
 FIRST_REPRESENTATIVES, MOST_REPRESENTATIVES = 16, 1024
 SKETCH_WORDS = 32
+# Sketches sent to every executor at once, in bytes.
+SKETCH_BYTES = 8 * 1024 * 1024
 
 
 class WordHashes(dict):
@@ -209,7 +211,7 @@ def groups_of(nodes: DataFrame) -> DataFrame:
 def broadcast_from(theirs: DataFrame) -> int:
     """The smallest power of two so that the rows ``n, v_s`` of at least that ``n`` can be broadcast."""
     steps = theirs.groupBy(F.floor(F.log2("n")).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    left, least = BROADCAST_BYTES // (8 * SKETCH_WORDS + 64), 2**62
+    left, least = SKETCH_BYTES // (8 * SKETCH_WORDS + 64), 2**62
     for step, rows in sorted(map(tuple, steps), reverse=True):
         if rows > left:
             return least

@@ -93,5 +93,5 @@ def test_pairs_travel_without_sketches(spark, monkeypatch):
     assert jaccard_join.broadcast_from(counts) == 1 and links() == want and 0 < len(want) < len(some)
     row = 8 * jaccard_join.SKETCH_WORDS + 64
     for room, least in ((3, 32), (2, 2**62)):
-        monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", room * row)
+        monkeypatch.setattr(jaccard_join, "SKETCH_BYTES", room * row)
         assert jaccard_join.broadcast_from(counts) == least and links() == want
