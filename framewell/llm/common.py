@@ -58,6 +58,9 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str) -> Da
     if most * HOT_SHARE <= total:
         return rows.join(classes, key)
     hot_classes = F.broadcast(classes.where(hot))
+    if dict(rows.dtypes)[key] == "bigint":
+        is_hot = F.col(key).isin([r[0] for r in classes.where(hot & F.col(key).isNotNull()).select(key).collect()])
+        return rows.where(is_hot).join(hot_classes, key).unionByName(rows.where(~is_hot).join(classes.where(~hot), key))
     spread = rows.join(hot_classes, key)
     rest = rows.join(hot_classes.select(key), key, "left_anti").join(classes.where(~hot), key)
     return spread.unionByName(rest)

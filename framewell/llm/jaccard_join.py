@@ -15,9 +15,13 @@ that both have and that is not empty.  A set with too few such parts sends all a
 more that stands for such sets.
 
 *Links.*  Equal sets are one node.  Signatures that only one node has are dropped, and of
-those with the same nodes one is kept.  In rounds, representatives of each group are
+those with the same nodes one is kept.  The members of large groups are told how many of
+their elements no other such member has: two of them have no more in common than the
+others, so a member leaves each large group in which that is too few for a link with even
+its smallest one.  In rounds, representatives of each group are
 compared with its other members in other components, and links merge components: first
-the smallest member, then 16, 256 and up to 1024 a round by hash.  A representative that
+the member with the fewest such elements, then 16, 256 and up to 1024 a round, the like of
+every class of a hash.  A representative that
 was compared leaves its group, so every pair of a group is compared or already in one
 component when no group joins two components any more.  Before two sets are fetched
 their sizes and bit sketches are compared: sketches differ in no more bits than the sets
@@ -53,6 +57,8 @@ BATCH_BYTES = 4_000_000
 HUB_ROUNDS = 1
 # Representatives of a group in the round after those, in every further one 16 times as many, and at most.
 FIRST_REPRESENTATIVES, MOST_REPRESENTATIVES = 16, 1024
+# Groups of at least so many members lose those that cannot link; the result is the same for any number.
+LARGE_GROUP = 32
 SKETCH_WORDS = 32
 # Sketches sent to every executor at once, in bytes.
 SKETCH_BYTES = 8 * 1024 * 1024
@@ -194,7 +200,7 @@ def sets_of(docs: DataFrame, n: int) -> DataFrame:
 
 
 def groups_of(nodes: DataFrame) -> DataFrame:
-    """``node, token``: the signatures that several nodes have; of those with the very same nodes one."""
+    """``node, token, freq``: the signatures that several (``freq``) nodes have; of those with the very same nodes one."""
     # one shuffle of all signatures: a node sends each once, so the most frequent has one row of the hundreds of a node
     tokens = nodes.select("node", F.explode("sent").alias("token"))
     counted = tokens.withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("token")))
@@ -203,11 +209,34 @@ def groups_of(nodes: DataFrame) -> DataFrame:
     marks = ["freq", "low", "high", "x", "z"]
     told_apart = held.groupBy("token").agg(*[w.alias(m) for w, m in zip(who, marks, strict=True)])
     chosen = settle(told_apart.groupBy(*marks).agg(F.min("token").alias("token")).select("token", "freq"), "chosen")
-    out = settle(join_classes(held, chosen, "token", "freq"), "groups")
+    out = settle(join_classes(held, chosen, "token", "freq").select("node", "token", "freq"), "groups")
     release(held, chosen)
     return out
 
 
+def narrowed(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node, token, n, usable`` of the members that may link with another of their group.
+
+    ``usable`` is the most elements that a member can have in common with another of its group: in a large group those of
+    its ``n`` that any other member of a large group has, in others all.
+    """
+    sized = nodes.select("node", F.col("n_shingles").cast("int").alias("n"))
+    large, small = groups.where(F.col("freq") >= LARGE_GROUP), groups.where(F.col("freq") < LARGE_GROUP)
+    inside = settle(large.select("node").distinct(), "inside")
+    elements = join_sized(sets, inside, "node", F.lit(16), "inside", "left_semi").select("node", F.explode("elements").alias("e"))
+    alone = elements.groupBy("e").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("held")).where("held = 1")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("own"))
+    known = sized.join(inside, "node", "left_semi").join(own, "node", "left")
+    known = known.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("usable"))
+    members = settle(join_sized(large, known, "node", F.lit(24), "known", "inner"), "large")
+    least = members.groupBy("token").agg(F.min("n").alias("least"))
+    links = F.col("usable") * (100 + percent) >= (F.col("n") + F.col("least")) * percent
+    able = join_sized(members, least, "token", F.lit(24), "least", "inner").where(links)
+    columns = ["node", "token", "n", "usable"]
+    others = join_sized(small, sized, "node", F.lit(24), "sized", "inner").withColumn("usable", F.col("n"))
+    return settle(able.select(*columns).unionByName(others.select(*columns)), "narrowed")
+
+
 def broadcast_from(theirs: DataFrame) -> int:
     """The smallest power of two so that the rows ``n, v_s`` of at least that ``n`` can be broadcast."""
     steps = theirs.groupBy(F.floor(F.log2("n")).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
@@ -230,7 +259,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     theirs = settle(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).join(sized("v"), "v"), "sketches")
     least = broadcast_from(theirs)
     hot, cold = F.broadcast(theirs.where(F.col("n") >= least)), theirs.where(F.col("n") < least)
-    met = pairs.join(hot.select("v"), "v", "left_semi").join(sized("u"), "u").join(hot, "v")
+    near = pairs if least == 1 else pairs.join(hot.select("v"), "v", "left_semi")
+    met = near.join(sized("u"), "u").join(hot, "v")
     if least > 1:
         rest = pairs.join(hot.select("v"), "v", "left_anti").join(cold, "v").join(sized("u"), "u")
         met = met.unionByName(rest)
@@ -242,13 +272,19 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     if not some:
         release(likely)
         return None
+
+    def wanted(end: str) -> DataFrame:
+        """Only the sets of the candidates are shuffled, as long as their numbers can be broadcast."""
+        ends = likely.select(F.col(end).alias("node")).distinct()
+        return sets.join(F.broadcast(ends), "node", "left_semi") if 32 * some <= BROADCAST_BYTES else sets
+
     copies = F.ceil(F.col("n") * 1000 / F.lit(some)).cast("int")
     hubs = likely.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select("v", copies.alias("copies"))
     many = F.broadcast(hubs.where("copies > 1"))  # fewer than 1000
     dealt = likely.select("u", "v").join(many, "v", "left").withColumn("salt", F.pmod(F.xxhash64("u"), F.coalesce("copies", F.lit(1))).cast("int"))
-    whole = hubs.join(sets.select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
+    whole = hubs.join(wanted("v").select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
     whole = whole.select("v", "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
-    beside = dealt.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u").join(whole, ["v", "salt"])
+    beside = dealt.join(wanted("u").select(F.col("node").alias("u"), F.col("elements").alias("a")), "u").join(whole, ["v", "salt"])
     common = F.size(F.array_intersect("a", "b"))
     linked = common * 100 >= (F.size("a") + F.size("b") - common) * percent
     found, some = settle_counted(beside.where(linked).select("u", "v"), "links")
@@ -259,14 +295,17 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
 def representatives(named: DataFrame, times: int) -> DataFrame:
     """``token, members, reps`` of the groups that join different components.
 
-    ``reps`` are up to ``times`` members with their component: the smallest of each class of a hash.
+    ``reps`` are up to ``times`` members with their component: of each class of a hash that with the fewest elements of
+    its own, of those the smallest.
     """
     salt = F.pmod(F.xxhash64("node", F.lit(times)), F.lit(times))
-    chosen = [F.min("node").alias("rep"), F.min_by("component", "node").alias("its")]
-    ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")]
-    each = named.groupBy("token", salt.alias("salt")).agg(*chosen, *ends)
-    reps = F.collect_list(F.struct("rep", "its")).alias("reps")
-    whole = each.groupBy("token").agg(reps, F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("members"))
+    first = F.min(F.struct((F.col("n") - F.col("usable")).alias("own"), F.col("node").alias("rep"), F.col("component").alias("its"), F.col("n").alias("its_n")))
+    ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")]
+    each = named.groupBy("token", salt.alias("salt")).agg(first.alias("r"), *ends)
+    rep = F.struct("r.rep", "r.its", "r.its_n", (F.col("r.its_n") - F.col("r.own")).alias("its_usable"))
+    whole = each.groupBy("token").agg(
+        F.collect_list(rep).alias("reps"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("members").alias("members")
+    )
     return whole.where("low <> high").select("token", "members", "reps")
 
 
@@ -274,7 +313,9 @@ def link_components(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percen
     """``node, component`` of all nodes with a link."""
     labels = groups.sparkSession.createDataFrame([], "node bigint, component bigint")
     edges = groups.sparkSession.createDataFrame([], "u bigint, v bigint")
-    named, turn = groups.withColumn("component", F.col("node")), 0
+    columns = ["node", "token", "n", "usable", "component"]
+    first = narrowed(groups, nodes, sets, percent)
+    named, turn = first.withColumn("component", F.col("node")), 0
     while True:
         times = 1 if turn < HUB_ROUNDS else min(FIRST_REPRESENTATIVES * 16 ** min(turn - HUB_ROUNDS, 8), MOST_REPRESENTATIVES)
         turn += 1
@@ -282,19 +323,21 @@ def link_components(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percen
         if not some:
             return labels
         met = join_classes(named, reps, "token", "members")  # not written: the lists stand beside every member
-        others = met.select("node", "component", F.explode("reps").alias("r")).select("node", "component", "r.*").where("component <> its")
-        once = others.groupBy(F.least("node", "rep").alias("low"), F.greatest("node", "rep").alias("high")).agg(F.min("rep").alias("v"))
+        others = met.select(*columns, F.explode("reps").alias("r")).select(*columns, "r.*").where("component <> its")
+        enough = F.least("usable", "its_usable") * (100 + percent) >= (F.col("n") + F.col("its_n")) * percent
+        ends = [F.least("node", "rep").alias("low"), F.greatest("node", "rep").alias("high")]
+        once = others.where(enough).groupBy(*ends).agg(F.min("rep").alias("v"))
         pairs = settle(once.select(F.when(F.col("v") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("u"), "v"), "pairs")
         found = verified(pairs, nodes, sets, percent)
         # whoever was compared with all others of its group leaves it
-        rest = met.where(~F.exists("reps", lambda r: r["rep"] == F.col("node"))).select("node", "token", "component")
+        rest = met.where(~F.exists("reps", lambda r: r["rep"] == F.col("node"))).select(*columns)
         if found is not None:
             edges = settle(edges.union(found), "edges")
             labels, size = settle_counted(components(edges), "labels")
             small = F.broadcast(labels) if 32 * size <= BROADCAST_BYTES else labels
             rest = rest.drop("component").join(small, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        following = settle(rest.select("node", "token", "component"), "named")
-        release(reps, pairs, named)
+        following = settle(rest.select(*columns), "named")
+        release(first, reps, pairs, named)
         named = following
 
 
