@@ -109,14 +109,17 @@ def decontaminate(
     *,
     size: int = 10,
     picks: int = 2,
-    slop: int = 2,
+    slop: int | None = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    only_found: bool = False,
 ) -> DataFrame:
     """Per document: ``id_col, n_words, hits, item_ids, near_items``.
 
+    Without ``slop`` proximity is not looked for and ``near_items`` is null; with ``only_found`` the documents
+    in which no item may occur are left out.
     ``hits`` lists the positions (see :func:`split_words`) of words inside an exact occurrence of a window, ``item_ids`` the items with such
     a window (strings, sorted), ``near_items`` how many items have all picked terms of a window within ``slop``.
     """
@@ -128,18 +131,21 @@ def decontaminate(
     picked = settle(rarest_terms(windows, counts, picks), "picked")
     index = settle(postings(docs, picked.select("term").distinct()), "postings")
     exact = intersect(index, picked).select("doc_id", "item", "shift").distinct()
-    near = intersect(index, picked, slop).groupBy("doc_id").agg(F.count_distinct("item").alias("near_items"))
     texts = windows.where("at = 0").select("item", "item_id", "words")
     size_of = F.aggregate("words", F.lit(64), lambda s, w: s + 24 + F.octet_length(w))
     places = join_sized(exact, texts, "item", size_of, "items", "inner").groupBy("doc_id").agg(
         F.collect_list(F.struct(F.col("item_id").cast("string").alias("item_id"), "shift", "words")).alias("places")
     )
-    found = near.join(places, near["doc_id"].eqNullSafe(places["doc_id"]), "left").select(
-        near["doc_id"].alias("_doc"), "near_items", "places"
-    )
+    if slop is None:
+        found = places.select(F.col("doc_id").alias("_doc"), F.lit(None).cast("long").alias("near_items"), "places")
+    else:
+        near = intersect(index, picked, slop).groupBy("doc_id").agg(F.count_distinct("item").alias("near_items"))
+        found = near.join(places, near["doc_id"].eqNullSafe(places["doc_id"]), "left").select(
+            near["doc_id"].alias("_doc"), "near_items", "places"
+        )
     weight = F.lit(32) + F.coalesce(F.aggregate("places", F.lit(0), lambda s, p: s + 40 + 16 * F.size(p["words"])), F.lit(0))
     words = docs.select("doc_id", split_words(F.col("text")).alias("doc"))
-    joined = join_sized(words, found, F.col("doc_id").eqNullSafe(F.col("_doc")), weight, "found")
+    joined = join_sized(words, found, F.col("doc_id").eqNullSafe(F.col("_doc")), weight, "found", "inner" if only_found else "left")
 
     def starts(place: Column) -> Column:
         """Positions in the document where a window of the placed item begins and matches throughout."""
@@ -157,7 +163,7 @@ def decontaminate(
         "n_words",
         F.array_sort(covered).alias("hits"),
         F.array_sort(F.array_distinct(F.col("m.item_id"))).alias("item_ids"),
-        F.coalesce("near_items", F.lit(0)).alias("near_items"),
+        (F.col("near_items") if slop is None else F.coalesce("near_items", F.lit(0))).alias("near_items"),
     )
 
 
@@ -167,10 +173,11 @@ def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     A row is decided by its own text, whatever its id: rows without an id and rows that share one too.
     """
     text_col = options.pop("text_col", "text")
-    options.pop("id_col", None)
+    options = {k: v for k, v in options.items() if k not in ("id_col", "slop", "only_found")}
     (key,) = free_names(docs, "_text")
-    keyed = docs.withColumn(key, F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))))
     with working() as scope:
-        found = decontaminate(keyed, items, id_col=key, text_col=text_col, **options)
+        # only exact occurrences decide, so proximity, which is most of the index's matches, is not looked for
+        found = decontaminate(keyed, items, id_col=key, text_col=text_col, slop=None, only_found=True, **options)
         hit = scope.keep(found.where(F.size("hits") > 0).select(key).distinct(), "contaminated")
     return join_sized(keyed, hit, key, F.lit(48), "hit", "left_anti").drop(key)
