@@ -39,11 +39,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framewell.llm.common import BROADCAST_BYTES, free_names, join_classes, join_sized, pick
@@ -52,7 +54,16 @@ from framewell.plans.settle import release, settle, settle_counted, working
 
 BAND_RATIO = 1.6
 CACHED_WORDS = 500_000
-BATCH_BYTES = 4_000_000
+# Texts that are hashed at once, in bytes, and the longest words that are.
+BLOCK_BYTES, LONG_WORD = 500_000, 64
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Signatures are shuffled in so many turns, so that no more than one turn's lie on disk; the result is the same for any number.
+TURNS = 4
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+BREAK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+KEPT_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 # Rounds with one representative, the same for all groups it is in; the result is the same for any number.
 HUB_ROUNDS = 1
 # Representatives of a group in the round after those, in every further one 16 times as many, and at most.
@@ -79,18 +90,49 @@ def mixed(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingle_set(data: bytes, hashes: WordHashes, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-grams of a text given as UTF-8."""
-    words = data.lower().split()  # bytes: A-Z and ASCII white space only
-    if not words:
-        return np.empty(0, np.uint64)
-    at = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(at))
-    count = len(at) - size + 1
-    total = np.full(count, size, np.uint64)
-    for i in range(size):
-        total = mixed(total * np.uint64(31) + at[i : i + count], i + 1)
-    return np.unique(total)
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of the texts, A-Z lower-cased, and the number of its text."""
+    data = LOWER[np.frombuffer(b" ".join([*texts, b" " * 8]), np.uint8)]
+    inside = np.concatenate([[False], ~BREAK[data]])  # the last byte is a space
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, size = edges[::2], edges[1::2] - edges[::2]
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, min(int(size.max(initial=0)), LONG_WORD), 8):
+        some = np.flatnonzero(size > at)
+        eight = lanes[begin[some] + at] & KEPT_BYTES[np.minimum(size[some] - at, 8)]
+        out[some] = mixed(out[some] * np.uint64(31) + eight, at + 1)
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(data[begin[i] : begin[i] + size[i]].tobytes())
+    return out, np.searchsorted(ends, begin, "right")
+
+
+def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the n-grams of each text given as UTF-8."""
+    words, of = word_hashes(texts)
+    count = np.bincount(of, minlength=len(texts))
+    first = np.cumsum(count) - count
+
+    def grams(at: np.ndarray, size: int) -> np.ndarray:
+        total = np.full(max(len(at) - size + 1, 0), size, np.uint64)
+        for i in range(size):
+            total = mixed(total * np.uint64(31) + at[i : i + len(total)], i + 1)
+        return total
+
+    whole = grams(words, n)  # those across two texts are not used
+    return [np.unique(whole[a : a + c - n + 1]) if c >= n else grams(words[a : a + c], c) if c else np.empty(0, np.uint64) for a, c in zip(first, count, strict=True)]
+
+
+def blocks(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, list[bytes], list[np.ndarray]]]:
+    """First row, texts and sets of runs of rows that are worked on at once."""
+    begin, texts, weight = 0, [], 0
+    for i, text in enumerate(batch.column("text").cast(pa.binary())):
+        texts.append(text.as_py() or b"")
+        weight += len(texts[-1])
+        if weight > BLOCK_BYTES or i + 1 == batch.num_rows:
+            yield begin, texts, shingle_sets(texts, n)
+            begin, texts, weight = i + 1, [], 0
 
 
 def bands(percent: int, largest: int) -> list[tuple[int, int]]:
@@ -108,50 +150,76 @@ def allowed(a: int, b: int, percent: int) -> int:
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
-    """The 64-bit signatures of a set, of all its bands (see the module)."""
-    size, out = len(elements), []
-    for band, (low, high) in enumerate(bands(percent, size)):
-        if not low <= size <= high:
+def signatures_of(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit signatures of sets, of all their bands (see the module), and how many each set has."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owners, out = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for band, (low, high) in enumerate(bands(percent, int(sizes.max(initial=0)))):
+        most = (sizes + np.minimum(high, sizes * 100 // percent)) * (100 - percent) // (100 + percent)
+        of = np.flatnonzero((sizes >= low) & (sizes <= high) & (most > 0))  # with none only equal sets link, and those are one node already
+        if not len(of):
             continue
-        most = allowed(size, min(high, size * 100 // percent), percent)
-        if most == 0:
-            continue  # only equal sets link, and those are one node already
         parts = int(1.25 * (allowed(high, high, percent) // 2 + 1)) + 4
         # elements are hashes themselves: a multiplication deals them anew in every band, and their sum tells contents apart
+        elements = np.concatenate([sets[i] for i in of])
         key = (elements * np.uint64((band * 2 + 101) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF | 1)) >> np.uint64(32)
-        piece = (key * np.uint64(3 * parts)) >> np.uint64(32)  # piece 3 i + j is the j-th of part i
-        content = np.zeros(3 * parts, np.uint64)
-        order = np.argsort(piece, kind="stable")
-        held, first = np.unique(piece[order], return_index=True)
-        content[held] = np.add.reduceat(elements[order], first)
-        filled = np.zeros(3 * parts, bool)
-        filled[held] = True
-        counted = (filled.reshape(-1, 3).sum(axis=1) >= 2).cumsum()
-        last = int(np.searchsorted(counted, most // 2 + 1)) + 1  # parts up to the one that completes the number
-        use = np.arange(min(last, parts))
+        piece = ((key * np.uint64(3 * parts)) >> np.uint64(32)).astype(np.int64)  # piece 3 i + j is the j-th of part i
+        piece += np.repeat(np.arange(len(of)) * (3 * parts), sizes[of])
+        shape = (len(of), parts, 3)
+        halves = [np.bincount(piece, h.astype(float), len(of) * 3 * parts).astype(np.uint64) for h in (elements & np.uint64(0xFFFFFFFF), elements >> np.uint64(32))]
+        content = (halves[0] + (halves[1] << np.uint64(32))).reshape(shape)  # sums of 32-bit numbers are exact as doubles
+        filled = (np.bincount(piece, minlength=len(of) * 3 * parts) > 0).reshape(shape)
+        counted = (filled.sum(axis=2) >= 2).cumsum(axis=1)
+        last = (counted <= most[of, None] // 2).sum(axis=1) + 1  # parts up to the one that completes the number
+        use = np.arange(parts) < last[:, None]
         for left_out in range(3):
-            two = [j for j in range(3) if j != left_out]
-            some = filled[3 * use + two[0]] | filled[3 * use + two[1]]
-            at = use[some]
+            one, two = [j for j in range(3) if j != left_out]
+            which, at = np.nonzero((filled[:, :, one] | filled[:, :, two]) & use)
             mark = mixed((at * 3 + left_out).astype(np.uint64), band + 7)
-            both = mixed(content[3 * at + two[0]], 11) + mixed(content[3 * at + two[1]], 13)
+            both = mixed(content[which, at, one], 11) + mixed(content[which, at, two], 13)
+            owners.append(of[which])
             out.append(mixed(both ^ mark, 17))
-        if last > parts:
-            out.append(mixed(np.array([band], np.uint64), 3))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        few = of[last > parts]
+        owners.append(few)
+        out.append(np.repeat(mixed(np.array([band], np.uint64), 3), len(few)))
+    owner = np.concatenate(owners)
+    return np.concatenate(out)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(sets))
+
+
+def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
+    """The signatures of one set."""
+    return signatures_of([elements], percent)[0]
+
+
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Which of some 2000 bits an odd number of elements falls on, a row for each set."""
+    bits = 64 * SKETCH_WORDS
+    at = ((mixed(np.concatenate(sets), 5) >> np.uint64(40)) % np.uint64(bits)).astype(np.int64)
+    at += np.repeat(np.arange(len(sets)) * bits, [len(s) for s in sets])
+    odd = (np.bincount(at, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sets), SKETCH_WORDS)
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
-    """Which of some 2000 bits an odd number of elements falls on."""
-    at = (mixed(elements, 5) >> np.uint64(40)) % np.uint64(64 * SKETCH_WORDS)
-    odd = (np.bincount(at.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
+    """The sketch of one set."""
+    return sketches([elements])[0]
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Whole texts go to Python in batches of ``BATCH_ROWS``: a batch lies in the JVM and in the worker at once."""
+    keep = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, keep)
 
 
-HASHED = pa.schema(
-    [("key", pa.binary()), ("n_shingles", pa.int64()), ("same", pa.binary()), ("sent", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
-)
+def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The values as lists of these sizes."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
 def hashed_documents(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -159,58 +227,50 @@ def hashed_documents(docs: DataFrame, n: int, percent: int) -> DataFrame:
     kind = {f.name: f.dataType for f in docs.schema}["doc_id"].simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            begin, out, weight = 0, [], 0
-            for i in range(batch.num_rows):
-                data = texts[i].as_py() or b""
-                elements = shingle_set(data, hashes, n)
-                sent = signatures(elements, percent).view(np.int64)
-                same = hashlib.blake2b(elements.tobytes(), digest_size=16).digest() if len(elements) else None
-                out.append((hashlib.md5(data).digest(), len(elements), same, sent, sketch(elements)))
-                weight += sent.nbytes + 8 * SKETCH_WORDS
-                if weight > BATCH_BYTES or i + 1 == batch.num_rows:
-                    arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), HASHED.types, strict=True)]
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, i + 1 - begin), *arrays], names=["doc_id", *HASHED.names])
-                    begin, out, weight = i + 1, [], 0
+            for begin, texts, sets in blocks(batch, n):
+                same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                arrays = {
+                    "doc_id": batch.column("doc_id").slice(begin, len(texts)),
+                    "key": pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
+                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                    "same": pa.array(same, pa.binary()),
+                    "sent": lists(*signatures_of(sets, percent)),
+                    "sketch": lists(sketches(sets).reshape(-1), np.full(len(sets), SKETCH_WORDS)),
+                }
+                yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
     schema = f"doc_id {kind}, key binary, n_shingles bigint, same binary, sent array<bigint>, sketch array<bigint>"
-    return settle(docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "shingles")
+    with small_batches(docs.sparkSession):
+        return settle(docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "shingles")
 
 
-def sets_of(docs: DataFrame, n: int) -> DataFrame:
-    """``same, elements`` of every document."""
+def sets_of(texts: DataFrame, n: int) -> DataFrame:
+    """``node, elements`` of every ``node, text``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            same, sets, weight = [], [], 0
-            for i, text in enumerate(batch.column("text").cast(pa.binary())):
-                elements = shingle_set(text.as_py() or b"", hashes, n)
-                if len(elements):
-                    same.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest())
-                    sets.append(elements.view(np.int64))
-                    weight += elements.nbytes
-                if same and (weight > BATCH_BYTES or i + 1 == batch.num_rows):
-                    yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["same", "elements"])
-                    same, sets, weight = [], [], 0
+            for begin, held, sets in blocks(batch, n):
+                elements = lists(np.concatenate(sets), np.array([len(s) for s in sets]))
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(begin, len(held)), elements], names=["node", "elements"])
 
-    return docs.select("text").mapInArrow(run, "same binary, elements array<bigint>")
+    return texts.select("node", "text").mapInArrow(run, "node bigint, elements array<bigint>")
 
 
 def groups_of(nodes: DataFrame) -> DataFrame:
     """``node, token, freq``: the signatures that several (``freq``) nodes have; of those with the very same nodes one."""
-    # one shuffle of all signatures: a node sends each once, so the most frequent has one row of the hundreds of a node
-    tokens = nodes.select("node", F.explode("sent").alias("token"))
-    counted = tokens.withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("token")))
-    held = settle(counted.where("freq > 1").select("node", "token"), "held")
+    # one shuffle of all signatures, in turns: a node sends each once, so the most frequent has one row of the hundreds of a node
+    tokens, parts = nodes.select("node", F.explode("sent").alias("token")), []
+    for turn in range(TURNS):
+        counted = tokens.where(F.pmod("token", F.lit(TURNS)) == turn).withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("token")))
+        parts.append(settle(counted.where("freq > 1").select("node", "token"), "held"))
+    held = reduce(DataFrame.unionByName, parts)
     who = [F.count(F.lit(1)), F.min("node"), F.max("node"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
     marks = ["freq", "low", "high", "x", "z"]
     told_apart = held.groupBy("token").agg(*[w.alias(m) for w, m in zip(who, marks, strict=True)])
     chosen = settle(told_apart.groupBy(*marks).agg(F.min("token").alias("token")).select("token", "freq"), "chosen")
     out = settle(join_classes(held, chosen, "token", "freq").select("node", "token", "freq"), "groups")
-    release(held, chosen)
+    release(*parts, chosen)
     return out
 
 
@@ -353,15 +413,19 @@ def members(docs: DataFrame, *, n: int, percent: int) -> DataFrame:
     nodes = join_sized(some.select("row", "sent"), copies, "row", F.lit(16), "copies", "left_anti")
     groups = groups_of(nodes.withColumnRenamed("row", "node"))
 
-    compared = settle(classes.join(groups.select("node").distinct(), "node").select("node", "same", "any_key"), "compared")
-    sketches = settle(some.select(F.col("row").alias("node"), "n_shingles", "sketch").join(compared.select("node"), "node", "left_semi"), "sketches")
+    compared = settle(classes.join(groups.select("node").distinct(), "node").select("node", "any_key", "copies"), "compared")
+    sketched = settle(some.select(F.col("row").alias("node"), "n_shingles", "sketch").join(compared.select("node"), "node", "left_semi"), "sketches")
     slim = settle(hashed.select("row", "doc_id", "key", "n_shingles", "same"), "rows")
     release(hashed)
-    hash_of = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    wanted = compared.select(F.col("any_key").alias("_key"))
-    texts = join_sized(docs.withColumn("_key", hash_of), wanted, "_key", F.lit(24), "texts", "left_semi")
-    sets = sets_of(texts, n).dropDuplicates(["same"]).join(compared.select("node", "same"), "same").select("node", "elements")
-    labels = link_components(groups, sketches, settle(sets, "sets"), percent)
+    keyed = docs.withColumn("_key", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    # a node is one text; only those that stand in several rows are shuffled to be told apart
+    wanted = compared.select(F.col("any_key").alias("_key"), "node", "copies")
+    once = join_sized(keyed, wanted.where("copies = 1"), "_key", F.lit(40), "once", "inner").select("node", "text")
+    several = join_sized(keyed, wanted.where("copies > 1"), "_key", F.lit(40), "several", "inner").select("node", "text")
+    sets = sets_of(once.unionByName(several.dropDuplicates(["node"])), n)
+    with small_batches(docs.sparkSession):
+        sets = settle(sets, "sets")
+    labels = link_components(groups, sketched, sets, percent)
 
     joined = settle(classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "joined")
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_n"))
