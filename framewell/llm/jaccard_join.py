@@ -70,6 +70,8 @@ HUB_ROUNDS = 1
 FIRST_REPRESENTATIVES, MOST_REPRESENTATIVES = 16, 1024
 # Groups of at least so many members lose those that cannot link; the result is the same for any number.
 LARGE_GROUP = 32
+# In groups of at least so many that a hub left open, differences from the hub are counted; the result is the same for any number.
+CROWD = 128
 SKETCH_WORDS = 32
 # Sketches sent to every executor at once, in bytes.
 SKETCH_BYTES = 8 * 1024 * 1024
@@ -359,43 +361,82 @@ def representatives(named: DataFrame, times: int) -> DataFrame:
     its own, of those the smallest.
     """
     salt = F.pmod(F.xxhash64("node", F.lit(times)), F.lit(times))
-    first = F.min(F.struct((F.col("n") - F.col("usable")).alias("own"), F.col("node").alias("rep"), F.col("component").alias("its"), F.col("n").alias("its_n")))
+    its = [F.col("node").alias("rep"), F.col("component").alias("its"), F.col("n").alias("its_n"), F.col("far").alias("its_far"), F.col("shared").alias("its_shared")]
+    first = F.min(F.struct((F.col("n") - F.col("usable")).alias("own"), *its))
     ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")]
     each = named.groupBy("token", salt.alias("salt")).agg(first.alias("r"), *ends)
-    rep = F.struct("r.rep", "r.its", "r.its_n", (F.col("r.its_n") - F.col("r.own")).alias("its_usable"))
+    rep = F.struct("r.rep", "r.its", "r.its_n", "r.its_far", "r.its_shared", (F.col("r.its_n") - F.col("r.own")).alias("its_usable"))
     whole = each.groupBy("token").agg(
         F.collect_list(rep).alias("reps"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("members").alias("members")
     )
     return whole.where("low <> high").select("token", "members", "reps")
 
 
+def told_by_hubs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``rest`` (with ``hub``, whom its group was compared with) with ``far`` and ``shared``, without members that cannot link.
+
+    In crowds the elements in which a member differs from the hub are counted: all, and as ``shared`` those in which another
+    member that has this hub differs as well.  Two members differ in all elements of both but twice the common ones, so
+    they link only if twice the lesser ``shared`` makes up for ``far`` of both: the differences beyond what the sizes allow.
+    """
+    size, spare = 100 + percent, 100 - percent
+    open_ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")]
+    crowds, some = settle_counted(rest.groupBy("token").agg(*open_ends).where((F.col("low") != F.col("high")) & (F.col("members") >= CROWD)).select("token"), "crowds")
+    if not some:
+        return rest
+    ends = join_sized(rest, crowds, "token", F.lit(16), "crowded", "left_semi").where("node <> hub").select("node", "hub").distinct()
+    ends = settle(ends, "ends")
+    ours = join_sized(sets, ends, "node", F.lit(24), "tied", "inner")
+    hubs = sets.join(ends.select(F.col("hub").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("hub"), F.col("elements").alias("its"))
+    both = join_sized(ours, hubs, "hub", F.size("its") * 8 + 16, "hubs", "inner")
+    differ = F.concat(F.array_except("elements", "its"), F.array_except("its", "elements"))
+    apart = settle(both.select("hub", "node", F.size("elements").alias("n"), differ.alias("differ")), "apart")
+    alone = apart.select("hub", "node", F.explode("differ").alias("e")).groupBy("hub", "e").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("held"))
+    alone = alone.where("held = 1").groupBy("hub", "node").agg(F.count(F.lit(1)).alias("alone"))
+    known = apart.select("hub", "node", "n", F.size("differ").alias("d")).join(alone, ["hub", "node"], "left")
+    far, shared = F.col("d") * size - F.col("n") * spare, F.col("d") - F.coalesce("alone", F.lit(0))
+    known = known.select("hub", "node", far.cast("int").alias("far"), shared.cast("int").alias("shared"))
+    told = settle(join_sized(rest.drop("far", "shared"), known, ["hub", "node"], F.lit(32), "known", "left"), "told")
+    nearest = told.groupBy("token").agg(F.min(F.coalesce("far", F.lit(-(2**30)))).alias("nearest"), F.count(F.lit(1)).alias("members"))
+    nearest = join_sized(told.where("far is not null"), nearest.where("nearest > -(1 << 30)"), "token", F.lit(24), "nearest", "inner")
+    lost = nearest.where(2 * F.col("shared") * size < F.col("far") + F.col("nearest")).select("token", "node")
+    out = join_sized(told, lost, ["token", "node"], F.lit(24), "lost", "left_anti")
+    release(apart, ends, crowds)
+    return out
+
+
 def link_components(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``node, component`` of all nodes with a link."""
     labels = groups.sparkSession.createDataFrame([], "node bigint, component bigint")
     edges = groups.sparkSession.createDataFrame([], "u bigint, v bigint")
-    columns = ["node", "token", "n", "usable", "component"]
+    columns = ["node", "token", "n", "usable", "far", "shared", "component"]
+    unknown = F.lit(None).cast("int")
     first = narrowed(groups, nodes, sets, percent)
-    named, turn = first.withColumn("component", F.col("node")), 0
+    named, turn = first.withColumns({"component": F.col("node"), "far": unknown, "shared": unknown}), 0
     while True:
         times = 1 if turn < HUB_ROUNDS else min(FIRST_REPRESENTATIVES * 16 ** min(turn - HUB_ROUNDS, 8), MOST_REPRESENTATIVES)
-        turn += 1
+        hubs, turn = turn < HUB_ROUNDS, turn + 1
         reps, some = settle_counted(representatives(named, times), "reps")
         if not some:
             return labels
         met = join_classes(named, reps, "token", "members")  # not written: the lists stand beside every member
         others = met.select(*columns, F.explode("reps").alias("r")).select(*columns, "r.*").where("component <> its")
         enough = F.least("usable", "its_usable") * (100 + percent) >= (F.col("n") + F.col("its_n")) * percent
+        near = 2 * F.least("shared", "its_shared") * (100 + percent) >= F.col("far") + F.col("its_far")
+        enough = enough & (F.col("far").isNull() | F.col("its_far").isNull() | near)
         ends = [F.least("node", "rep").alias("low"), F.greatest("node", "rep").alias("high")]
         once = others.where(enough).groupBy(*ends).agg(F.min("rep").alias("v"))
         pairs = settle(once.select(F.when(F.col("v") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("u"), "v"), "pairs")
         found = verified(pairs, nodes, sets, percent)
         # whoever was compared with all others of its group leaves it
-        rest = met.where(~F.exists("reps", lambda r: r["rep"] == F.col("node"))).select(*columns)
+        rest = met.where(~F.exists("reps", lambda r: r["rep"] == F.col("node"))).select(*columns, F.col("reps")[0]["rep"].alias("hub"))
         if found is not None:
             edges = settle(edges.union(found), "edges")
             labels, size = settle_counted(components(edges), "labels")
             small = F.broadcast(labels) if 32 * size <= BROADCAST_BYTES else labels
             rest = rest.drop("component").join(small, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if hubs:
+            rest = told_by_hubs(settle(rest, "rest"), sets, percent)
         following = settle(rest.select(*columns), "named")
         release(first, reps, pairs, named)
         named = following
