@@ -21,7 +21,9 @@ others, so a member leaves each large group in which that is too few for a link
 its smallest one.  In rounds, representatives of each group are
 compared with its other members in other components, and links merge components: first
 the member with the fewest such elements, then 16, 256 and up to 1024 a round, the like of
-every class of a hash.  A representative that
+every class of a hash.  In crowds that the first
+one leaves open, members are told by the elements in which they differ from it: two differ in
+all of those but the common ones, twice, which rules most links out.  A representative that
 was compared leaves its group, so every pair of a group is compared or already in one
 component when no group joins two components any more.  Before two sets are fetched
 their sizes and bit sketches are compared: sketches differ in no more bits than the sets
